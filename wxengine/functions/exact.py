@@ -1,32 +1,30 @@
-"""Fixed-point arithmetic for sums and averages.
+"""Fixed-point arithmetic for sums and averages, as SQL text.
 
 Sums of doubles depend on the order of addition, so two correct plans can round to
 different cents. Measurements are therefore carried as whole numbers of 10^-4 (bigint):
 sums are exact in any order, stay in eight bytes, and an overflow is an error under ANSI.
+
+The helpers give text instead of columns: one call parses a whole select list, where
+building dozens of columns piece by piece takes longer than a small query.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 DECIMALS = 4
 OUTPUT_DECIMALS = 2
 
 
-def to_units(value: Column, decimals: int = DECIMALS) -> Column:
+def to_units(value: str, decimals: int = DECIMALS) -> str:
     """Nearest whole number of 10^-decimals, as bigint."""
-    return F.rint(value.cast("double") * F.lit(float(10**decimals))).cast("bigint")
+    return f"CAST(rint(CAST({value} AS DOUBLE) * {10**decimals}D) AS BIGINT)"
 
 
-def rounded_ratio(units: Column, count: Column | int = 1, decimals: int = DECIMALS) -> Column:
+def rounded_ratio(units: str, count: str = "1L", decimals: int = DECIMALS) -> str:
     """``round(units * 10^-decimals / count, 2)`` as double, ties away from zero.
 
     NULL where ``units`` is NULL or ``count`` is not positive.
     """
-    count = F.lit(count).cast("bigint") if isinstance(count, int) else count
-    step = count * F.lit(10 ** (decimals - OUTPUT_DECIMALS))
-    half_up = F.call_function("div", F.abs(units) * 2 + step, step * 2)
-    cents = F.when(units < 0, -half_up).otherwise(half_up)
-    return F.when(
-        units.isNotNull() & (count > 0), cents.cast("double") / F.lit(float(10**OUTPUT_DECIMALS))
-    )
+    step = f"({count}) * {10 ** (decimals - OUTPUT_DECIMALS)}L"
+    half_up = f"(2L * abs({units}) + {step}) DIV (2L * {step})"
+    cents = f"IF({units} < 0, -1L, 1L) * ({half_up})"
+    return f"IF({count} > 0, CAST({cents} AS DOUBLE) / {10**OUTPUT_DECIMALS}D, NULL)"

@@ -34,23 +34,16 @@ def anchored(
 
     ``from_anchor`` names columns taken from the anchor reading itself.
     """
-    states = readings.select(
-        station,
-        F.col(at).alias("_at"),
-        *from_anchor,
-        *measures.reading_state(),
-        F.explode(units_of(F.col(at), grain)).alias(at),
-    )
+    states = readings.selectExpr(
+        f"`{station}`", f"`{at}` AS _at", *from_anchor, *measures.reading_state()
+    ).withColumn(at, F.explode(units_of(F.col("_at"), grain)))
     on_anchor = F.col("_at") == F.col(at)
     units = states.groupBy(station, at).agg(
-        *measures.merged_state(),
+        *[F.expr(item) for item in measures.merged_state()],
         F.max(on_anchor).alias("_anchored"),
         *[F.max(F.when(on_anchor, F.col(c))).alias(c) for c in from_anchor],
     )
-    return units.filter("_anchored").select(
-        station,
-        *from_anchor,
-        station_class(station).alias("station_type"),
-        at,
-        *measures.values(grain.suffix),
+    anchored_units = units.filter("_anchored").withColumn("station_type", station_class(station))
+    return anchored_units.selectExpr(
+        f"`{station}`", *from_anchor, "station_type", f"`{at}`", *measures.values(grain.suffix)
     )

@@ -16,14 +16,15 @@ from wxengine.operators.measures import WEATHER, Measures
 AT_MIDNIGHT = "midnight_"
 
 
-def day_aggregates(measures: Measures, on_midnight: Column) -> list[Column]:
-    """Aggregates of one station day over reading states."""
-    return [
+def day_aggregates(measures: Measures) -> list[Column]:
+    """Aggregates of one station day over reading states, where ``_on_midnight`` is set."""
+    items = [
         *measures.merged_state(),
-        *measures.merged_state(on_midnight, AT_MIDNIGHT),
-        F.max(on_midnight).alias("has_midnight"),
-        F.max(F.when(on_midnight, F.col("station_name"))).alias("station_name"),
+        *measures.merged_state(AT_MIDNIGHT, where="_on_midnight"),
+        "max(_on_midnight) AS has_midnight",
+        "max(IF(_on_midnight, station_name, NULL)) AS station_name",
     ]
+    return [F.expr(item) for item in items]
 
 
 def day_states(
@@ -33,10 +34,15 @@ def day_states(
     at: str = "measure_at",
 ) -> DataFrame:
     """State of each station day of deduplicated readings."""
-    states = readings.select(station, at, "station_name", *measures.reading_state())
-    return states.groupBy(station, F.col(at).cast("date").alias("measure_date")).agg(
-        *day_aggregates(measures, F.col(at) == midnight(F.col(at)))
+    states = readings.selectExpr(
+        f"`{station}`", f"`{at}`", "station_name", *measures.reading_state()
+    ).withColumns(
+        {
+            "measure_date": F.col(at).cast("date"),
+            "_on_midnight": F.col(at) == midnight(F.col(at)),
+        }
     )
+    return states.groupBy(station, "measure_date").agg(*day_aggregates(measures))
 
 
 def units_from_days(
@@ -57,31 +63,27 @@ def units_from_days(
         (day == start) & F.col("has_midnight"), F.array(whole, closing)
     ).otherwise(F.array(whole))
 
-    placed = days.select("*", F.explode(parts).alias("_part")).select("*", "_part.*")
-    opening = ~F.col("_closing") & (day == F.col(at)) & F.col("has_midnight")
-    states = [
-        F.when(F.col("_closing"), F.col(AT_MIDNIGHT + name)).otherwise(F.col(name)).alias(name)
-        for name in measures.state_columns
-    ]
-    units = (
-        placed.select(
-            station,
-            at,
-            *states,
-            opening.alias("_opening"),
-            F.when(opening, F.col("station_name")).alias("station_name"),
-        )
-        .groupBy(station, at)
-        .agg(
-            *measures.merged_state(),
-            F.max("_opening").alias("_anchored"),
-            F.max("station_name").alias("station_name"),
-        )
+    placed = days.select(
+        "*", day.alias("_midnight"), F.explode(parts).alias("_part")
+    ).select("*", "_part.*")
+    opening = ~F.col("_closing") & (F.col("_midnight") == F.col(at)) & F.col("has_midnight")
+    opened = placed.withColumn("_opening", opening)
+    states = opened.selectExpr(
+        f"`{station}`",
+        f"`{at}`",
+        *[
+            f"IF(_closing, `{AT_MIDNIGHT}{name}`, `{name}`) AS `{name}`"
+            for name in measures.state_columns
+        ],
+        "_opening",
+        "IF(_opening, station_name, NULL) AS station_name",
+    )
+    units = states.groupBy(station, at).agg(
+        *[F.expr(item) for item in measures.merged_state()],
+        F.max("_opening").alias("_anchored"),
+        F.max("station_name").alias("station_name"),
     )
-    return units.filter("_anchored").select(
-        station,
-        "station_name",
-        station_class(station).alias("station_type"),
-        at,
-        *measures.values(grain.suffix),
+    anchored_units = units.filter("_anchored").withColumn("station_type", station_class(station))
+    return anchored_units.selectExpr(
+        f"`{station}`", "station_name", "station_type", f"`{at}`", *measures.values(grain.suffix)
     )

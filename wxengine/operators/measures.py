@@ -10,8 +10,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
-
 from wxengine.functions.exact import rounded_ratio, to_units
 
 
@@ -39,50 +37,55 @@ class Measures:
             + [f"max_{c}" for c in self.maxed]
         )
 
-    def reading_state(self) -> list[Column]:
-        """State of a single reading."""
-        units = {c: to_units(F.col(c)) for c in self.columns}
+    def reading_state(self) -> list[str]:
+        """State of a single reading, as select items."""
+        units = {c: to_units(f"`{c}`") for c in self.columns}
         return (
-            [units[c].alias(f"sum_{c}") for c in self.added]
-            + [F.col(c).isNotNull().cast("bigint").alias(f"num_{c}") for c in self.added]
-            + [units[c].alias(f"max_{c}") for c in self.maxed]
+            [f"{units[c]} AS `sum_{c}`" for c in self.added]
+            + [f"IF(`{c}` IS NULL, 0L, 1L) AS `num_{c}`" for c in self.added]
+            + [f"{units[c]} AS `max_{c}`" for c in self.maxed]
         )
 
-    def merged_state(self, where: Column | None = None, prefix: str = "") -> list[Column]:
-        """Aggregates that merge state rows, all of them or those that satisfy ``where``."""
-        merged = []
+    def merged_state(self, prefix: str = "", where: str | None = None, over: str = "") -> list[str]:
+        """Aggregates that merge state rows, all of them or those that satisfy ``where``.
+
+        ``over`` makes window aggregates of them.
+        """
+        items = []
         for name in self.state_columns:
-            value = F.col(name) if where is None else F.when(where, F.col(name))
-            merge = F.max if name.startswith("max_") else F.sum
-            merged.append(merge(value).alias(prefix + name))
-        return merged
-
-    def joined_state(self, first: str, second: str) -> dict[str, Column]:
-        """State of two disjoint parts whose columns carry the given prefixes."""
-        joined = {}
+            merge = "max" if name.startswith("max_") else "sum"
+            value = f"IF({where}, `{name}`, NULL)" if where else f"`{name}`"
+            items.append(f"{merge}({value}) {over} AS `{prefix}{name}`")
+        return items
+
+    def packed(self, prefix: str = "") -> str:
+        """The state columns with this prefix as one struct."""
+        return "struct(" + ", ".join(f"`{prefix}{n}` AS `{n}`" for n in self.state_columns) + ")"
+
+    def joined(self, parts: list[str]) -> dict[str, str]:
+        """State of disjoint parts, each given as a struct that may be NULL."""
+        state = {}
         for name in self.state_columns:
-            a, b = F.col(first + name), F.col(second + name)
+            values = [f"{part}.`{name}`" for part in parts]
             if name.startswith("max_"):
-                joined[name] = F.greatest(a, b)
+                state[name] = f"greatest({', '.join(values)})" if len(values) > 1 else values[0]
             else:
-                joined[name] = F.coalesce(a + b, a, b)
-        return joined
+                state[name] = " + ".join(f"coalesce({value}, 0L)" for value in values)
+        return state
+
+    def values(self, suffix: str) -> list[str]:
+        """Result columns ``<measurement>_<suffix>_{average,sum,max}`` of a state.
 
-    def values(self, suffix: str, state: dict[str, Column] | None = None) -> list[Column]:
-        """Result columns ``<measurement>_<suffix>_{average,sum,max}`` of a state."""
-        state = state or {name: F.col(name) for name in self.state_columns}
+        A sum or average over NULLs only is NULL.
+        """
 
-        def sum_of(c):
-            # A sum over NULLs only is NULL, also where both parts hold none but NULLs.
-            return F.when(state[f"num_{c}"] > 0, state[f"sum_{c}"])
+        def total(c: str, count: str) -> str:
+            return f"IF(`num_{c}` > 0, {rounded_ratio(f'`sum_{c}`', count)}, NULL)"
 
         return (
-            [
-                rounded_ratio(sum_of(c), state[f"num_{c}"]).alias(f"{c}_{suffix}_average")
-                for c in self.averaged
-            ]
-            + [rounded_ratio(sum_of(c)).alias(f"{c}_{suffix}_sum") for c in self.summed]
-            + [rounded_ratio(state[f"max_{c}"]).alias(f"{c}_{suffix}_max") for c in self.maxed]
+            [f"{total(c, f'`num_{c}`')} AS `{c}_{suffix}_average`" for c in self.averaged]
+            + [f"{total(c, '1L')} AS `{c}_{suffix}_sum`" for c in self.summed]
+            + [f"{rounded_ratio(f'`max_{c}`')} AS `{c}_{suffix}_max`" for c in self.maxed]
         )
 
 

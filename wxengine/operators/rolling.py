@@ -8,26 +8,31 @@ series by day, and is exact for all four grains:
                       +  whole days in between          (weeks and months only)
                       +  start of the block of t + interval
 
-A block is a day, or an hour for the hourly grain. Readings of a later block are placed,
-at their time of day, into every earlier block whose intervals end in theirs; a running
-aggregate over the block then holds, at each own reading, the start of the later block.
-Whole days come as one state row per station and day. So everything meets in one shuffle
-on (station, day), and a busy station spreads over its days. The block scheme follows
-van Herk (1992) and Gil and Werman (1993).
+A block is a day, or an hour for the hourly grain. It takes two shuffles on
+(station, day), so a busy station spreads over its days:
+
+1. Running aggregates upward and downward give, at each reading, the start of its block up
+   to it and the rest of its block from it on.
+2. Each reading's start is placed, at its time of day, into every earlier block whose
+   intervals end in its block. There each own reading takes the last start at or before its
+   time of day, and the whole days, which come as one row per station and day.
+
+The block scheme follows van Herk (1992) and Gil and Werman (1993).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from wxengine.functions.calendar import DAILY, GRAINS, HOURLY, MONTHLY, WEEKLY, Grain, time_of_day
+from wxengine.functions.calendar import DAILY, GRAINS, HOURLY, MONTHLY, WEEKLY, Grain
 from wxengine.operators.measures import WEATHER, Measures
 
-# Roles of a row inside a block; grains count from 1.
+# Roles of a placed row: a reading itself, or a start that completes a grain's intervals.
 _OWN = 0
 _ROLE = {HOURLY: 1, DAILY: 2, WEEKLY: 3, MONTHLY: 4}
+_RUNNING = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
 
 def rolling(
@@ -37,143 +42,156 @@ def rolling(
     station: str = "station_id",
     at: str = "measure_at",
 ) -> DataFrame:
-    """Add the rolling columns of ``measures`` for each grain to deduplicated readings."""
-    original = readings.columns
+    """Add the rolling columns of ``measures`` for each grain.
+
+    The readings must be unique by station and time.
+    """
     hourly = HOURLY in grains
+    by_day = any(grain != HOURLY for grain in grains)
+    long_grains = [grain for grain in grains if grain in (WEEKLY, MONTHLY)]
 
-    rows = _placed_readings(readings, grains, measures, station, at)
-    if WEEKLY in grains or MONTHLY in grains:
-        days = _placed_days(readings, grains, measures, station, at)
+    blocks = _with_blocks(readings, measures, station, at, hourly, by_day)
+    rows = _placed(blocks, readings.columns, grains, station)
+    if long_grains:
+        days = _days_between(readings, long_grains, measures, station, at)
         rows = rows.unionByName(days, allowMissingColumns=True)
 
-    # Later readings sort before own ones of the same time, as intervals are closed; whole
-    # days have no time and sort first. The hour leads both sorts so that the windows by
-    # hour share them.
-    upward = [F.col("_tod").asc(), F.col("_role").desc()]
-    if hourly:
-        rows = rows.withColumn("_hour", F.expr("extract(HOUR FROM _tod)"))
-    by_day = Window.partitionBy(station, "_day").orderBy(
-        *([F.col("_hour").asc()] if hourly else []), *upward
-    )
-    daily_grains = [g for g in grains if g != HOURLY]
-    if daily_grains:
-        rows = rows.select("*", *_running(measures, daily_grains, by_day))
-    if hourly:
-        by_hour = Window.partitionBy(station, "_day", "_hour").orderBy(*upward)
-        rows = rows.select("*", *_running(measures, [HOURLY], by_hour))
-
-    rows = rows.filter(F.col("_role") == _OWN)
-    down = F.col("_tod").desc()
+    # Starts sort before own readings of the same time, as intervals are closed; the row of
+    # whole days has no time and sorts first. The hour leads, so both windows share a sort.
+    hour = "_hour, " if hourly else ""
+    order = f"_tod, _role DESC {_RUNNING}"
+    day_window = f"OVER (PARTITION BY `{station}`, _day ORDER BY {hour}{order})"
+    hour_window = f"OVER (PARTITION BY `{station}`, _day, _hour ORDER BY {order})"
+    found = [
+        f"last(IF(_role = {_ROLE[g]}, _start, NULL), true) {day_window} AS _start_{g.suffix}"
+        for g in grains
+        if g != HOURLY
+    ] + [f"first(_{g.suffix}, true) {day_window} AS _between_{g.suffix}" for g in long_grains]
     if hourly:
-        rows = rows.withColumn("_hour_down", -F.col("_hour"))
-    if daily_grains:
-        by_day = Window.partitionBy(station, "_day").orderBy(
-            *([F.col("_hour_down").asc()] if hourly else []), down
-        )
-        rows = rows.select("*", *_rest(measures, "rest_day_", by_day))
+        rows = rows.selectExpr("*", "extract(HOUR FROM _tod) AS _hour")
+    if found:
+        rows = rows.selectExpr("*", *found)
     if hourly:
-        by_hour = Window.partitionBy(station, "_day", "_hour_down").orderBy(down)
-        rows = rows.select("*", *_rest(measures, "rest_hour_", by_hour))
+        start = f"last(IF(_role = {_ROLE[HOURLY]}, _start, NULL), true) {hour_window}"
+        rows = rows.selectExpr("*", f"{start} AS _start_hourly")
 
-    results: list[Column] = []
+    results = []
     for grain in grains:
-        rest = "rest_hour_" if grain == HOURLY else "rest_day_"
-        state = measures.joined_state(rest, f"{grain.suffix}_")
-        results += measures.values(grain.suffix, state)
-    return rows.select(*original, *results)
+        parts = ["_rest_hour" if grain == HOURLY else "_rest_day", f"_start_{grain.suffix}"]
+        parts += [f"_between_{grain.suffix}"] if grain in long_grains else []
+        state = measures.joined(parts)
+        fields = ", ".join(f"{value} AS `{name}`" for name, value in state.items())
+        results.append(f"struct({fields}) AS `{grain.suffix}`")
+    rows = rows.filter(f"_role = {_OWN}").selectExpr(*_quoted(readings.columns), *results)
+    values = []
+    for grain in grains:
+        of_grain = measures.values(grain.suffix)
+        values += [_inside(value, grain.suffix, measures) for value in of_grain]
+    return rows.selectExpr(*_quoted(readings.columns), *values)
+
+
+def _quoted(columns: Sequence[str]) -> list[str]:
+    return [f"`{c}`" for c in columns]
+
 
+def _inside(value: str, struct: str, measures: Measures) -> str:
+    for name in measures.state_columns:
+        value = value.replace(f"`{name}`", f"`{struct}`.`{name}`")
+    return value
 
-def _placed_readings(readings, grains, measures, station, at) -> DataFrame:
-    """Each reading once as its own row and once per grain in the block(s) it completes."""
-    day = F.col(at).cast("date")
-    clock = F.col(at)
 
-    def place(day: Column, clock: Column, role: int) -> Column:
-        return F.struct(
-            day.alias("_day"),
-            time_of_day(clock).alias("_tod"),
-            F.lit(role).cast("tinyint").alias("_role"),
-        )
+def _with_blocks(readings, measures, station, at, hourly, by_day) -> DataFrame:
+    """Readings with the start and the rest of their day, and of their hour if needed."""
+    day, tod = f"CAST(`{at}` AS DATE)", f"`{at}` - CAST(CAST(`{at}` AS DATE) AS TIMESTAMP_NTZ)"
+    rows = readings.selectExpr(
+        "*",
+        f"{day} AS _day",
+        f"{tod} AS _tod",
+        f"hour(`{at}`) AS _hour",
+        f"-hour(`{at}`) AS _hour_down",
+        *measures.reading_state(),
+    )
+    blocks = (["day"] if by_day else []) + (["hour"] if hourly else [])
+    # Days first: their shuffle also serves the hours. Both windows of a direction sort
+    # alike, as the hour orders a day the way the time of day does.
+    for prefix, hour, direction in (("start", "_hour", ""), ("rest", "_hour_down", "DESC")):
+        for block in blocks:
+            by_hour = f"PARTITION BY `{station}`, _day, {hour} ORDER BY _tod {direction}"
+            lead = f"{hour}, " if hourly else ""
+            whole = f"PARTITION BY `{station}`, _day ORDER BY {lead}_tod {direction}"
+            window = f"OVER ({by_hour if block == 'hour' else whole} {_RUNNING})"
+            rows = rows.selectExpr("*", *measures.merged_state(f"{prefix}_{block}_", over=window))
+    packed = [
+        f"{measures.packed(f'{prefix}_{block}_')} AS _{prefix}_{block}"
+        for prefix in ("start", "rest")
+        for block in blocks
+    ]
+    return rows.selectExpr(*_quoted(readings.columns), f"`{at}` AS _at", "_day", "_tod", *packed)
+
 
-    places = [place(day, clock, _OWN)]
+def _placed(blocks: DataFrame, columns, grains, station) -> DataFrame:
+    """Each reading as its own row, and its start in the blocks whose intervals end in its."""
+
+    def place(day: str, tod: str, role: int) -> str:
+        return f"struct({day} AS _day, {tod} AS _tod, {role} AS _role)"
+
+    places = [place("_day", "_tod", _OWN)]
     if HOURLY in grains:
-        earlier = clock - F.expr("INTERVAL '1' HOUR")
-        places.append(place(earlier.cast("date"), earlier, _ROLE[HOURLY]))
+        earlier = "_at - INTERVAL '1' HOUR"
+        midnight = f"CAST(CAST({earlier} AS DATE) AS TIMESTAMP_NTZ)"
+        places.append(place(f"CAST({earlier} AS DATE)", f"{earlier} - {midnight}", _ROLE[HOURLY]))
     if DAILY in grains:
-        places.append(place(F.date_sub(day, 1), clock, _ROLE[DAILY]))
+        places.append(place("date_sub(_day, 1)", "_tod", _ROLE[DAILY]))
     if WEEKLY in grains:
-        places.append(place(F.date_sub(day, 7), clock, _ROLE[WEEKLY]))
-    all_places = F.array(*places)
+        places.append(place("date_sub(_day, 7)", "_tod", _ROLE[WEEKLY]))
+    all_places = f"array({', '.join(places)})"
     if MONTHLY in grains:
         # Up to four days share a month end (Jan 28-31 all lead to Feb 28); none leads to
-        # some days after it (no day plus a month is Mar 30 or 31 in a common year).
-        month_before = F.add_months(day, -1)
-        starts = F.filter(
-            F.sequence(month_before, F.date_add(month_before, 3)),
-            lambda start: F.add_months(start, 1) == day,
-        )
-        monthly = F.transform(starts, lambda start: place(start, clock, _ROLE[MONTHLY]))
-        all_places = F.concat(all_places, monthly)
-
-    carried = [c for c in readings.columns if c != station]
-    placed = readings.select(
-        station, *carried, *measures.reading_state(), F.explode(all_places).alias("_place")
-    )
-    own = F.col("_place._role") == _OWN
-    return placed.select(
-        station,
-        *[F.when(own, F.col(c)).alias(c) for c in carried],
-        *measures.state_columns,
+        # some days (no day plus a month is Mar 30 in a common year).
+        before = "add_months(_day, -1)"
+        days = f"sequence({before}, date_add({before}, 3))"
+        starts = f"filter({days}, d -> add_months(d, 1) = _day)"
+        monthly = f"transform({starts}, d -> {place('d', '_tod', _ROLE[MONTHLY])})"
+        all_places = f"concat({all_places}, {monthly})"
+
+    structs = [c for c in blocks.columns if c.startswith("_rest_")]
+    by_hour, by_day = "_start_hour" in blocks.columns, "_start_day" in blocks.columns
+    start = "_start_day" if by_day else "_start_hour"
+    if by_hour and by_day:
+        start = f"IF(_place._role = {_ROLE[HOURLY]}, _start_hour, _start_day)"
+    own = f"_place._role = {_OWN}"
+    kept = [c for c in columns if c != station]
+    placed = blocks.withColumn("_place", F.explode(F.expr(all_places)))
+    return placed.selectExpr(
+        f"`{station}`",
+        *[f"IF({own}, `{c}`, NULL) AS `{c}`" for c in [*kept, *structs]],
+        f"IF({own}, NULL, {start}) AS _start",
         "_place.*",
     )
 
 
-def _placed_days(readings, grains, measures, station, at) -> DataFrame:
-    """State of each station day, once per earlier day whose interval spans it whole."""
-    states = readings.select(
-        station, F.col(at).cast("date").alias("_of"), *measures.reading_state()
+def _days_between(readings, grains, measures, station, at) -> DataFrame:
+    """For each station and day, the state of the whole days inside its intervals."""
+    states = readings.selectExpr(
+        f"`{station}`", f"CAST(`{at}` AS DATE) AS _of", *measures.reading_state()
     )
-    days = states.groupBy(station, "_of").agg(*measures.merged_state())
-    day = F.col("_of")
-
-    def place(start: Column, role: int) -> Column:
-        return F.struct(start.alias("_day"), F.lit(role).cast("tinyint").alias("_role"))
-
-    places = []
-    if WEEKLY in grains:
-        starts = F.sequence(F.date_sub(day, 6), F.date_sub(day, 1))
-        places.append(F.transform(starts, lambda start: place(start, _ROLE[WEEKLY])))
-    if MONTHLY in grains:
-        starts = F.filter(
-            F.sequence(F.date_sub(day, 31), F.date_sub(day, 1)),
-            lambda start: F.add_months(start, 1) > day,
-        )
-        places.append(F.transform(starts, lambda start: place(start, _ROLE[MONTHLY])))
-    return days.select(
-        station, *measures.state_columns, F.explode(F.concat(*places)).alias("_place")
-    ).select(station, *measures.state_columns, "_place.*")
-
-
-def _running(measures: Measures, grains, window) -> list[Column]:
-    frame = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return [
-        _windowed(measures, name, frame, F.col("_role") == _ROLE[grain]).alias(
-            f"{grain.suffix}_{name}"
-        )
+    days = states.groupBy(station, "_of").agg(*[F.expr(e) for e in measures.merged_state()])
+    # A month from day d spans a later day whole if it ends after it; a week if within six.
+    start = F.explode(F.expr("sequence(date_sub(_of, 31), date_sub(_of, 1))"))
+    spanned = {
+        WEEKLY: "_day >= date_sub(_of, 6)",
+        MONTHLY: "add_months(_day, 1) > _of",
+    }
+    if MONTHLY not in grains:
+        start = F.explode(F.expr("sequence(date_sub(_of, 6), date_sub(_of, 1))"))
+    merged = [
+        F.expr(e)
         for grain in grains
-        for name in measures.state_columns
+        for e in measures.merged_state(f"{grain.suffix}_", where=spanned[grain])
     ]
-
-
-def _rest(measures: Measures, prefix: str, window) -> list[Column]:
-    frame = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return [
-        _windowed(measures, name, frame, None).alias(prefix + name)
-        for name in measures.state_columns
-    ]
-
-
-def _windowed(measures: Measures, name: str, frame, where: Column | None) -> Column:
-    value = F.col(name) if where is None else F.when(where, F.col(name))
-    merge = F.max if name.startswith("max_") else F.sum
-    return merge(value).over(frame)
+    between = days.withColumn("_day", start).groupBy(station, "_day").agg(*merged)
+    return between.selectExpr(
+        f"`{station}`",
+        "_day",
+        *[f"{measures.packed(f'{grain.suffix}_')} AS _{grain.suffix}" for grain in grains],
+    )

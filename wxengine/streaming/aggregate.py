@@ -64,24 +64,23 @@ def stream_units(
         .dropDuplicatesWithinWatermark(["station_id", "_instant"])
     )
     on_anchor = wall_to_instant(F.col("measure_at")) == F.col("_instant")
-    states = unique.select(
-        "station_id",
-        "_instant",
-        (on_anchor & is_anchor(F.col("measure_at"), grain)).alias("_opening"),
-        "station_name",
-        *measures.reading_state(),
+    opening = on_anchor & is_anchor(F.col("measure_at"), grain)
+    states = unique.withColumn("_opening", opening).selectExpr(
+        "station_id", "_instant", "_opening", "station_name", *measures.reading_state()
     )
     units = states.groupBy("station_id", _unit_window("_instant", grain).alias("_unit")).agg(
-        *measures.merged_state(),
+        *[F.expr(item) for item in measures.merged_state()],
         F.max("_opening").alias("_anchored"),
         F.max(F.when(F.col("_opening"), F.col("station_name"))).alias("station_name"),
     )
-    return units.filter("_anchored").select(
-        "station_id",
-        "station_name",
-        station_class("station_id").alias("station_type"),
-        instant_to_wall(F.col("_unit.start")).alias("measure_at"),
-        *measures.values(grain.suffix),
+    anchored_units = units.filter("_anchored").withColumns(
+        {
+            "station_type": station_class("station_id"),
+            "measure_at": instant_to_wall(F.col("_unit.start")),
+        }
+    )
+    return anchored_units.selectExpr(
+        "station_id", "station_name", "station_type", "measure_at", *measures.values(grain.suffix)
     )
 
 
@@ -92,15 +91,12 @@ def stream_day_states(readings: DataFrame, delay: str, measures: Measures = WEAT
         .withWatermark("_instant", delay)
         .dropDuplicatesWithinWatermark(["station_id", "_instant"])
     )
-    states = unique.select(
-        "station_id",
-        "_instant",
-        (F.col("measure_at") == midnight(F.col("measure_at"))).alias("_on_midnight"),
-        "station_name",
-        *measures.reading_state(),
+    on_midnight = F.col("measure_at") == midnight(F.col("measure_at"))
+    states = unique.withColumn("_on_midnight", on_midnight).selectExpr(
+        "station_id", "_instant", "_on_midnight", "station_name", *measures.reading_state()
     )
     days = states.groupBy("station_id", _unit_window("_instant", DAILY).alias("_unit")).agg(
-        *day_aggregates(measures, F.col("_on_midnight"))
+        *day_aggregates(measures)
     )
     return days.withColumn(
         "measure_date", instant_to_wall(F.col("_unit.start")).cast("date")
