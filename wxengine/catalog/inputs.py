@@ -12,7 +12,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wxengine.functions.calendar import midnight
 from wxengine.functions.cleaning import station_class
 from wxengine.operators.dedup import dedup_readings
 from wxengine.operators.stations import EXISTING, REVOKED
@@ -34,45 +33,39 @@ def station_id(number: Column) -> Column:
     return F.concat(prefix, F.lpad(number.cast("string"), 8, "0"))
 
 
-def _ntz(text: str) -> Column:
-    return F.lit(text).cast("timestamp_ntz")
-
-
 def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings as landed, with repeats and sentinels, and ``event_id`` to tell them apart."""
-    number = F.shiftright("user_id", 5)
-    stretched = _ntz("2023-11-28 00:00:00") + (F.col("ts") - _ntz("2024-01-01 00:00:00")) * 4
-    minute = F.minute("_at")
-    measured = midnight(F.col("_at")) + F.make_dt_interval(
-        hours=F.hour("_at"), mins=minute - minute % 10
+    stretched = (
+        "TIMESTAMP_NTZ '2023-11-28 00:00:00' + (ts - TIMESTAMP_NTZ '2024-01-01 00:00:00') * 4"
     )
-    k = F.from_json("props", "k DOUBLE")["k"]
-    event, kind = F.col("event_id"), F.col("event_type")
-    events = table(spark, sf_dir, "events").select(
-        "event_id", "event_type", "value", number.alias("_no"), stretched.alias("_at"), k.alias("_k")
+    events = table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        "event_type",
+        "value",
+        "shiftright(user_id, 5) AS no",
+        f"{stretched} AS at",
+        "from_json(props, 'k DOUBLE').k AS k",
     )
-    readings = events.select(
+    readings = events.select("*", station_id(F.col("no")).alias("station_id")).selectExpr(
         "event_id",
-        station_id(F.col("_no")).alias("station_id"),
-        F.when(kind == "error", F.lit(-99.0)).otherwise(F.col("value")).alias("air_temperature"),
-        (F.col("_k") + 900).alias("air_pressure"),
-        (event % 101).cast("double").alias("relative_humidity"),
-        ((event % 173).cast("double") / 10).alias("wind_speed"),
-        (F.col("_k") * 10 % 360).alias("wind_direction"),
-        (event * 7 % 360).cast("double").alias("wind_direction_gust"),
-        (((event % 173).cast("double") + F.col("_k")) / 10).alias("peak_gust_speed"),
-        F.when(kind == "purchase", F.col("_k") / 2)
-        .when(kind == "signup", F.lit(-99.0))
-        .otherwise(F.lit(0.0))
-        .alias("precipitation"),
-        F.when(kind != "view", (event % 11).cast("double") / 10).alias("sunshine_duration_10min"),
-        (event % 12).cast("double").alias("uv_index"),
-        F.concat(F.lit("Station "), F.col("_no").cast("string"), F.lit(" "), kind).alias(
-            "station_name"
-        ),
-        F.when(kind == "error", F.lit("-99")).otherwise(kind).alias("visibility"),
-        F.when(kind == "click", F.lit("-99")).otherwise(kind).alias("weather_status"),
-        measured.alias("measure_at"),
+        "station_id",
+        "IF(event_type = 'error', -99D, value) AS air_temperature",
+        "k + 900 AS air_pressure",
+        "CAST(event_id % 101 AS DOUBLE) AS relative_humidity",
+        "CAST(event_id % 173 AS DOUBLE) / 10D AS wind_speed",
+        "k * 10 % 360 AS wind_direction",
+        "CAST(event_id * 7 % 360 AS DOUBLE) AS wind_direction_gust",
+        "(CAST(event_id % 173 AS DOUBLE) + k) / 10D AS peak_gust_speed",
+        "CASE event_type WHEN 'purchase' THEN k / 2D WHEN 'signup' THEN -99D ELSE 0D END"
+        " AS precipitation",
+        "IF(event_type = 'view', NULL, CAST(event_id % 11 AS DOUBLE) / 10D)"
+        " AS sunshine_duration_10min",
+        "CAST(event_id % 12 AS DOUBLE) AS uv_index",
+        "concat('Station ', no, ' ', event_type) AS station_name",
+        "IF(event_type = 'error', '-99', event_type) AS visibility",
+        "IF(event_type = 'click', '-99', event_type) AS weather_status",
+        "CAST(CAST(at AS DATE) AS TIMESTAMP_NTZ)"
+        " + make_dt_interval(0, hour(at), minute(at) - minute(at) % 10) AS measure_at",
     )
     return readings.withColumn("station_type", station_class("station_id"))
 

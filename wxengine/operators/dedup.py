@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-READING_KEY = ("station_id", "measure_at")
+# The time leads: sorts compare its eight bytes first and seldom reach the station.
+READING_KEY = ("measure_at", "station_id")
 
 
 def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:

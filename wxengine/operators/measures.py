@@ -73,19 +73,24 @@ class Measures:
                 state[name] = " + ".join(f"coalesce({value}, 0L)" for value in values)
         return state
 
-    def values(self, suffix: str) -> list[str]:
+    def values(self, suffix: str, prefix: str = "") -> list[str]:
         """Result columns ``<measurement>_<suffix>_{average,sum,max}`` of a state.
 
-        A sum or average over NULLs only is NULL.
+        ``prefix`` leads the names of the state columns. A sum or average over NULLs only
+        is NULL.
         """
 
         def total(c: str, count: str) -> str:
-            return f"IF(`num_{c}` > 0, {rounded_ratio(f'`sum_{c}`', count)}, NULL)"
+            ratio = rounded_ratio(f"`{prefix}sum_{c}`", count)
+            return f"IF(`{prefix}num_{c}` > 0, {ratio}, NULL)"
 
         return (
-            [f"{total(c, f'`num_{c}`')} AS `{c}_{suffix}_average`" for c in self.averaged]
+            [f"{total(c, f'`{prefix}num_{c}`')} AS `{c}_{suffix}_average`" for c in self.averaged]
             + [f"{total(c, '1L')} AS `{c}_{suffix}_sum`" for c in self.summed]
-            + [f"{rounded_ratio(f'`max_{c}`')} AS `{c}_{suffix}_max`" for c in self.maxed]
+            + [
+                f"{rounded_ratio(f'`{prefix}max_{c}`')} AS `{c}_{suffix}_max`"
+                for c in self.maxed
+            ]
         )
 
 

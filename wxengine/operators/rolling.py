@@ -56,12 +56,13 @@ def rolling(
         days = _days_between(readings, long_grains, measures, station, at)
         rows = rows.unionByName(days, allowMissingColumns=True)
 
+    # The day leads every sort, as it is cheaper to compare than the station.
     # Starts sort before own readings of the same time, as intervals are closed; the row of
     # whole days has no time and sorts first. The hour leads, so both windows share a sort.
     hour = "_hour, " if hourly else ""
     order = f"_tod, _role DESC {_RUNNING}"
-    day_window = f"OVER (PARTITION BY `{station}`, _day ORDER BY {hour}{order})"
-    hour_window = f"OVER (PARTITION BY `{station}`, _day, _hour ORDER BY {order})"
+    day_window = f"OVER (PARTITION BY _day, `{station}` ORDER BY {hour}{order})"
+    hour_window = f"OVER (PARTITION BY _day, `{station}`, _hour ORDER BY {order})"
     found = [
         f"last(IF(_role = {_ROLE[g]}, _start, NULL), true) {day_window} AS _start_{g.suffix}"
         for g in grains
@@ -75,31 +76,21 @@ def rolling(
         start = f"last(IF(_role = {_ROLE[HOURLY]}, _start, NULL), true) {hour_window}"
         rows = rows.selectExpr("*", f"{start} AS _start_hourly")
 
-    results = []
+    totals, values = [], []
     for grain in grains:
         parts = ["_rest_hour" if grain == HOURLY else "_rest_day", f"_start_{grain.suffix}"]
         parts += [f"_between_{grain.suffix}"] if grain in long_grains else []
-        state = measures.joined(parts)
-        fields = ", ".join(f"{value} AS `{name}`" for name, value in state.items())
-        results.append(f"struct({fields}) AS `{grain.suffix}`")
-    rows = rows.filter(f"_role = {_OWN}").selectExpr(*_quoted(readings.columns), *results)
-    values = []
-    for grain in grains:
-        of_grain = measures.values(grain.suffix)
-        values += [_inside(value, grain.suffix, measures) for value in of_grain]
-    return rows.selectExpr(*_quoted(readings.columns), *values)
+        prefix = f"{grain.suffix}_"
+        totals += [f"{value} AS `{prefix}{n}`" for n, value in measures.joined(parts).items()]
+        values += measures.values(grain.suffix, prefix)
+    own = rows.filter(f"_role = {_OWN}").selectExpr(*_quoted(readings.columns), *totals)
+    return own.selectExpr(*_quoted(readings.columns), *values)
 
 
 def _quoted(columns: Sequence[str]) -> list[str]:
     return [f"`{c}`" for c in columns]
 
 
-def _inside(value: str, struct: str, measures: Measures) -> str:
-    for name in measures.state_columns:
-        value = value.replace(f"`{name}`", f"`{struct}`.`{name}`")
-    return value
-
-
 def _with_blocks(readings, measures, station, at, hourly, by_day) -> DataFrame:
     """Readings with the start and the rest of their day, and of their hour if needed."""
     day, tod = f"CAST(`{at}` AS DATE)", f"`{at}` - CAST(CAST(`{at}` AS DATE) AS TIMESTAMP_NTZ)"
@@ -116,9 +107,9 @@ def _with_blocks(readings, measures, station, at, hourly, by_day) -> DataFrame:
     # alike, as the hour orders a day the way the time of day does.
     for prefix, hour, direction in (("start", "_hour", ""), ("rest", "_hour_down", "DESC")):
         for block in blocks:
-            by_hour = f"PARTITION BY `{station}`, _day, {hour} ORDER BY _tod {direction}"
+            by_hour = f"PARTITION BY _day, `{station}`, {hour} ORDER BY _tod {direction}"
             lead = f"{hour}, " if hourly else ""
-            whole = f"PARTITION BY `{station}`, _day ORDER BY {lead}_tod {direction}"
+            whole = f"PARTITION BY _day, `{station}` ORDER BY {lead}_tod {direction}"
             window = f"OVER ({by_hour if block == 'hour' else whole} {_RUNNING})"
             rows = rows.selectExpr("*", *measures.merged_state(f"{prefix}_{block}_", over=window))
     packed = [
