@@ -38,7 +38,7 @@ def anchored(
         f"`{station}`", f"`{at}` AS _at", *from_anchor, *measures.reading_state()
     ).withColumn(at, F.explode(units_of(F.col("_at"), grain)))
     on_anchor = F.col("_at") == F.col(at)
-    units = states.groupBy(station, at).agg(
+    units = states.groupBy(at, station).agg(
         *[F.expr(item) for item in measures.merged_state()],
         F.max(on_anchor).alias("_anchored"),
         *[F.max(F.when(on_anchor, F.col(c))).alias(c) for c in from_anchor],

@@ -42,7 +42,7 @@ def day_states(
             "_on_midnight": F.col(at) == midnight(F.col(at)),
         }
     )
-    return states.groupBy(station, "measure_date").agg(*day_aggregates(measures))
+    return states.groupBy("measure_date", station).agg(*day_aggregates(measures))
 
 
 def units_from_days(
@@ -78,7 +78,7 @@ def units_from_days(
         "_opening",
         "IF(_opening, station_name, NULL) AS station_name",
     )
-    units = states.groupBy(station, at).agg(
+    units = states.groupBy(at, station).agg(
         *[F.expr(item) for item in measures.merged_state()],
         F.max("_opening").alias("_anchored"),
         F.max("station_name").alias("station_name"),

@@ -57,14 +57,16 @@ STATION_COLUMNS = {
 }
 
 
-def full_outer_split(left: DataFrame, right: DataFrame, key: str, right_key: str) -> DataFrame:
+def full_outer_split(
+    left: DataFrame, right: DataFrame, key: str, right_key: str, known: DataFrame
+) -> DataFrame:
     """Full outer join as a left outer join plus the right rows without a partner.
 
     Both halves are joins that adaptive execution can split on a skewed key, which it does
-    not do for a full outer join. The keys must have different names.
+    not do for a full outer join. ``known`` holds the keys of the left side, in one column.
     """
     matched = left.join(right, F.col(key) == F.col(right_key), "left_outer")
-    known = left.select(F.col(key).alias("_known")).distinct()
+    known = known.toDF("_known").distinct()
     alone = right.join(known, F.col(right_key) == F.col("_known"), "left_anti")
     return matched.unionByName(alone, allowMissingColumns=True)
 
@@ -77,21 +79,18 @@ def _from_inputs(joined: DataFrame, columns: dict[str, tuple[str, ...]]) -> Data
     return joined.select(*[F.coalesce(*inputs).alias(name) for name, inputs in columns.items()])
 
 
-def _outer(left, right, key, right_key, unique_keys) -> DataFrame:
-    if unique_keys:
-        return left.join(right, F.col(key) == F.col(right_key), "full_outer")
-    return full_outer_split(left, right, key, right_key)
-
-
 def rain_with_weather(rain: DataFrame, weather: DataFrame, unique_keys: bool = False) -> DataFrame:
     """Full outer join of the two registers.
 
     Registers that were landed k and m times give k*m rows per station; ``unique_keys``
     promises one row per station on either side.
     """
-    joined = _outer(
-        _prefixed(rain, "r_"), _prefixed(weather, "w_"), "r_station_id", "w_station_id", unique_keys
-    )
+    left, right = _prefixed(rain, "r_"), _prefixed(weather, "w_")
+    if unique_keys:
+        joined = left.join(right, F.col("r_station_id") == F.col("w_station_id"), "full_outer")
+    else:
+        known = rain.select("station_id")
+        joined = full_outer_split(left, right, "r_station_id", "w_station_id", known)
     return _from_inputs(joined, REGISTER_COLUMNS)
 
 
@@ -104,7 +103,15 @@ def all_stations(
     its prefix, and it has neither name nor altitude.
     """
     registers = _prefixed(rain_with_weather(rain, weather, unique_keys), "s_")
-    joined = _outer(registers, _prefixed(geo, "g_"), "s_station_id", "g_station_id", unique_keys)
+    seen = _prefixed(geo, "g_")
+    if unique_keys:
+        joined = registers.join(
+            seen, F.col("s_station_id") == F.col("g_station_id"), "full_outer"
+        )
+    else:
+        # The joined registers know exactly the ids of either register.
+        known = rain.select("station_id").unionAll(weather.select("station_id"))
+        joined = full_outer_split(registers, seen, "s_station_id", "g_station_id", known)
     joined = joined.withColumn("s_station_type", station_class("s_station_id"))
     return _from_inputs(joined, STATION_COLUMNS)
 

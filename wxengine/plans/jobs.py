@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from wxengine.functions.calendar import GRAINS
 from wxengine.operators.stations import existing_stations, revoked_stations
@@ -15,9 +16,20 @@ from wxengine.sources.landing import (
     MEASUREMENTS,
     RAIN_STATIONS,
     WEATHER_STATIONS,
-    read_landing,
+    read_archive,
 )
-from wxengine.sources.tables import read_table
+from wxengine.sources.tables import (
+    high_water_mark,
+    newer_than,
+    read_table,
+    table_exists,
+    write_table,
+)
+from wxengine.streaming.ingest import ingest
+
+FEEDS = (MEASUREMENTS, WEATHER_STATIONS, RAIN_STATIONS)
+# How far the clock of a station may run ahead of the arrival of its readings.
+CLOCK_SLACK = dt.timedelta(days=1)
 
 
 @dataclass(frozen=True)
@@ -27,8 +39,19 @@ class Layout:
     landing: str
     warehouse: str
 
-    def feed(self, name: str) -> str:
-        return f"{self.landing}/{name}"
+    def landed(self, feed: str) -> str:
+        return f"{self.landing}/{feed}"
+
+    def checkpoint(self, feed: str) -> str:
+        return f"{self.warehouse}/checkpoints/{feed}"
+
+    @property
+    def archive(self) -> str:
+        return f"{self.warehouse}/archive"
+
+    @property
+    def readings(self) -> str:
+        return f"{self.warehouse}/staging/readings"
 
     @property
     def rolling(self) -> str:
@@ -42,18 +65,52 @@ class Layout:
         return f"{self.warehouse}/artifacts/{name}"
 
 
+def run_ingest(
+    spark: SparkSession,
+    layout: Layout,
+    feeds: tuple[str, ...] = FEEDS,
+    max_files_per_trigger: int | None = 10_000,
+) -> None:
+    """Archive what has newly landed in each feed."""
+    for feed in feeds:
+        query = ingest(
+            spark,
+            layout.landed(feed),
+            layout.archive,
+            feed,
+            layout.checkpoint(feed),
+            max_files_per_trigger,
+        )
+        query.awaitTermination()
+
+
 def run_measurements(
     spark: SparkSession, layout: Layout, full_refresh: bool = False, only_closed: bool = False
 ) -> None:
-    """Bring the rolling table and the four published tables up to date."""
-    responses = read_landing(spark, layout.feed(MEASUREMENTS))
-    readings = staging.measurements(responses)
-    update_rolling(
-        spark, readings, layout.rolling, full_refresh=full_refresh, only_closed=only_closed
-    )
-    rolled = read_table(spark, layout.rolling)
-    for grain in GRAINS:
-        update_artifact(spark, rolled, grain, layout.artifact(grain.suffix), full_refresh)
+    """Bring the rolling table and the four published tables up to date.
+
+    An incremental run reads the archive from the high-water mark's date on. The readings
+    of the run are stored once, so that their JSON is taken apart and deduplicated once.
+    """
+    incremental = not full_refresh and table_exists(spark, layout.rolling)
+    if incremental:
+        mark = high_water_mark(spark, layout.rolling)
+        since = mark.date() - CLOCK_SLACK if mark else None
+        readings = staging.measurements(read_archive(spark, layout.archive, MEASUREMENTS, since))
+        readings = newer_than(readings, mark)
+    else:
+        readings = staging.measurements(read_archive(spark, layout.archive, MEASUREMENTS))
+    write_table(readings, layout.readings, "overwrite")
+
+    readings = read_table(spark, layout.readings)
+    if readings is not None:
+        update_rolling(
+            spark, readings, layout.rolling, full_refresh=full_refresh, only_closed=only_closed
+        )
+    rolled: DataFrame | None = read_table(spark, layout.rolling)
+    if rolled is not None:
+        for grain in GRAINS:
+            update_artifact(spark, rolled, grain, layout.artifact(grain.suffix), full_refresh)
 
 
 def run_stations(
@@ -68,9 +125,9 @@ def run_stations(
     every row on each run.
     """
     dimension = station_dimension(
-        read_landing(spark, layout.feed(RAIN_STATIONS)),
-        read_landing(spark, layout.feed(WEATHER_STATIONS)),
-        read_landing(spark, layout.feed(MEASUREMENTS)),
+        read_archive(spark, layout.archive, RAIN_STATIONS),
+        read_archive(spark, layout.archive, WEATHER_STATIONS),
+        read_archive(spark, layout.archive, MEASUREMENTS),
         latest_snapshot,
     )
     dimension.write.mode("overwrite").parquet(layout.stations)
@@ -81,6 +138,7 @@ def run_stations(
 
 
 def full_refresh(spark: SparkSession, layout: Layout) -> None:
-    """Rebuild everything from the landed responses."""
+    """Archive what has landed, then rebuild everything from the archive."""
+    run_ingest(spark, layout)
     run_stations(spark, layout)
     run_measurements(spark, layout, full_refresh=True)

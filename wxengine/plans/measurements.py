@@ -12,7 +12,7 @@ from wxengine.operators.anchored import anchored
 from wxengine.operators.measures import WEATHER, Measures
 from wxengine.operators.rolling import rolling
 from wxengine.operators.select_suffix import publish
-from wxengine.sources.tables import high_water_mark, newer_than, read_table, write_table
+from wxengine.sources.tables import high_water_mark, newer_than, table_exists, write_table
 
 
 def closed_windows(rolled: DataFrame, readings: DataFrame, grain: Grain, at: str = "measure_at") -> DataFrame:
@@ -55,7 +55,7 @@ def update_rolling(
     stored with a window that was still open keep its value, until a full refresh.
     ``only_closed`` holds rows back until the longest window has ended.
     """
-    rebuild = full_refresh or read_table(spark, target) is None
+    rebuild = full_refresh or not table_exists(spark, target)
     if not rebuild:
         readings = newer_than(readings, high_water_mark(spark, target))
     rolled = rolling(readings, grains, measures)
@@ -70,7 +70,7 @@ def update_artifact(
 ) -> None:
     """Append the newer rows of one published table, or rebuild it."""
     rows = artifact(rolled, grain)
-    rebuild = full_refresh or read_table(spark, target) is None
+    rebuild = full_refresh or not table_exists(spark, target)
     if not rebuild:
         rows = newer_than(rows, high_water_mark(spark, target))
     write_table(rows, target, "overwrite" if rebuild else "append")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamReader
 
@@ -47,26 +49,40 @@ def arrived_at(landed_file: Column | str) -> Column:
     )
 
 
-def compact_landing(responses: DataFrame, target: str, feed: str, mode: str = "append") -> None:
-    """Archive landed responses as Parquet by feed and arrival date.
+def with_arrival(responses: DataFrame) -> DataFrame:
+    """Add arrival minute and arrival date, the partition of the archive."""
+    arrived = responses.withColumn("arrived_at", arrived_at("landed_file"))
+    return arrived.withColumn("ingest_date", F.col("arrived_at").cast("date"))
+
+
+def archive_path(archive: str, feed: str) -> str:
+    return f"{archive}/feed={feed}"
+
+
+def compact_landing(responses: DataFrame, archive: str, feed: str, mode: str = "append") -> None:
+    """Archive landed responses of a feed as Parquet by arrival date.
 
     Many small files become few large ones: the rebalance gathers the rows of a date and
     splits a date that is too big for one task.
     """
     (
-        responses.withColumn("arrived_at", arrived_at("landed_file"))
-        .withColumn("feed", F.lit(feed))
-        .withColumn("ingest_date", F.col("arrived_at").cast("date"))
+        with_arrival(responses)
         .hint("rebalance", "ingest_date")
         .write.mode(mode)
-        .partitionBy("feed", "ingest_date")
-        .parquet(target)
+        .partitionBy("ingest_date")
+        .parquet(archive_path(archive, feed))
     )
 
 
-def read_archive(spark: SparkSession, target: str, feed: str, since: str | None = None) -> DataFrame:
-    """Archived responses of a feed; ``since`` prunes to arrival dates from that day on."""
-    archive = spark.read.parquet(target).filter(F.col("feed") == feed)
+def read_archive(
+    spark: SparkSession, archive: str, feed: str, since: dt.date | None = None
+) -> DataFrame:
+    """Archived responses of a feed.
+
+    ``since`` prunes to arrivals from that date on; responses of unknown arrival stay.
+    """
+    responses = spark.read.parquet(archive_path(archive, feed)).withColumn("feed", F.lit(feed))
     if since is not None:
-        archive = archive.filter(F.col("ingest_date") >= F.lit(since).cast("date"))
-    return archive
+        recent = F.col("ingest_date") >= F.lit(since)
+        responses = responses.filter(recent | F.col("ingest_date").isNull())
+    return responses

@@ -10,8 +10,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 PARTITION = "measure_date"
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the table was ever written, be it without rows."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        # A partitioned table without rows has no file to take a schema from.
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+    return True
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored table without its partition column, or None before the first write."""
+    """The stored table without its partition column; None where no row is stored."""
     try:
         return spark.read.parquet(path).drop(PARTITION)
     except AnalysisException as error:
@@ -40,6 +53,8 @@ def high_water_mark(spark: SparkSession, path: str, at: str = "measure_at") -> d
 
     The newest partition is found first, so only its files are read for the time.
     """
+    if read_table(spark, path) is None:
+        return None
     stored = spark.read.parquet(path)
     newest = stored.agg(F.max(PARTITION)).first()[0]
     if newest is None:

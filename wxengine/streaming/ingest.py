@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from wxengine.operators.dedup import latest_per_key
-from wxengine.sources.landing import arrived_at, stream_landing
+from wxengine.sources.landing import archive_path, stream_landing, with_arrival
 
 
 def ingest(
@@ -19,17 +19,13 @@ def ingest(
 ) -> StreamingQuery:
     """Archive all files that have arrived since the last run, each exactly once."""
     responses = stream_landing(spark, landing, max_files_per_trigger)
-    arrivals = (
-        responses.withColumn("arrived_at", arrived_at("landed_file"))
-        .withColumn("feed", F.lit(feed))
-        .withColumn("ingest_date", F.col("arrived_at").cast("date"))
-    )
     return (
-        arrivals.writeStream.format("parquet")
+        with_arrival(responses)
+        .writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
-        .partitionBy("feed", "ingest_date")
+        .partitionBy("ingest_date")
         .trigger(availableNow=True)
-        .start(archive)
+        .start(archive_path(archive, feed))
     )
 
 
