@@ -102,16 +102,22 @@ def _with_blocks(readings, measures, station, at, hourly, by_day) -> DataFrame:
         f"-hour(`{at}`) AS _hour_down",
         *measures.reading_state(),
     )
-    blocks = (["day"] if by_day else []) + (["hour"] if hourly else [])
     # Days first: their shuffle also serves the hours. Both windows of a direction sort
-    # alike, as the hour orders a day the way the time of day does.
-    for prefix, hour, direction in (("start", "_hour", ""), ("rest", "_hour_down", "DESC")):
+    # alike, as the hour orders a day the way the time of day does. Going down by a number
+    # that the upward windows give keeps the optimizer from mixing the directions, which
+    # would sort again for every window.
+    blocks = (["day"] if by_day else []) + (["hour"] if hourly else [])
+    for prefix, hour, order in (("start", "_hour", "_tod"), ("rest", "_hour_down", "_nth DESC")):
+        numbered = ["count(1) {window} AS _nth"] if prefix == "start" else []
         for block in blocks:
-            by_hour = f"PARTITION BY _day, `{station}`, {hour} ORDER BY _tod {direction}"
-            lead = f"{hour}, " if hourly else ""
-            whole = f"PARTITION BY _day, `{station}` ORDER BY {lead}_tod {direction}"
-            window = f"OVER ({by_hour if block == 'hour' else whole} {_RUNNING})"
-            rows = rows.selectExpr("*", *measures.merged_state(f"{prefix}_{block}_", over=window))
+            if block == "hour":
+                keys, lead = f"_day, `{station}`, {hour}", ""
+            else:
+                keys, lead = f"_day, `{station}`", f"{hour}, " if hourly else ""
+            window = f"OVER (PARTITION BY {keys} ORDER BY {lead}{order} {_RUNNING})"
+            number = [n.format(window=window) for n in numbered if block == blocks[-1]]
+            states = measures.merged_state(f"{prefix}_{block}_", over=window)
+            rows = rows.selectExpr("*", *states, *number)
     packed = [
         f"{measures.packed(f'{prefix}_{block}_')} AS _{prefix}_{block}"
         for prefix in ("start", "rest")
