@@ -36,7 +36,9 @@ def anchored(
     """
     states = readings.selectExpr(
         f"`{station}`", f"`{at}` AS _at", *from_anchor, *measures.reading_state()
-    ).withColumn(at, F.explode(units_of(F.col("_at"), grain)))
+    )
+    states = states.withColumn("_units", units_of(F.col("_at"), grain))
+    states = states.withColumn(at, F.explode("_units"))
     on_anchor = F.col("_at") == F.col(at)
     units = states.groupBy(at, station).agg(
         *[F.expr(item) for item in measures.merged_state()],

@@ -9,7 +9,8 @@ series by day, and is exact for all four grains:
                       +  start of the block of t + interval
 
 A block is a day, or an hour for the hourly grain. It takes two shuffles on
-(station, day), so a busy station spreads over its days:
+(station, day), so a busy station spreads over its days, and no task needs more of a series
+at once than one station's readings of one day, 144 at a ten-minute cadence:
 
 1. Running aggregates upward and downward give, at each reading, the start of its block up
    to it and the rest of its block from it on.
@@ -107,17 +108,19 @@ def _with_blocks(readings, measures, station, at, hourly, by_day) -> DataFrame:
     # that the upward windows give keeps the optimizer from mixing the directions, which
     # would sort again for every window.
     blocks = (["day"] if by_day else []) + (["hour"] if hourly else [])
-    for prefix, hour, order in (("start", "_hour", "_tod"), ("rest", "_hour_down", "_nth DESC")):
-        numbered = ["count(1) {window} AS _nth"] if prefix == "start" else []
-        for block in blocks:
-            if block == "hour":
-                keys, lead = f"_day, `{station}`, {hour}", ""
-            else:
-                keys, lead = f"_day, `{station}`", f"{hour}, " if hourly else ""
-            window = f"OVER (PARTITION BY {keys} ORDER BY {lead}{order} {_RUNNING})"
-            number = [n.format(window=window) for n in numbered if block == blocks[-1]]
-            states = measures.merged_state(f"{prefix}_{block}_", over=window)
-            rows = rows.selectExpr("*", *states, *number)
+
+    def window(block: str, hour: str, order: str) -> str:
+        keys = f"_day, `{station}`" + (f", {hour}" if block == "hour" else "")
+        lead = f"{hour}, " if hourly and block == "day" else ""
+        return f"OVER (PARTITION BY {keys} ORDER BY {lead}{order} {_RUNNING})"
+
+    for block in blocks:
+        up = window(block, "_hour", "_tod")
+        rows = rows.selectExpr("*", *measures.merged_state(f"start_{block}_", over=up))
+    rows = rows.selectExpr("*", f"count(1) {up} AS _nth")
+    for block in blocks:
+        down = window(block, "_hour_down", "_nth DESC")
+        rows = rows.selectExpr("*", *measures.merged_state(f"rest_{block}_", over=down))
     packed = [
         f"{measures.packed(f'{prefix}_{block}_')} AS _{prefix}_{block}"
         for prefix in ("start", "rest")
@@ -143,13 +146,15 @@ def _placed(blocks: DataFrame, columns, grains, station) -> DataFrame:
         places.append(place("date_sub(_day, 7)", "_tod", _ROLE[WEEKLY]))
     all_places = f"array({', '.join(places)})"
     if MONTHLY in grains:
-        # Up to four days share a month end (Jan 28-31 all lead to Feb 28); none leads to
-        # some days (no day plus a month is Mar 30 in a common year).
-        before = "add_months(_day, -1)"
-        days = f"sequence({before}, date_add({before}, 3))"
-        starts = f"filter({days}, d -> add_months(d, 1) = _day)"
-        monthly = f"transform({starts}, d -> {place('d', '_tod', _ROLE[MONTHLY])})"
-        all_places = f"concat({all_places}, {monthly})"
+        # The last of a month is reached from up to four days (Feb 28 from Jan 28 to 31),
+        # other days from one, and some from none (Mar 30 of a common year): NULL places.
+        before = [f"date_add(add_months(_day, -1), {later})" for later in range(4)]
+        months = [
+            f"IF(add_months({day}, 1) = _day, {place(day, '_tod', _ROLE[MONTHLY])}, NULL)"
+            for day in before
+        ]
+        usual, at_end = ", ".join([*places, months[0]]), ", ".join([*places, *months])
+        all_places = f"IF(_day = last_day(_day), array({at_end}), array({usual}))"
 
     structs = [c for c in blocks.columns if c.startswith("_rest_")]
     by_hour, by_day = "_start_hour" in blocks.columns, "_start_day" in blocks.columns
@@ -158,7 +163,11 @@ def _placed(blocks: DataFrame, columns, grains, station) -> DataFrame:
         start = f"IF(_place._role = {_ROLE[HOURLY]}, _start_hour, _start_day)"
     own = f"_place._role = {_OWN}"
     kept = [c for c in columns if c != station]
-    placed = blocks.withColumn("_place", F.explode(F.expr(all_places)))
+    # As a column of its own the array is generated code also where explode is not.
+    placed = blocks.withColumn("_places", F.expr(all_places)).withColumn(
+        "_place", F.explode("_places")
+    )
+    placed = placed.filter("_place IS NOT NULL")
     return placed.selectExpr(
         f"`{station}`",
         *[f"IF({own}, `{c}`, NULL) AS `{c}`" for c in [*kept, *structs]],
