@@ -13,6 +13,7 @@ from wxengine.plans import jobs
 from wxengine.plans.measurements import closed_windows, update_rolling
 from wxengine.operators.rolling import rolling
 from wxengine.sources.landing import MEASUREMENTS, RAIN_STATIONS, WEATHER_STATIONS
+from wxengine.session import shared_dir
 from wxengine.sources.tables import read_table
 
 START = dt.datetime(2024, 7, 31, 22)
@@ -159,3 +160,14 @@ def test_suffixes_in_any_case(spark):
         "precipitation",
         "precipitationmax",
     ]
+
+
+def test_shared_folder_is_the_one_the_cluster_names():
+    class Session:
+        def __init__(self, **conf):
+            self.conf = self
+            self.get = lambda key, default=None: conf.get(key.replace(".", "_"), default)
+
+    named = shared_dir(Session(spark_checkpoint_dir="s3a://bucket/shared/"), "x")
+    assert named.startswith("s3a://bucket/shared/wxengine/x-")
+    assert shared_dir(Session(), "x") != shared_dir(Session(), "x")

@@ -47,6 +47,8 @@ def rolling(
 
     The readings must be unique by station and time.
     """
+    if not grains:
+        return readings
     hourly = HOURLY in grains
     by_day = any(grain != HOURLY for grain in grains)
     long_grains = [grain for grain in grains if grain in (WEEKLY, MONTHLY)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -37,11 +38,13 @@ def build_session(app_name: str = "wxengine", **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new, unused folder path that every executor can reach.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``. Only where that
-    is unset (tests on one machine) a local temporary folder takes its place.
+    The cluster names its shared folder in ``spark.checkpoint.dir``. Only where that is
+    unset (tests on one machine) a local temporary folder takes its place.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
-    if not root:
-        root = tempfile.mkdtemp(prefix="wxengine-")
-        spark.conf.set(CHECKPOINT_DIR, root)
+    root = spark.conf.get(CHECKPOINT_DIR, None) or _local_root()
     return f"{root.rstrip('/')}/wxengine/{label}-{uuid.uuid4().hex}"
+
+
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="wxengine-")
