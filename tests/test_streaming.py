@@ -5,8 +5,16 @@ from pathlib import Path
 
 import payloads
 import pytest
-
-from wxengine.functions.calendar import DAILY, HOURLY, MONTHLY, WEEKLY
+from pyspark.sql import functions as F
+
+from wxengine.functions.calendar import (
+    DAILY,
+    HOURLY,
+    MONTHLY,
+    WEEKLY,
+    instant_to_wall,
+    wall_to_instant,
+)
 from wxengine.operators.anchored import anchored
 from wxengine.operators.day_states import units_from_days
 from wxengine.operators.measures import Measures
@@ -131,3 +139,21 @@ def test_months_have_no_tumbling_window(feed):
     with pytest.raises(ValueError, match="stream_day_states"):
         feed.land(response([0]))
         aggregate.stream_units(feed.readings(), MONTHLY, "1 day", MEASURES)
+
+
+def test_instants_ignore_daylight_saving(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        walls = spark.sql(
+            "SELECT explode(sequence(TIMESTAMP_NTZ '2024-03-09 00:00:00',"
+            " TIMESTAMP_NTZ '2024-03-12 00:00:00', INTERVAL '10' MINUTE)) AS wall"
+        )
+        micro = F.expr("INTERVAL '0.000001' SECOND")
+        walls = walls.unionAll(walls.select(F.col("wall") - micro))
+        instant = wall_to_instant(F.col("wall"))
+        back = walls.select("wall", instant.alias("i"), instant_to_wall(instant).alias("back"))
+        steps = back.agg(F.max(F.unix_micros("i")) - F.min(F.unix_micros("i"))).first()[0]
+        assert back.filter("wall <> back").count() == 0
+        assert steps == 3 * 86400 * 10**6 + 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -60,14 +60,17 @@ def is_anchor(at: Column, grain: Grain) -> Column:
 
 
 def wall_to_instant(at: Column) -> Column:
-    """TIMESTAMP whose UTC clock shows the wall-clock value, whatever the session zone."""
-    return F.lit("1970-01-01T00:00:00Z").cast("timestamp") + (at - _epoch())
+    """TIMESTAMP whose UTC clock shows the wall-clock value, whatever the session zone.
+
+    Neither a cast nor interval arithmetic on TIMESTAMP would do: both follow the session
+    zone's daylight saving.
+    """
+    seconds = F.date_part(F.lit("SECOND"), at)
+    day = (F.year(at), F.month(at), F.dayofmonth(at))
+    return F.make_timestamp(*day, F.hour(at), F.minute(at), seconds, F.lit("UTC"))
 
 
 def instant_to_wall(instant: Column) -> Column:
     """Inverse of :func:`wall_to_instant`."""
-    return _epoch() + (instant - F.lit("1970-01-01T00:00:00Z").cast("timestamp"))
-
-
-def _epoch() -> Column:
-    return F.lit("1970-01-01T00:00:00").cast("timestamp_ntz")
+    since = F.expr("INTERVAL '0.000001' SECOND") * F.unix_micros(instant)
+    return F.lit("1970-01-01T00:00:00").cast("timestamp_ntz") + since

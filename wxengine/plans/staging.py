@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from wxengine.functions.calendar import instant_to_wall
 from wxengine.functions.cleaning import (
     empty_to_null,
     na_tag_to_null,
@@ -100,7 +101,7 @@ def observed_at(item: Column | str, keep_wall_clock: bool = True) -> Column:
     text = field(item, OBSERVED_AT, "string")
     if keep_wall_clock:
         return text.cast("timestamp_ntz")
-    return F.to_utc_timestamp(text.cast("timestamp"), F.current_timezone()).cast("timestamp_ntz")
+    return instant_to_wall(text.cast("timestamp"))
 
 
 def stations_in_records(responses: DataFrame) -> DataFrame:
