@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wxengine.llm import secret_scan
+from wxengine.llm import decontaminate, secret_scan
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,8 +33,66 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op4_decontaminate": op4_decontaminate,
 }
 
-ORACLES: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+_OP4_SQL = f"""
+WITH doc AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+    FROM documents
+), item AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
+        translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+    FROM benchmark
+), win AS (
+    SELECT DISTINCT item, n, array_to_string(w[i : i + n - 1], ' ') AS s
+    FROM (
+        SELECT item, w, least(13, len(w)) AS n,
+            unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i
+        FROM item WHERE len(w) > 0
+    )
+), size AS (SELECT DISTINCT n FROM win
+), place AS (
+    SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS s
+    FROM (
+        SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM doc, size WHERE len(w) >= n
+    )
+), hit AS (
+    SELECT doc_id, item, n, i FROM place JOIN win USING (n, s)
+), word AS (
+    SELECT doc_id, count(DISTINCT k) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hit) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+    coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op4_decontaminate": _OP4_SQL,
+}
