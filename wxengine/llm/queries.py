@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wxengine.llm import decontaminate, secret_scan
+from wxengine.llm import decontaminate, language_id, secret_scan
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(modulus: int) -> Column:
+    """crc32 of the document's id, as text, modulo ``modulus``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
+
+
 def _joined(spans: Column) -> Column:
     return F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
@@ -47,9 +52,21 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language_id.identify(docs, remainder(4) != 2)
+    return found.select(
+        "doc_id",
+        (remainder(4) == 2).alias("held_out"),
+        "_language.lang_pred",
+        "_language.score",
+    )
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op4_decontaminate": op4_decontaminate,
+    "op5_language_id": op5_language_id,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
