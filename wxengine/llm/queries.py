@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wxengine.llm import decontaminate, language_id, secret_scan
+from wxengine.llm import decontaminate, language_id, secret_scan, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,10 +63,23 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    found = toxicity.with_toxicity(docs, labels, remainder(5) != 0)
+    return found.select(
+        "doc_id",
+        (remainder(5) == 0).alias("held_out"),
+        F.col("_toxicity").alias("score"),
+        (F.col("_toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op4_decontaminate": op4_decontaminate,
     "op5_language_id": op5_language_id,
+    "op8_toxicity": op8_toxicity,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
