@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wxengine.llm import decontaminate, language_id, secret_scan, toxicity
+from wxengine.llm import decontaminate, embedding_dedup, language_id, secret_scan, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,11 +75,16 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link_embeddings(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op4_decontaminate": op4_decontaminate,
     "op5_language_id": op5_language_id,
     "op8_toxicity": op8_toxicity,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -123,6 +128,24 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+_OP10_SQL = """
+WITH RECURSIVE good AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), link AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+    ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9
+), reach(a, b) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+), component AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM link WHERE a = vec_id) AS n_links, component_id,
+    vec_id = component_id AS kept
+FROM embeddings JOIN component USING (vec_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op10_embedding_dedup": _OP10_SQL,
     "op4_decontaminate": _OP4_SQL,
 }
