@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wxengine.llm import decontaminate, embedding_dedup, language_id, secret_scan, toxicity
+from wxengine.llm import bpe, decontaminate, embedding_dedup, language_id, secret_scan, toxicity
+
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,11 +82,23 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link_embeddings(_table(spark, sf_dir, "embeddings"))
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codec = bpe.read_codec(public_tokenizers.path(TOKENIZER))
+    found = bpe.encode_decode(_table(spark, sf_dir, "documents"), codec)
+    return found.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op4_decontaminate": op4_decontaminate,
     "op5_language_id": op5_language_id,
     "op8_toxicity": op8_toxicity,
+    "op9_bpe": op9_bpe,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
 
