@@ -5,7 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wxengine.llm import bpe, decontaminate, embedding_dedup, language_id, secret_scan, toxicity
+from wxengine.llm import (
+    bpe,
+    decontaminate,
+    embedding_dedup,
+    language_id,
+    lm_scoring,
+    secret_scan,
+    toxicity,
+)
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -41,6 +49,19 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm_scoring.score_texts(_table(spark, sf_dir, "documents"), remainder(7) != 2)
+    return found.select(
+        "doc_id",
+        F.coalesce(remainder(7) == 2, F.lit(False)).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
@@ -95,6 +116,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_lm_scoring": op2_lm_scoring,
     "op4_decontaminate": op4_decontaminate,
     "op5_language_id": op5_language_id,
     "op8_toxicity": op8_toxicity,
