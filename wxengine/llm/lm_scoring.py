@@ -1,21 +1,21 @@
 """Log probability of texts under prediction by partial matching, learned from the corpus.
 
-The model is a trie of byte contexts up to order 4, with the counts of all training texts.
+The model is a trie of byte contexts up to order 5, with the counts of all training texts.
 A symbol is looked up in the longest context that was seen. Where it does not follow there,
-the escape estimate of method C (distinct symbols over distinct symbols plus occurrences) is
-paid, and the next shorter context is asked without the symbols of the longer one, down to
-all bytes alike. Texts are lower-cased in A-Z; each is preceded by four marks and followed by
-one, the byte 0xFF, which UTF-8 never uses, so that text lengths have probabilities too.
+the escape estimate of method D (half a count for each distinct symbol) is paid, and the next
+shorter context is asked without the symbols of the longer one, down to all bytes alike.
+Texts are lower-cased in A-Z; each is preceded by five marks and followed by one, the byte
+0xFF, which UTF-8 never uses, so that text lengths have probabilities too.
 
 A unigram model over words is scored beside it: words are runs without space and \\x09-\\x0D,
 each text ends in one more token, and a token's probability is (c + 1) / (N + V + 1).
 
 Both models grow with the corpus and are neither collected nor broadcast. Texts are dealt
-into chunks; each chunk hands its distinct words and byte 5-grams to the tables once and
+into chunks; each chunk hands its distinct words and byte 6-grams to the tables once and
 gets the counts and log probabilities of just those back (see ``chunks``). Log probabilities
-of 5-grams are worked out in groups with the same two last context bytes, which hold all that
-orders 2 to 4 need and at most 256^3 rows; the tables of orders 0 and 1, at most 65,536
-counts, are sent to the groups.
+of 6-grams are worked out in buckets of contexts that share their last three bytes, which
+hold all that orders 3 to 5 need; the counts of order 2 come with them from a join, and those
+of orders 0 and 1, at most 65,536, are broadcast.
 
 Edge cases. A null text counts as empty: its end is its only token. Without training texts
 every count is 0 and every byte has probability 1/256. Rows whose training flag is null do
@@ -26,7 +26,6 @@ empty result. Columns other than the id and the text are not looked at.
 from __future__ import annotations
 
 from collections import Counter
-from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -38,17 +37,17 @@ from wxengine.llm.arrow_text import LOWER, Pieces, pieces
 from wxengine.llm.chunks import CHUNK_BYTES, with_chunks
 from wxengine.session import shared_dir
 
-ORDER = 4
+ORDER = 5
 MARK = 0xFF
 # A word has no space, so this stands for the end of a text among the words.
 END = b" "
 _GRAM = ORDER + 1
-# Contexts of order 4 that are worked out at a time.
-_BLOCK = 4096
+# 6-grams that a bucket has on average.
+_BUCKET = 100_000
 
 
 def grams(piece: Pieces) -> tuple[np.ndarray, np.ndarray]:
-    """5-grams of all positions of all texts as integers, and where each text's begin.
+    """6-grams of all positions of all texts as integers, and where each text's begin.
 
     A text of n bytes has n + 1 of them: one that ends at each byte, and one at its mark.
     """
@@ -70,7 +69,7 @@ def grams(piece: Pieces) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _terms(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-    """Distinct words and 5-grams of a chunk, with their counts in its training texts."""
+    """Distinct words and 6-grams of a chunk, with their counts in its training texts."""
     words: Counter[bytes] = Counter()
     others: set[bytes] = set()
     found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -100,84 +99,103 @@ def _terms(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
     )
 
 
-def _log(x: np.ndarray) -> np.ndarray:
-    """Logarithm with 0 for 0: a factor of 1 where there is no choice left."""
-    return np.log(np.maximum(x, 1))
+class Level:
+    """Contexts of one order with the symbols seen or asked for after them.
 
+    A row is a context and a symbol, as one number ``key`` with a byte for each; rows are in
+    ascending order. ``entry`` is the log probability of the symbol for a look-up that starts
+    here, ``after`` that for one that has escaped from here.
+    """
 
-def _first(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Entry and after (see ``_longer``) of the empty context, before which all bytes are alike."""
-    left = np.full(table.shape, -np.log(max(256 - (table > 0).sum(), 1)))
-    return _entry(table, left), left
+    def __init__(
+        self, order: int, keys: np.ndarray, counts: np.ndarray, below: Level | None = None
+    ) -> None:
+        self.keys = keys
+        self.counts = counts
+        _, first, self.context = np.unique(keys >> 8, return_index=True, return_inverse=True)
+        seen = counts > 0
+        self.total = np.bincount(self.context, counts)
+        self.distinct = np.bincount(self.context, seen)
+        if below is None:
+            self.after = np.full(len(keys), -np.log(max(256 - self.distinct[0], 1)))
+            start = np.full(len(keys), -np.log(256))
+        else:
+            down = np.searchsorted(below.keys, keys & ((1 << (8 * order)) - 1))
+            parent = below.context[down[first]]
+            # One order down, the symbols of this context are left out.
+            lower = below.counts[down]
+            total = below.total[parent] - np.bincount(self.context, np.where(seen, lower, 0))
+            distinct = below.distinct[parent] - self.distinct
+            room = total[self.context]
+            escape = _log(distinct / 2, total)[self.context]
+            self.after = np.where(
+                lower > 0, _log(lower - 0.5, room), escape + below.after[down]
+            )
+            start = below.entry[down]
+        room = self.total[self.context]
+        escape = _log(self.distinct / 2, self.total)[self.context]
+        known = np.where(seen, _log(counts - 0.5, room), escape + self.after)
+        self.entry = np.where(room > 0, known, start)
 
 
-def _entry(table: np.ndarray, after: np.ndarray) -> np.ndarray:
-    distinct = (table > 0).sum(axis=1, keepdims=True)
-    room = _log(table.sum(axis=1, keepdims=True) + distinct)
-    return np.where(table > 0, _log(table) - room, _log(distinct) - room + after)
+def _log(x: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """log(x / of), and 0 (a factor of 1) where there is nothing to choose from."""
+    sound = (x > 0) & (of > 0)
+    return np.log(np.where(sound, x, 1) / np.where(sound, of, 1))
 
 
-def _longer(
-    table: np.ndarray, shorter: np.ndarray, entry: np.ndarray, after: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """Log probabilities by context and symbol, one order up.
+def log_probabilities(
+    gram: np.ndarray, n: np.ndarray, triple: np.ndarray, triple_n: np.ndarray, pairs: np.ndarray
+) -> np.ndarray:
+    """Natural log probability of each 6-gram's last byte after the five before it.
 
-    ``table`` has the contexts' counts, the rest those of their next shorter contexts: counts,
-    ``entry`` for symbols looked up there first, ``after`` for those it has escaped from.
-    Escaping from a context leaves out its own symbols one order down.
+    ``gram`` are all 6-grams of some contexts of order 3, with their counts ``n``; ``triple``
+    and ``triple_n`` are those of order 2 with the same last two bytes, ``pairs`` all counts
+    of order 1.
     """
-    seen = table > 0
-    fresh = ((shorter > 0) & ~seen).sum(axis=1, keepdims=True)
-    room = np.where(seen, 0, shorter).sum(axis=1, keepdims=True) + fresh
-    further = np.where(shorter > 0, _log(shorter), _log(fresh) + after) - _log(room)
-    never = ~seen.any(axis=1, keepdims=True)
-    return np.where(never, entry, _entry(table, further)), further
-
-
-def log_probabilities(gram: np.ndarray, n: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    """Natural log probability of each 5-gram's last byte after the four before it.
+    level = Level(0, np.arange(1 << 8), pairs.reshape(256, 256).sum(axis=0))
+    level = Level(1, np.arange(1 << 16), pairs, level)
+    ascending = np.argsort(triple)
+    level = Level(2, triple[ascending], triple_n[ascending], level)
+    for order in range(3, ORDER + 1):
+        keys, place = np.unique(gram & ((1 << (8 * order + 8)) - 1), return_inverse=True)
+        level = Level(order, keys, np.bincount(place, n), level)
+    return level.entry[np.searchsorted(level.keys, gram)]
+
+
+def _log_probabilities(grams: DataFrame, total: int, pairs: Broadcast) -> DataFrame:
+    """(gram, logp) for each distinct 6-gram with its count ``n`` in the training texts."""
+    buckets = -(-total // _BUCKET) or 1
+
+    def bucket(context: Column) -> Column:
+        return F.pmod(F.xxhash64(context), F.lit(buckets)).cast("int").alias("bucket")
+
+    context = F.shiftright("gram", 8).bitwiseAND((1 << 24) - 1)
+    by_bucket = grams.select(bucket(context), "gram", "n")
+    low = F.col("gram").bitwiseAND((1 << 24) - 1)
+    triples = grams.groupBy(low.alias("triple")).agg(F.sum("n").alias("n"))
+    triples = triples.withColumn("two", F.shiftright("triple", 8))
+    asked = grams.select(context.alias("three")).distinct()
+    asked = asked.select(
+        bucket(F.col("three")), F.col("three").bitwiseAND((1 << 16) - 1).alias("two")
+    ).distinct()
+    lower = asked.join(triples, "two").select("bucket", "triple", "n")
+
+    def one(upper: pd.DataFrame, below: pd.DataFrame) -> pd.DataFrame:
+        logp = log_probabilities(
+            upper["gram"].to_numpy(),
+            upper["n"].to_numpy(np.float64),
+            below["triple"].to_numpy(),
+            below["n"].to_numpy(np.float64),
+            pairs.value,
+        )
+        return pd.DataFrame({"gram": upper["gram"], "logp": logp})
 
-    ``gram`` are all 5-grams with the same third and fourth byte, ``n`` their counts;
-    ``pairs`` has the counts of all pairs of bytes.
-    """
-    symbol = gram & 0xFF
-    last = int((gram[0] >> 8) & 0xFF)
-    tables = [pairs.sum(axis=0, keepdims=True), pairs[last : last + 1]]
-    contexts: list[np.ndarray] = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
-    for order in (2, 3):
-        context, own = np.unique((gram >> 8) & ((1 << (8 * order)) - 1), return_inverse=True)
-        tables.append(np.bincount(own * 256 + symbol, n, len(context) * 256).reshape(-1, 256))
-        contexts.append(context)
-    entry, after = _first(tables[0])
-    for order in (1, 2, 3):
-        # Orders 0 to 2 have one context in a group; order 3 is found by its last two bytes.
-        up = np.zeros(len(tables[order]), dtype=np.int64)
-        entry, after = _longer(tables[order], tables[order - 1][up], entry[up], after[up])
-    out = np.empty(len(gram))
-    context, own = np.unique(gram >> 8, return_inverse=True)
-    parent = np.searchsorted(contexts[3], context & 0xFFFFFF)
-    order_of = np.argsort(own, kind="stable")
-    bounds = np.searchsorted(own[order_of], np.arange(0, len(context) + _BLOCK, _BLOCK))
-    for start, (a, b) in enumerate(pairwise(bounds)):
-        rows, base = order_of[a:b], start * _BLOCK
-        up = parent[base : base + _BLOCK]
-        keys = (own[rows] - base) * 256 + symbol[rows]
-        table = np.bincount(keys, n[rows], len(up) * 256).reshape(-1, 256)
-        here, _ = _longer(table, tables[3][up], entry[up], after[up])
-        out[rows] = here.ravel()[keys]
-    return out
-
-
-def _log_probabilities(grams: DataFrame, pairs: Broadcast) -> DataFrame:
-    """(gram, logp) for each distinct 5-gram with its count ``n`` in the training texts."""
-
-    def one(part: pd.DataFrame) -> pd.DataFrame:
-        gram = part["gram"].to_numpy()
-        logp = log_probabilities(gram, part["n"].to_numpy(np.float64), pairs.value)
-        return pd.DataFrame({"gram": gram, "logp": logp})
-
-    pair = F.shiftright("gram", 8).bitwiseAND(0xFFFF)
-    return grams.groupBy(pair).applyInPandas(one, "gram bigint, logp double")
+    return (
+        by_bucket.groupBy("bucket")
+        .cogroup(lower.groupBy("bucket"))
+        .applyInPandas(one, "gram bigint, logp double")
+    )
 
 
 def _scores(totals: tuple[int, int]):
@@ -260,7 +278,7 @@ def score_texts(
     pairs = np.zeros(1 << 16)
     for row in counts.groupBy(pair).agg(F.sum("n").alias("n")).collect():
         pairs[row["pair"]] = row["n"]
-    model = _log_probabilities(counts, spark.sparkContext.broadcast(pairs.reshape(256, 256)))
+    model = _log_probabilities(counts, counts.count(), spark.sparkContext.broadcast(pairs))
 
     answers = words.select(
         "_chunk", "word", F.lit(None).cast("bigint").alias("gram"), F.col("c").cast("double").alias("value")
