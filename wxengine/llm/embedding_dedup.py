@@ -151,7 +151,7 @@ def link_embeddings(
                 links.join(int(i), int(j))
             counts[i] += copies[near].sum()
             counts[near] += copies[i]
-        parents = dict(links.star())
+        parents = dict(zip(*(x.tolist() for x in links.star()), strict=True))
         linked = np.flatnonzero(counts)
         return pd.DataFrame(
             {

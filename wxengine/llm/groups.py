@@ -7,8 +7,6 @@ takes part in one task for each block of its group, and no pair of rows is ever
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -47,28 +45,29 @@ def sides(side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Links:
-    """Union-find over the rows of one task; what it found goes on as a star per class."""
+    """Classes among the rows of one task; what it found goes on as a star per class."""
 
     def __init__(self, ids: list[int]) -> None:
-        self.ids = ids
-        self._up = list(range(len(ids)))
-
-    def root(self, i: int) -> int:
-        while self._up[i] != i:
-            self._up[i] = self._up[self._up[i]]
-            i = self._up[i]
-        return i
+        self.ids = np.asarray(ids)
+        self.label = np.arange(len(self.ids))
 
     def join(self, i: int, j: int) -> None:
-        a, b = self.root(i), self.root(j)
+        a, b = self.label[i], self.label[j]
         if a != b:
             if self.ids[b] < self.ids[a]:
                 a, b = b, a
-            self._up[b] = a
+            self.label[self.label == b] = a
+
+    def join_all(self, i: np.ndarray, j: np.ndarray) -> None:
+        """Join pairs, leaving out those that are in one class by the time they come up."""
+        while len(i):
+            apart = self.label[i] != self.label[j]
+            i, j = i[apart], j[apart]
+            for a, b in zip(i[:32].tolist(), j[:32].tolist(), strict=True):
+                self.join(a, b)
+            i, j = i[32:], j[32:]
 
-    def star(self) -> Iterator[tuple[int, int]]:
-        """(row id, smallest id of its class) for every row that is not the smallest."""
-        for i in range(len(self.ids)):
-            j = self.root(i)
-            if j != i:
-                yield self.ids[i], self.ids[j]
+    def star(self) -> tuple[np.ndarray, np.ndarray]:
+        """Ids, and the smallest ids of their classes, of rows that are not the smallest."""
+        other = np.flatnonzero(self.label != np.arange(len(self.label)))
+        return self.ids[other], self.ids[self.label[other]]

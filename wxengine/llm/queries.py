@@ -11,6 +11,7 @@ from wxengine.llm import (
     embedding_dedup,
     language_id,
     lm_scoring,
+    ngram_join,
     secret_scan,
     toxicity,
 )
@@ -62,6 +63,10 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_documents(_table(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
@@ -117,6 +122,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_lm_scoring": op2_lm_scoring,
+    "op3_ngram_join": op3_ngram_join,
     "op4_decontaminate": op4_decontaminate,
     "op5_language_id": op5_language_id,
     "op8_toxicity": op8_toxicity,
@@ -182,7 +188,42 @@ SELECT vec_id, (SELECT count(*) FROM link WHERE a = vec_id) AS n_links, componen
 FROM embeddings JOIN component USING (vec_id)
 """
 
+_OP3_SQL = f"""
+WITH RECURSIVE doc AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+        '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents
+), shingle AS (
+    SELECT DISTINCT doc_id, hash(array_to_string(w[i : i + least(3, len(w)) - 1], ' ')) AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i
+        FROM doc WHERE len(w) > 0)
+), size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), often AS (SELECT s, count(*) AS f FROM shingle GROUP BY s
+), ranked AS (
+    SELECT doc_id, s, n, row_number() OVER (PARTITION BY doc_id ORDER BY f, s) AS r
+    FROM shingle JOIN often USING (s) JOIN size USING (doc_id)
+), prefix AS (SELECT doc_id, s, n FROM ranked WHERE r <= n - ceil(0.9 * n) + 1
+), candidate AS (
+    SELECT DISTINCT a.doc_id AS a, b.doc_id AS b, a.n AS n, b.n AS m
+    FROM prefix a JOIN prefix b USING (s)
+    WHERE a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+), common AS (
+    SELECT c.a, c.b, c.n, c.m, count(*) AS o
+    FROM candidate c JOIN shingle x ON x.doc_id = c.a JOIN shingle y ON y.doc_id = c.b AND y.s = x.s
+    GROUP BY ALL
+), link AS (
+    SELECT a, b FROM common WHERE 100 * o >= 90 * (n + m - o)
+    UNION ALL SELECT b, a FROM common WHERE 100 * o >= 90 * (n + m - o)
+), reach(a, b) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+), component AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM documents LEFT JOIN size USING (doc_id) JOIN component USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op3_ngram_join": _OP3_SQL,
     "op10_embedding_dedup": _OP10_SQL,
     "op4_decontaminate": _OP4_SQL,
 }
