@@ -7,7 +7,11 @@ takes part in one task for each block of its group, and no pair of rows is ever
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from itertools import pairwise
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -36,6 +40,45 @@ def comparison_tasks(
     )
 
 
+def run_tasks(
+    tasks: DataFrame,
+    function: Callable[[pd.DataFrame, list[tuple[int, int]]], Iterator[pd.DataFrame]],
+    schema: str,
+) -> DataFrame:
+    """Hand each task's rows to ``function``, many small tasks in one call.
+
+    Rows are dealt and sorted by task and stream through; ``function`` gets a frame of whole
+    tasks and where each begins and ends. Only a task that is cut by the end of a batch waits
+    for the next, so memory holds a batch and a task.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting: list[pd.DataFrame] = []
+
+        def whole(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
+            task = frame["_task"].to_numpy()
+            cuts = [0, *(np.flatnonzero(task[1:] != task[:-1]) + 1).tolist(), len(task)]
+            return function(frame, list(pairwise(cuts)))
+
+        for frame in frames:
+            if not len(frame):
+                continue
+            task = frame["_task"].to_numpy()
+            if waiting and waiting[0]["_task"].iloc[0] == task[-1]:
+                waiting.append(frame)
+                continue
+            last = int(np.argmax(task == task[-1]))
+            head = pd.concat([*waiting, frame.iloc[:last]], ignore_index=True)
+            waiting = [frame.iloc[last:]]
+            if len(head):
+                yield from whole(head)
+        if waiting:
+            yield from whole(pd.concat(waiting, ignore_index=True))
+
+    dealt = tasks.repartition("_task").sortWithinPartitions("_task")
+    return dealt.mapInPandas(run, schema)
+
+
 def sides(side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions to compare with each other; both are the same array in a task on one block."""
     if not side.any():

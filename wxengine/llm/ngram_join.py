@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wxengine.llm.arrow_text import NOT_SPACE, map_batches, pieces, utf8, windows, words
 from wxengine.llm.components import components
-from wxengine.llm.groups import Links, comparison_tasks, sides
+from wxengine.llm.groups import Links, comparison_tasks, run_tasks, sides
 from wxengine.session import shared_dir
 
 SHINGLE = 3
@@ -217,31 +217,20 @@ def _folded(bitmaps: list[bytes], width: int) -> np.ndarray:
     )
 
 
-def _star_frame(links: Links) -> pd.DataFrame:
-    a, b = links.star()
-    return pd.DataFrame({"a": a, "b": b})
-
-
 def _candidates(percent: int):
     """Join the classes of a task whose bitmaps leave room for a link."""
 
-    def join(part: pd.DataFrame) -> pd.DataFrame:
-        links = Links(part["rep"].tolist())
-        bitmaps, sizes = part["bits"].tolist(), part["size"].to_numpy()
+    def join_one(links: Links, bitmaps: list[bytes], sizes: np.ndarray, side: np.ndarray) -> None:
         widths = np.array([len(b) * 8 for b in bitmaps])
-        _, family = np.unique(part["family"].to_numpy(), return_inverse=True)
-        for own in np.unique(family):
-            members = np.flatnonzero(family == own)
-            links.join_all(np.repeat(members[:1], len(members) - 1), members[1:])
-        left, right = sides(part["_side"].to_numpy())
+        left, right = sides(side)
         for width in np.unique(widths):
             # Sets that link have bitmaps of one width, or one twice as wide.
             near = np.flatnonzero((widths == width) | (widths == 2 * width))
-            bits = np.zeros((len(part), width // 64), dtype=np.uint64)
+            bits = np.zeros((len(bitmaps), width // 64), dtype=np.uint64)
             bits[near] = _folded([bitmaps[k] for k in near], int(width))
             both = [
-                [Tree(side[widths[side] == w], bits, sizes) for w in (width, 2 * width)]
-                for side in ((left,) if left is right else (left, right))
+                [Tree(own[widths[own] == w], bits, sizes) for w in (width, 2 * width)]
+                for own in ((left,) if left is right else (left, right))
             ]
             narrow, wide = both[0]
             if left is right:
@@ -251,11 +240,34 @@ def _candidates(percent: int):
                 join_trees(narrow, both[1][0], links, percent)
                 join_trees(narrow, both[1][1], links, percent)
                 join_trees(wide, both[1][0], links, percent)
-        return _star_frame(links)
+
+    def join(rows: pd.DataFrame, bounds: list[tuple[int, int]]) -> Iterator[pd.DataFrame]:
+        reps, bitmaps = rows["rep"].to_numpy(), rows["bits"].to_numpy()
+        sizes, side = rows["size"].to_numpy(), rows["_side"].to_numpy()
+        family = rows["family"].to_numpy()
+        for a, b in bounds:
+            if (family[a:b] == family[a]).all():
+                continue
+            if not sizes_fit(sizes[a:b], percent):
+                continue
+            links = Links(reps[a:b].tolist())
+            order = np.argsort(family[a:b], kind="stable")
+            same = np.flatnonzero(family[a:b][order][1:] == family[a:b][order][:-1])
+            links.join_all(order[same], order[same + 1])
+            join_one(links, bitmaps[a:b].tolist(), sizes[a:b], side[a:b])
+            x, y = links.star()
+            if len(x):
+                yield pd.DataFrame({"a": x, "b": y})
 
     return join
 
 
+def sizes_fit(sizes: np.ndarray, percent: int) -> bool:
+    """Whether any two of the sizes allow a link."""
+    ascending = np.sort(sizes)
+    return bool((100 * ascending[:-1] >= percent * ascending[1:]).any())
+
+
 def _linked(percent: int, size: int):
     """Join the documents of a task whose shingle sets link."""
 
@@ -311,7 +323,7 @@ def _round(classes: DataFrame, keys: Column, percent: int) -> DataFrame:
     tasks = tasks.select("rep", "family", "_task", "_side").join(
         classes.select("rep", "size", "bits"), "rep"
     )
-    return tasks.groupBy("_task").applyInPandas(_candidates(percent), "a bigint, b bigint")
+    return run_tasks(tasks, _candidates(percent), "a bigint, b bigint")
 
 
 def link_documents(
