@@ -9,6 +9,7 @@ from wxengine.llm import (
     bpe,
     decontaminate,
     embedding_dedup,
+    html_extract,
     language_id,
     lm_scoring,
     ngram_join,
@@ -92,6 +93,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract(_table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
@@ -125,6 +131,7 @@ QUERIES = {
     "op3_ngram_join": op3_ngram_join,
     "op4_decontaminate": op4_decontaminate,
     "op5_language_id": op5_language_id,
+    "op7_html_extract": op7_html_extract,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_embedding_dedup": op10_embedding_dedup,
