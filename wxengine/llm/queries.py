@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wxengine.llm import (
     bpe,
+    chat_format,
     decontaminate,
     embedding_dedup,
     html_extract,
@@ -93,6 +94,16 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], given.schema
+    )
+    turns = chat_format.number_turns(given.unionByName(extra))
+    return chat_format.read_back(*chat_format.pack(turns))
+
+
 def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_extract.extract(_table(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
@@ -131,6 +142,7 @@ QUERIES = {
     "op3_ngram_join": op3_ngram_join,
     "op4_decontaminate": op4_decontaminate,
     "op5_language_id": op5_language_id,
+    "op6_chat_format": op6_chat_format,
     "op7_html_extract": op7_html_extract,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
@@ -229,7 +241,27 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM documents LEFT JOIN size USING (doc_id) JOIN component USING (doc_id)
 """
 
+_OP6_SQL = """
+WITH given AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), learned AS (
+    SELECT *, CASE WHEN role = 'assistant' THEN text ELSE '' END AS loss,
+        replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&#91;') AS body
+    FROM given
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(sum(length(loss)) AS BIGINT) AS loss_chars,
+    sha256(string_agg(loss, '' ORDER BY turn, role, text)) AS loss_sha256,
+    CAST(sum(length('<|im_start|>' || role || chr(10) || body || '<|im_end|>' || chr(10))) AS BIGINT)
+        AS formatted_chars
+FROM learned GROUP BY conv_id
+"""
+
 ORACLES: dict[str, str] = {
+    "op6_chat_format": _OP6_SQL,
     "op3_ngram_join": _OP3_SQL,
     "op10_embedding_dedup": _OP10_SQL,
     "op4_decontaminate": _OP4_SQL,
