@@ -31,8 +31,8 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-POSITIVES = 6_000
-UNLABELLED = 18_000
+POSITIVES = 4_000
+UNLABELLED = 12_000
 FOLDS = 4
 FEATURES = 4_000
 LEAST_TEXTS = 3
@@ -56,17 +56,33 @@ def stems(word: str) -> list[str]:
     return [word, *(f"{word[:n]}-" for n in PREFIXES if n < len(word))]
 
 
-def levels(counts: Counter[str]) -> set[str]:
-    """A feature for each stem and each level that its number of uses reaches."""
-    return {f"{stem} {k}" for stem, n in counts.items() for k in LEVELS if n >= k}
-
-
-def features(text: str | None) -> set[str]:
+def counted(text: str | None) -> Counter[str]:
+    """How often each stem is used in a text."""
     counts: Counter[str] = Counter()
     for word, n in words_of(text).items():
         for stem in stems(word):
             counts[stem] += n
-    return levels(counts)
+    return counts
+
+
+class Vocabulary:
+    """Numbers for the features of a set of texts: each stem at each level."""
+
+    def __init__(self) -> None:
+        self.stems: dict[str, int] = {}
+
+    def features(self, text: str | None) -> np.ndarray:
+        """Numbers of all stems of a text, at each level that their uses reach."""
+        counts = counted(text)
+        rows = [self.stems.setdefault(stem, len(self.stems)) for stem in counts]
+        base = np.array(rows, dtype=np.int64) * len(LEVELS)
+        uses = np.fromiter(counts.values(), np.int64, len(counts))
+        parts = [base[uses >= level] + i for i, level in enumerate(LEVELS)]
+        return np.concatenate(parts).astype(np.int32)
+
+    def names(self, features: np.ndarray) -> list[str]:
+        stems = list(self.stems)
+        return [f"{stems[f // len(LEVELS)]} {LEVELS[f % len(LEVELS)]}" for f in features.tolist()]
 
 
 @dataclass
@@ -84,9 +100,10 @@ class Side:
         return np.bincount(self.features, slopes[self.texts], size)
 
 
-def _side(group: list[set[str]], rows: dict[str, int]) -> Side:
-    found = [np.array([rows[f] for f in own if f in rows], dtype=np.int64) for own in group]
-    sizes = [len(x) for x in found]
+def _side(group: list[np.ndarray], rows: np.ndarray) -> Side:
+    """Texts by their features' rows; features without a row (-1) are left out."""
+    found = [own[own >= 0] for own in (rows[features] for features in group)]
+    sizes = [len(own) for own in found]
     return Side(np.repeat(np.arange(len(group)), sizes), np.concatenate(found), len(group))
 
 
@@ -94,31 +111,34 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def telling(positives: list[set[str]], others: list[set[str]]) -> list[str]:
+def telling(positives: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
     """Features that are clearly more frequent in toxic than in other texts, best first."""
-    seen = Counter(f for own in positives for f in own)
-    elsewhere = Counter(f for own in others for f in own if f in seen)
+    size = 1 + max(int(own.max(initial=0)) for group in (positives, others) for own in group)
+    seen, elsewhere = (
+        np.bincount(np.concatenate(group), minlength=size) for group in (positives, others)
+    )
     n, m = len(positives), len(others)
-    ranked = []
-    for feature, k in seen.items():
-        rate, other = k / n, elsewhere[feature] / m
-        both = (k + elsewhere[feature]) / (n + m)
-        spread = (both * (1 - both) * (1 / n + 1 / m)) ** 0.5
-        if k >= LEAST_TEXTS and rate > LEAST_LIFT * other and rate - other > LEAST_Z * spread:
-            ranked.append((-(rate - other) / spread, feature))
-    return [feature for _, feature in sorted(ranked)[:FEATURES]]
+    rate, other, both = seen / n, elsewhere / m, (seen + elsewhere) / (n + m)
+    spread = np.sqrt(both * (1 - both) * (1 / n + 1 / m))
+    z = np.divide(rate - other, spread, out=np.zeros(size), where=spread > 0)
+    fit = (seen >= LEAST_TEXTS) & (rate > LEAST_LIFT * other) & (z > LEAST_Z)
+    best = np.flatnonzero(fit)
+    return best[np.argsort(-z[best], kind="stable")][:FEATURES]
 
 
 def train(
-    positives: list[set[str]], others: list[set[str]], prior: float
-) -> tuple[dict[str, float], float]:
-    """Weights by feature and the intercept that minimise the non-negative PU risk."""
-    rows = {f: i for i, f in enumerate(telling(positives, others))}
+    positives: list[np.ndarray], others: list[np.ndarray], prior: float
+) -> tuple[np.ndarray, np.ndarray, float]:
+    """Features, their weights, and the intercept that minimise the non-negative PU risk."""
+    chosen = telling(positives, others)
+    size = 1 + max(int(own.max(initial=0)) for group in (positives, others) for own in group)
+    rows = np.full(size, -1, dtype=np.int64)
+    rows[chosen] = np.arange(len(chosen))
     pos, oth = _side(positives, rows), _side(others, rows)
     # The last weight is the intercept's; Adam's running means of slopes and their squares.
-    weights, mean, square = np.zeros((3, len(rows) + 1))
+    weights, mean, square = np.zeros((3, len(chosen) + 1))
     weights[-1] = np.log(prior / (1 - prior))
-    decay = np.full(len(rows) + 1, DECAY)
+    decay = np.full(len(chosen) + 1, DECAY)
     decay[-1] = 0
     for step in range(1, STEPS + 1):
         m_pos, m_oth = (side.margins(weights[:-1], weights[-1]) for side in (pos, oth))
@@ -129,13 +149,13 @@ def train(
         else:
             s_pos, s_oth = prior * p_pos / pos.n, -p_oth / oth.n
         slope = decay * weights
-        slope[:-1] += pos.gradient(s_pos, len(rows)) + oth.gradient(s_oth, len(rows))
+        slope[:-1] += pos.gradient(s_pos, len(chosen)) + oth.gradient(s_oth, len(chosen))
         slope[-1] += s_pos.sum() + s_oth.sum()
         mean += (1 - 0.9) * (slope - mean)
         square += (1 - 0.99) * (slope**2 - square)
         rate = RATE * (1 - step / (STEPS + 1))
         weights -= rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-7)
-    return {f: float(weights[i]) for f, i in rows.items()}, float(weights[-1])
+    return chosen, weights[:-1], float(weights[-1])
 
 
 @dataclass
@@ -169,7 +189,8 @@ class Model:
         for word, n in words_of(text).items():
             for stem in self._known(word):
                 counts[stem] += n
-        rows = sorted(self.rows[f] for f in levels(counts) if f in self.rows)
+        names = (f"{stem} {k}" for stem, n in counts.items() for k in LEVELS if n >= k)
+        rows = sorted(self.rows[f] for f in names if f in self.rows)
         return float(_sigmoid(self.weights[rows].sum(axis=0) + self.intercepts).mean())
 
 
@@ -185,8 +206,8 @@ def sample(
 ) -> tuple[DataFrame, float]:
     """Training texts with ``toxic`` and ``fold``, and the prior.
 
-    Shares of both kinds are taken by a hash of the id, so the sample needs no sort and no
-    shuffle of texts: the ids of the toxic part, bounded by ``positives``, are broadcast.
+    Shares of both kinds are taken by a hash of the id, so the sample needs no sort; its ids,
+    bounded by ``positives`` and ``unlabelled``, are broadcast to where the texts are.
     """
     labelled = (
         labels.where(training & F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
@@ -198,20 +219,19 @@ def sample(
     texts = docs.where(training & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("_id"), F.col(text_col).alias("_text")
     )
-    others = max(1, texts.count() - (toxic or 0))
+    ids = texts.select("_id").join(labelled, "_id", "left")
+    toxic_text = F.coalesce(F.col("_toxic") == 1, F.lit(False))
+    sizes = ids.agg(F.count_if(toxic_text), F.count_if(~toxic_text)).first()
+    found, others = max(1, sizes[0]), max(1, sizes[1])
     # Texts known not to be toxic stay among the unlabelled and thin out those hidden there.
     prior = share * max(0, others - (n - (toxic or 0))) / others
     draw = F.pmod(F.xxhash64(F.lit("toxicity"), F.col("_id")), F.lit(1 << 20)) / F.lit(1 << 20)
-    known = labelled.where("_toxic = 1")
-    picked = known.where(draw < min(1.0, positives / max(1, toxic or 0)))
-    if toxic and toxic > positives:
-        # Toxic texts that were not picked must not pass for unlabelled ones.
-        texts = texts.join(known.join(picked, "_id", "left_anti"), "_id", "left_anti")
-    joined = texts.where(F.col("_text").isNotNull()).join(F.broadcast(picked), "_id", "left")
-    rows = joined.where(F.col("_toxic").isNotNull() | (draw < min(1.0, unlabelled / others)))
+    most = F.when(toxic_text, min(1.0, positives / found)).otherwise(min(1.0, unlabelled / others))
+    picked = ids.where(draw < most).select("_id", toxic_text.alias("toxic")).distinct()
+    rows = texts.where(F.col("_text").isNotNull()).join(F.broadcast(picked), "_id")
     fold = F.pmod(F.xxhash64(F.lit("fold"), F.col("_id")), F.lit(FOLDS))
     return (
-        rows.select("_text", (F.col("_toxic") == 1).alias("toxic"), fold.alias("fold")),
+        rows.select("_text", "toxic", fold.alias("fold")),
         min(max(prior, 1e-4), 0.5) if toxic else 0.0,
     )
 
@@ -232,18 +252,18 @@ def fit(
     )
 
     def train_fold(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        toxic = part["toxic"].eq(True)
+        vocabulary = Vocabulary()
         groups = [
-            [features(text) for text in part["_text"][own]]
-            for own in (toxic, ~toxic)
+            [vocabulary.features(text) for text in part["_text"][part["toxic"] == own]]
+            for own in (True, False)
         ]
         out: dict[str, list] = {"fold": [], "feature": [], "weight": []}
         if all(groups):
-            weights, intercept = train(*groups, prior)
+            chosen, weights, intercept = train(*groups, prior)
             out = {
                 "fold": [key[0]] * (len(weights) + 1),
-                "feature": [None, *weights],
-                "weight": [intercept, *weights.values()],
+                "feature": [None, *vocabulary.names(chosen)],
+                "weight": [intercept, *weights.tolist()],
             }
         return pd.DataFrame(out)
 
