@@ -83,7 +83,7 @@ def _round(expression: str) -> str:
 
 def _window_columns(grain: Grain, measures: Measures) -> list[str]:
     w = grain.suffix
-    exact = lambda c: f"CAST({c} AS DECIMAL(18,4))"
+    exact = lambda c: f"CAST({c} AS DECIMAL(24,6))"
     return (
         [
             _round(
@@ -93,7 +93,7 @@ def _window_columns(grain: Grain, measures: Measures) -> list[str]:
             for c in measures.averaged
         ]
         + [_round(f"sum({exact(c)}) OVER {w}") + f" AS {c}_{w}_sum" for c in measures.summed]
-        + [_round(f"max({exact(c)}) OVER {w}") + f" AS {c}_{w}_max" for c in measures.maxed]
+        + [_round(f"max({c}) OVER {w}") + f" AS {c}_{w}_max" for c in measures.maxed]
     )
 
 
@@ -229,7 +229,7 @@ def _twice(query: str) -> str:
     return f"SELECT * FROM ({query}) UNION ALL SELECT * FROM ({query})"
 
 
-_RUN = [HOURLY, DAILY]
+_RUN = GRAINS
 _RUN_COLUMNS = ", ".join(READING_COLUMNS)
 
 
@@ -245,6 +245,24 @@ SELECT * FROM again WHERE measure_at > (SELECT max(measure_at) FROM stored)
 """
 
 
+def _artifact_runs(grain: Grain) -> str:
+    """Two runs of the rolling table, and after each an append to the published one."""
+    names = [c.rsplit(" AS ", 1)[1] for c in _window_columns(grain, WEATHER)]
+    renamed = ", ".join(f"{c} AS {published_name(c, grain)}" for c in grain_columns(names, grain))
+    anchors = f"WHERE measure_at = date_trunc('{grain.unit}', measure_at)"
+    return f"""
+WITH runs AS ({_two_runs(f"measure_at <= TIMESTAMP '{CUT_OFF}'")})
+SELECT station_id, station_name, station_type, measure_at, {renamed} FROM runs {anchors}
+"""
+
+
+def _fine_digits() -> str:
+    fine = READINGS + """, fine AS (
+  SELECT * REPLACE (round(air_temperature / 7, 6) AS air_temperature) FROM readings)"""
+    measures = Measures(*[("air_temperature",)] * 3)
+    return f"WITH {fine} {_rolled('fine', GRAINS, measures, 'station_id, measure_at')}"
+
+
 _DAY_NUMBER = Measures(summed=("day_number",), maxed=("day_number",), averaged=("day_number",))
 _STREAMED = (
     RAW
@@ -349,7 +367,20 @@ QUALIFY row_number() OVER (PARTITION BY measure_at ORDER BY value_count DESC, v)
     "rolling_week": _rolling([WEEKLY]),
     "rolling_month": _rolling([MONTHLY]),
     "rolling_all": _rolling(GRAINS, WEATHER, _RUN_COLUMNS),
+    "rolling_fine_digits": _fine_digits(),
     "dynamic_select_hourly": _artifact(HOURLY),
+    "dynamic_select_daily": _artifact(DAILY),
+    "dynamic_select_weekly": _artifact(WEEKLY),
+    "dynamic_select_monthly": _artifact(MONTHLY),
+    "window_functions_hour": f"""
+WITH {READINGS}
+SELECT station_id, measure_at, {_round("CAST(sum(CAST(air_temperature AS DECIMAL(24,6))) OVER w AS DOUBLE) / nullif(count(air_temperature) OVER w, 0)")} AS average,
+       {_round("sum(CAST(precipitation AS DECIMAL(24,6))) OVER w")} AS total,
+       {_round("max(wind_speed) OVER w")} AS largest
+FROM readings
+WINDOW w AS (PARTITION BY station_id ORDER BY measure_at RANGE BETWEEN CURRENT ROW
+             AND INTERVAL 1 HOUR FOLLOWING)
+""",
     "agg_hourly": _artifact(HOURLY),
     "agg_daily": _artifact(DAILY),
     "agg_weekly": _artifact(WEEKLY),
@@ -385,12 +416,13 @@ FROM readings
 SELECT DISTINCT {_GEO_COLUMNS}, {_class("station_id")} AS station_type FROM ({_GEO})
 """,
     "incremental_append": _two_runs(f"measure_at <= TIMESTAMP '{CUT_OFF}'"),
+    "artifact_append": _artifact_runs(HOURLY),
     "late_data_drop": _two_runs(f"measure_at <= TIMESTAMP '{CUT_OFF}' AND event_id % 10 <> 3"),
     "full_refresh": _rolling(_RUN, WEATHER, _RUN_COLUMNS),
     "closed_windows_only": f"""
 WITH {READINGS}, rolled AS ({_rolled("readings", _RUN, WEATHER, _RUN_COLUMNS)})
 SELECT * FROM rolled
-WHERE measure_at + INTERVAL 1 DAY <= (SELECT max(measure_at) FROM readings)
+WHERE measure_at + INTERVAL 1 MONTH <= (SELECT max(measure_at) FROM readings)
 """,
     "stream_file_ingest": _LANDED.format(
         extra=", CAST(date_trunc('week', measure_at) AS DATE) AS ingest_date"

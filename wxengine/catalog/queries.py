@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wxengine.catalog import inputs
+from wxengine.functions import ahead
 from wxengine.functions.calendar import DAILY, GRAINS, HOURLY, MONTHLY, WEEKLY
 from wxengine.functions.cleaning import (
     empty_to_null,
@@ -208,8 +209,31 @@ def mode_bucket_global(spark, sf_dir):
     return mode_per_unit(inputs.readings(spark, sf_dir), "wind_direction", HOURLY)
 
 
-def dynamic_select_hourly(spark, sf_dir):
-    return models.artifact(rolling(inputs.readings(spark, sf_dir), [HOURLY]), HOURLY)
+def rolling_fine_digits(spark, sf_dir):
+    """All windows over values with six decimals."""
+    readings = inputs.readings(spark, sf_dir).select(
+        "station_id", "measure_at", F.round(F.col("air_temperature") / 7, 6).alias("air_temperature")
+    )
+    measures = Measures(*[("air_temperature",)] * 3)
+    return rolling(readings, GRAINS, measures).drop("air_temperature")
+
+
+def window_functions_hour(spark, sf_dir):
+    """The single-column window functions, over an hour."""
+    return inputs.readings(spark, sf_dir).select(
+        "station_id",
+        "measure_at",
+        ahead.averaged_by_datetime("air_temperature", "measure_at", "1 hour").alias("average"),
+        ahead.sum_over_datetime("precipitation", "measure_at", "1 hour").alias("total"),
+        ahead.find_max_in_interval("wind_speed", "measure_at", "1 hour").alias("largest"),
+    )
+
+
+def _dynamic_select(grain):
+    """One grain's columns out of all 52, picked by their suffix."""
+    return lambda spark, sf_dir: models.artifact(
+        rolling(inputs.readings(spark, sf_dir), GRAINS), grain
+    )
 
 
 def _artifact(grain):
@@ -296,9 +320,6 @@ def geo_distinct(spark, sf_dir):
 
 # ---------------------------------------------------------------- incremental
 
-_RUN_GRAINS = (HOURLY, DAILY)
-
-
 def _until_cut_off(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("measure_at") <= F.lit(CUT_OFF).cast("timestamp_ntz"))
 
@@ -310,7 +331,7 @@ def _on_time(raw: DataFrame) -> DataFrame:
 
 def _run(spark, target, raw, **options):
     readings = inputs.unique_readings(raw)
-    models.update_rolling(spark, readings, target, _RUN_GRAINS, **options)
+    models.update_rolling(spark, readings, target, **options)
 
 
 def incremental_append(spark, sf_dir):
@@ -321,6 +342,16 @@ def incremental_append(spark, sf_dir):
     return read_table(spark, target)
 
 
+def artifact_append(spark, sf_dir):
+    """The published hours, appended to after each of two runs of the rolling table."""
+    rolled, target = shared_dir(spark, "rolled"), shared_dir(spark, "published")
+    raw = inputs.raw_readings(spark, sf_dir)
+    for seen in (_until_cut_off(raw), raw):
+        _run(spark, rolled, seen)
+        models.update_artifact(spark, read_table(spark, rolled), HOURLY, target)
+    return read_table(spark, target)
+
+
 def late_data_drop(spark, sf_dir):
     target = shared_dir(spark, "late")
     raw = inputs.raw_readings(spark, sf_dir)
@@ -340,7 +371,7 @@ def full_refresh(spark, sf_dir):
 
 def closed_windows_only(spark, sf_dir):
     readings = inputs.readings(spark, sf_dir)
-    return models.closed_windows(rolling(readings, _RUN_GRAINS), readings, DAILY)
+    return models.closed_windows(rolling(readings, GRAINS), readings, MONTHLY)
 
 
 # ---------------------------------------------------------------- streaming
@@ -449,7 +480,12 @@ QUERIES = {
     "rolling_week": _rolling([WEEKLY]),
     "rolling_month": _rolling([MONTHLY]),
     "rolling_all": _rolling(GRAINS, all_columns=True),
-    "dynamic_select_hourly": dynamic_select_hourly,
+    "rolling_fine_digits": rolling_fine_digits,
+    "window_functions_hour": window_functions_hour,
+    "dynamic_select_hourly": _dynamic_select(HOURLY),
+    "dynamic_select_daily": _dynamic_select(DAILY),
+    "dynamic_select_weekly": _dynamic_select(WEEKLY),
+    "dynamic_select_monthly": _dynamic_select(MONTHLY),
     "agg_hourly": _artifact(HOURLY),
     "agg_daily": _artifact(DAILY),
     "agg_weekly": _artifact(WEEKLY),
@@ -466,6 +502,7 @@ QUERIES = {
     "revoked_stations": revoked_stations,
     "geo_distinct": geo_distinct,
     "incremental_append": incremental_append,
+    "artifact_append": artifact_append,
     "late_data_drop": late_data_drop,
     "full_refresh": full_refresh,
     "closed_windows_only": closed_windows_only,

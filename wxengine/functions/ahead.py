@@ -30,7 +30,7 @@ def averaged_by_datetime(
     column: str, at: str, interval: str, partition_by: Sequence[str] = ("station_id",)
 ) -> Column:
     """Rolling average, rounded to two decimals."""
-    exact = f"avg(CAST(`{column}` AS DECIMAL(18,4)))"
+    exact = f"avg(CAST(`{column}` AS DECIMAL(24,6)))"
     return F.round(_over(exact, at, interval, partition_by), 2).cast("double")
 
 
@@ -38,7 +38,7 @@ def sum_over_datetime(
     column: str, at: str, interval: str, partition_by: Sequence[str] = ("station_id",)
 ) -> Column:
     """Rolling sum, rounded to two decimals."""
-    exact = f"sum(CAST(`{column}` AS DECIMAL(18,4)))"
+    exact = f"sum(CAST(`{column}` AS DECIMAL(24,6)))"
     return F.round(_over(exact, at, interval, partition_by), 2).cast("double")
 
 
@@ -46,7 +46,7 @@ def find_max_in_interval(
     column: str, at: str, interval: str, partition_by: Sequence[str] = ("station_id",)
 ) -> Column:
     """Rolling maximum, rounded to two decimals."""
-    exact = f"max(CAST(`{column}` AS DECIMAL(18,4)))"
+    exact = f"max(CAST(`{column}` AS DECIMAL(24,6)))"
     return F.round(_over(exact, at, interval, partition_by), 2).cast("double")
 
 

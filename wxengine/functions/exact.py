@@ -1,8 +1,10 @@
 """Fixed-point arithmetic for sums and averages, as SQL text.
 
 Sums of doubles depend on the order of addition, so two correct plans can round to
-different cents. Measurements are therefore carried as whole numbers of 10^-4 (bigint):
-sums are exact in any order, stay in eight bytes, and an overflow is an error under ANSI.
+different cents. Sums are therefore carried as whole numbers of 10^-6 (bigint): they are
+exact in any order and stay in eight bytes. A reading beyond ±10^6 is an error whatever the
+ANSI setting, so that no window of fewer than four million readings can overflow. NaN counts
+as missing. Maxima stay doubles and are rounded once, at the end.
 
 The helpers give text instead of columns: one call parses a whole select list, where
 building dozens of columns piece by piece takes longer than a small query.
@@ -10,13 +12,22 @@ building dozens of columns piece by piece takes longer than a small query.
 
 from __future__ import annotations
 
-DECIMALS = 4
+DECIMALS = 6
 OUTPUT_DECIMALS = 2
+LARGEST = 10**6
 
 
 def to_units(value: str, decimals: int = DECIMALS) -> str:
-    """Nearest whole number of 10^-decimals, as bigint."""
-    return f"CAST(rint(CAST({value} AS DOUBLE) * {10**decimals}D) AS BIGINT)"
+    """Nearest whole number of 10^-decimals, as bigint; NULL for NaN."""
+    number = present(value)
+    units = f"CAST(rint({number} * {10**decimals}D) AS BIGINT)"
+    error = f"raise_error(concat('reading beyond the exact range: ', {number}))"
+    return f"IF(abs({number}) > {LARGEST}D, CAST({error} AS BIGINT), {units})"
+
+
+def present(value: str) -> str:
+    """The value as double, NULL in place of NaN."""
+    return f"nullif(CAST({value} AS DOUBLE), double('NaN'))"
 
 
 def rounded_ratio(units: str, count: str = "1L", decimals: int = DECIMALS) -> str:

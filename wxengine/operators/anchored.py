@@ -2,7 +2,8 @@
 
 Only those anchor readings survive, so no window is needed: every reading counts for the
 unit it lies in, one on a boundary also for the unit before (intervals are closed at both
-ends), and one aggregation, partial before the shuffle, does the rest. A station with no
+ends), and one hash aggregation, partial before the shuffle, does the rest. What is taken
+from the anchor readings themselves comes from a join with just those. A station with no
 reading exactly on the start of a unit has no row for it.
 """
 
@@ -10,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wxengine.functions.calendar import Grain, interval, trunc_to
+from wxengine.functions.calendar import Grain, interval, is_anchor, trunc_to
 from wxengine.functions.cleaning import station_class
 from wxengine.operators.measures import WEATHER, Measures
 
@@ -22,6 +23,17 @@ def units_of(at: Column, grain: Grain) -> Column:
     return F.when(at == start, F.array(start, before)).otherwise(F.array(start))
 
 
+def with_anchor(units: DataFrame, anchors: DataFrame, station: str, at: str) -> DataFrame:
+    """Add the columns of each unit's anchor reading.
+
+    Text cannot be aggregated in a hash table, and sorting every reading for it costs more
+    than this join of few rows.
+    """
+    keyed = anchors.withColumnsRenamed({at: "_anchor_at", station: "_anchor_station"})
+    same = (F.col(at) == F.col("_anchor_at")) & F.col(station).eqNullSafe(F.col("_anchor_station"))
+    return units.join(keyed, same).drop("_anchor_at", "_anchor_station")
+
+
 def anchored(
     readings: DataFrame,
     grain: Grain,
@@ -34,18 +46,17 @@ def anchored(
 
     ``from_anchor`` names columns taken from the anchor reading itself.
     """
-    states = readings.selectExpr(
-        f"`{station}`", f"`{at}` AS _at", *from_anchor, *measures.reading_state()
-    )
+    states = readings.selectExpr(f"`{station}`", f"`{at}` AS _at", *measures.reading_state())
     states = states.withColumn("_units", units_of(F.col("_at"), grain))
     states = states.withColumn(at, F.explode("_units"))
-    on_anchor = F.col("_at") == F.col(at)
     units = states.groupBy(at, station).agg(
         *[F.expr(item) for item in measures.merged_state()],
-        F.max(on_anchor).alias("_anchored"),
-        *[F.max(F.when(on_anchor, F.col(c))).alias(c) for c in from_anchor],
+        F.max(F.col("_at") == F.col(at)).alias("_anchored"),
     )
     anchored_units = units.filter("_anchored").withColumn("station_type", station_class(station))
+    if from_anchor:
+        anchors = readings.filter(is_anchor(F.col(at), grain)).select(at, station, *from_anchor)
+        anchored_units = with_anchor(anchored_units, anchors, station, at)
     return anchored_units.selectExpr(
         f"`{station}`", *from_anchor, "station_type", f"`{at}`", *measures.values(grain.suffix)
     )

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wxengine.functions.calendar import HOURLY, Grain, interval, midnight, trunc_to
 from wxengine.functions.cleaning import station_class
+from wxengine.operators.anchored import with_anchor
 from wxengine.operators.measures import WEATHER, Measures
 
 AT_MIDNIGHT = "midnight_"
@@ -22,7 +23,6 @@ def day_aggregates(measures: Measures) -> list[Column]:
         *measures.merged_state(),
         *measures.merged_state(AT_MIDNIGHT, where="_on_midnight"),
         "max(_on_midnight) AS has_midnight",
-        "max(IF(_on_midnight, station_name, NULL)) AS station_name",
     ]
     return [F.expr(item) for item in items]
 
@@ -34,15 +34,21 @@ def day_states(
     at: str = "measure_at",
 ) -> DataFrame:
     """State of each station day of deduplicated readings."""
-    states = readings.selectExpr(
-        f"`{station}`", f"`{at}`", "station_name", *measures.reading_state()
-    ).withColumns(
+    dated = readings.withColumns(
         {
             "measure_date": F.col(at).cast("date"),
             "_on_midnight": F.col(at) == midnight(F.col(at)),
         }
     )
-    return states.groupBy("measure_date", station).agg(*day_aggregates(measures))
+    states = dated.selectExpr(
+        f"`{station}`", "measure_date", "_on_midnight", *measures.reading_state()
+    )
+    days = states.groupBy("measure_date", station).agg(*day_aggregates(measures))
+    named = dated.filter("_on_midnight").select(
+        F.col("measure_date").alias("_date"), F.col(station).alias("_station"), "station_name"
+    )
+    same = (F.col("measure_date") == F.col("_date")) & F.col(station).eqNullSafe(F.col("_station"))
+    return days.join(named, same, "left").drop("_date", "_station")
 
 
 def units_from_days(
@@ -76,14 +82,16 @@ def units_from_days(
             for name in measures.state_columns
         ],
         "_opening",
-        "IF(_opening, station_name, NULL) AS station_name",
     )
     units = states.groupBy(at, station).agg(
         *[F.expr(item) for item in measures.merged_state()],
         F.max("_opening").alias("_anchored"),
-        F.max("station_name").alias("station_name"),
     )
     anchored_units = units.filter("_anchored").withColumn("station_type", station_class(station))
+    anchors = days.filter(F.col("has_midnight") & (day == start)).select(
+        start.alias(at), station, "station_name"
+    )
+    anchored_units = with_anchor(anchored_units, anchors, station, at)
     return anchored_units.selectExpr(
         f"`{station}`", "station_name", "station_type", f"`{at}`", *measures.values(grain.suffix)
     )

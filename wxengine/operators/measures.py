@@ -1,7 +1,7 @@
 """Which measurements are averaged, summed and maximised, and their mergeable state.
 
 Average, sum and maximum over any set of readings follow from three numbers per
-measurement: the sum in fixed-point units, the count of non-NULL values, and the maximum.
+measurement: the sum in fixed-point units, the count of values, and the maximum.
 States of disjoint sets merge by adding and by taking the larger maximum, so they can be
 aggregated before a shuffle and combined over blocks of time.
 """
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from wxengine.functions.exact import rounded_ratio, to_units
+from wxengine.functions.exact import OUTPUT_DECIMALS, present, rounded_ratio, to_units
 
 
 @dataclass(frozen=True)
@@ -39,11 +39,12 @@ class Measures:
 
     def reading_state(self) -> list[str]:
         """State of a single reading, as select items."""
-        units = {c: to_units(f"`{c}`") for c in self.columns}
+        units = {c: to_units(f"`{c}`") for c in self.added}
+        present_ = {c: present(f"`{c}`") for c in self.columns}
         return (
             [f"{units[c]} AS `sum_{c}`" for c in self.added]
-            + [f"IF(`{c}` IS NULL, 0L, 1L) AS `num_{c}`" for c in self.added]
-            + [f"{units[c]} AS `max_{c}`" for c in self.maxed]
+            + [f"IF({present_[c]} IS NULL, 0L, 1L) AS `num_{c}`" for c in self.added]
+            + [f"{present_[c]} AS `max_{c}`" for c in self.maxed]
         )
 
     def merged_state(self, prefix: str = "", where: str | None = None, over: str = "") -> list[str]:
@@ -88,7 +89,7 @@ class Measures:
             [f"{total(c, f'`{prefix}num_{c}`')} AS `{c}_{suffix}_average`" for c in self.averaged]
             + [f"{total(c, '1L')} AS `{c}_{suffix}_sum`" for c in self.summed]
             + [
-                f"{rounded_ratio(f'`{prefix}max_{c}`')} AS `{c}_{suffix}_max`"
+                f"round(`{prefix}max_{c}`, {OUTPUT_DECIMALS}) AS `{c}_{suffix}_max`"
                 for c in self.maxed
             ]
         )

@@ -158,6 +158,9 @@ def _placed(blocks: DataFrame, columns, grains, station) -> DataFrame:
         usual, at_end = ", ".join([*places, months[0]]), ", ".join([*places, *months])
         all_places = f"IF(_day = last_day(_day), array({at_end}), array({usual}))"
 
+    # A reading without a time ends no interval but its own.
+    all_places = f"IF(_day IS NULL, array({places[0]}), {all_places})"
+
     structs = [c for c in blocks.columns if c.startswith("_rest_")]
     by_hour, by_day = "_start_hour" in blocks.columns, "_start_day" in blocks.columns
     start = "_start_day" if by_day else "_start_hour"

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from wxengine.functions.calendar import GRAINS
@@ -28,8 +29,6 @@ from wxengine.sources.tables import (
 from wxengine.streaming.ingest import ingest
 
 FEEDS = (MEASUREMENTS, WEATHER_STATIONS, RAIN_STATIONS)
-# How far the clock of a station may run ahead of the arrival of its readings.
-CLOCK_SLACK = dt.timedelta(days=1)
 
 
 @dataclass(frozen=True)
@@ -65,14 +64,27 @@ class Layout:
         return f"{self.warehouse}/artifacts/{name}"
 
 
+def _landed(spark: SparkSession, path: str) -> bool:
+    """Whether the folder is there."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def run_ingest(
     spark: SparkSession,
     layout: Layout,
     feeds: tuple[str, ...] = FEEDS,
     max_files_per_trigger: int | None = 10_000,
 ) -> None:
-    """Archive what has newly landed in each feed."""
+    """Archive what has newly landed in each feed; a feed that has not begun is passed over."""
     for feed in feeds:
+        if not _landed(spark, layout.landed(feed)):
+            continue
         query = ingest(
             spark,
             layout.landed(feed),
@@ -85,18 +97,25 @@ def run_ingest(
 
 
 def run_measurements(
-    spark: SparkSession, layout: Layout, full_refresh: bool = False, only_closed: bool = False
+    spark: SparkSession,
+    layout: Layout,
+    full_refresh: bool = False,
+    only_closed: bool = False,
+    arrivals_since: dt.date | None = None,
 ) -> None:
     """Bring the rolling table and the four published tables up to date.
 
-    An incremental run reads the archive from the high-water mark's date on. The readings
-    of the run are stored once, so that their JSON is taken apart and deduplicated once.
+    An incremental run takes the archived readings newer than the high-water mark. When a
+    reading arrived says nothing about its time, so the whole archive is read;
+    ``arrivals_since`` is for callers who know that nothing before that date can be newer
+    than the mark. The readings of the run are stored once, so that their JSON is taken
+    apart and deduplicated once.
     """
     incremental = not full_refresh and table_exists(spark, layout.rolling)
     if incremental:
         mark = high_water_mark(spark, layout.rolling)
-        since = mark.date() - CLOCK_SLACK if mark else None
-        readings = staging.measurements(read_archive(spark, layout.archive, MEASUREMENTS, since))
+        responses = read_archive(spark, layout.archive, MEASUREMENTS, arrivals_since)
+        readings = staging.measurements(responses)
         readings = newer_than(readings, mark)
     else:
         readings = staging.measurements(read_archive(spark, layout.archive, MEASUREMENTS))

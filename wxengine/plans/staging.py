@@ -96,12 +96,17 @@ def field(item: Column | str, path: str, to: str, lenient: bool = False) -> Colu
     return get(item, path, to)
 
 
-def observed_at(item: Column | str, keep_wall_clock: bool = True) -> Column:
-    """Observation time. Wall clock drops the offset of the text; otherwise UTC."""
-    text = field(item, OBSERVED_AT, "string")
-    if keep_wall_clock:
-        return text.cast("timestamp_ntz")
-    return instant_to_wall(text.cast("timestamp"))
+def observed_at(
+    item: Column | str, keep_wall_clock: bool = True, lenient: bool = False
+) -> Column:
+    """Observation time. Wall clock drops the offset of the text; otherwise UTC.
+
+    Text that is no time is an error, or NULL when ``lenient``.
+    """
+    text = field(item, OBSERVED_AT, "string", lenient)
+    kind = "timestamp_ntz" if keep_wall_clock else "timestamp"
+    time = text.try_cast(kind) if lenient else text.cast(kind)
+    return time if keep_wall_clock else instant_to_wall(time)
 
 
 def stations_in_records(responses: DataFrame) -> DataFrame:
@@ -115,7 +120,7 @@ def parsed_measurements(responses: DataFrame, lenient: bool = False, keep_wall_c
     fields = [field("item", path, to, lenient).alias(c) for c, path, to in MEASUREMENT_FIELDS]
     kept = [c for c in items.columns if c != "item"]
     typed = items.select(
-        *fields, observed_at("item", keep_wall_clock).alias("measure_at"), *kept
+        *fields, observed_at("item", keep_wall_clock, lenient).alias("measure_at"), *kept
     )
     return typed.withColumn("station_type", station_class("station_id"))
 

@@ -15,22 +15,24 @@ def station_dimension(
     weather_responses: DataFrame,
     measurement_responses: DataFrame,
     latest_snapshot: bool = False,
+    lenient: bool = False,
 ) -> DataFrame:
     """All stations from the three kinds of responses.
 
     By default every landed copy of a register takes part, so copies multiply in the join.
     ``latest_snapshot`` keeps the newest landed row per station in each register and the
-    geography of the newest response first.
+    geography of the newest response first. Values that do not fit their types are errors,
+    or NULL when ``lenient``.
     """
     if not latest_snapshot:
         return all_stations(
-            staging.rain_stations(rain_responses),
-            staging.weather_stations(weather_responses),
-            staging.station_geo(measurement_responses),
+            staging.rain_stations(rain_responses, lenient),
+            staging.weather_stations(weather_responses, lenient),
+            staging.station_geo(measurement_responses, lenient),
         )
-    rain = _latest(staging.rain_stations(rain_responses, keep_file=True))
-    weather = _latest(staging.weather_stations(weather_responses, keep_file=True))
-    geo = _latest_geo(measurement_responses)
+    rain = _latest(staging.rain_stations(rain_responses, lenient, keep_file=True))
+    weather = _latest(staging.weather_stations(weather_responses, lenient, keep_file=True))
+    geo = _latest_geo(measurement_responses, lenient)
     return all_stations(rain, weather, geo, unique_keys=True)
 
 
@@ -41,10 +43,10 @@ def _latest(register: DataFrame) -> DataFrame:
     return latest_per_key(register, ("station_id",), order).drop("_arrived", "landed_file")
 
 
-def _latest_geo(responses: DataFrame) -> DataFrame:
+def _latest_geo(responses: DataFrame, lenient: bool = False) -> DataFrame:
     items = staging.stations_in_records(responses)
-    fields = [staging.field("item", path, to).alias(c) for c, path, to in staging.GEO_FIELDS]
-    seen = items.select(*fields, "landed_file", staging.observed_at("item").alias("_seen"))
+    fields = [staging.field("item", path, to, lenient).alias(c) for c, path, to in staging.GEO_FIELDS]
+    seen = items.select(*fields, "landed_file", staging.observed_at("item", lenient=lenient).alias("_seen"))
     payload = [c for c, _, _ in staging.GEO_FIELDS if c != "station_id"]
     order = ("_seen", "landed_file", *payload)
     return latest_per_key(seen, ("station_id",), order).drop("_seen", "landed_file")

@@ -54,17 +54,20 @@ def stream_units(
     """
     instant = wall_to_instant(F.col("measure_at"))
     just_before = instant - F.expr("INTERVAL '0.000001' SECOND")
-    counted = F.when(
-        is_anchor(F.col("measure_at"), grain), F.array(instant, just_before)
-    ).otherwise(F.array(instant))
-    # One watermark for both steps: a second one downstream is not allowed.
+    own = F.struct(instant.alias("_instant"), F.lit(False).alias("_closing"))
+    closing = F.struct(just_before.alias("_instant"), F.lit(True).alias("_closing"))
+    on_boundary = is_anchor(F.col("measure_at"), grain)
+    counted = F.when(on_boundary, F.array(own, closing)).otherwise(F.array(own))
+    # One watermark for both steps: a second one downstream is not allowed. The second count
+    # of a boundary reading is not a repeat of a reading that really is just before it.
     unique = (
-        readings.withColumn("_instant", F.explode(counted))
+        readings.withColumn("_counted", F.explode(counted))
+        .select("*", "_counted.*")
+        .drop("_counted")
         .withWatermark("_instant", delay)
-        .dropDuplicatesWithinWatermark(["station_id", "_instant"])
+        .dropDuplicatesWithinWatermark(["station_id", "measure_at", "_closing"])
     )
-    on_anchor = wall_to_instant(F.col("measure_at")) == F.col("_instant")
-    opening = on_anchor & is_anchor(F.col("measure_at"), grain)
+    opening = ~F.col("_closing") & on_boundary
     states = unique.withColumn("_opening", opening).selectExpr(
         "station_id", "_instant", "_opening", "station_name", *measures.reading_state()
     )
@@ -96,7 +99,8 @@ def stream_day_states(readings: DataFrame, delay: str, measures: Measures = WEAT
         "station_id", "_instant", "_on_midnight", "station_name", *measures.reading_state()
     )
     days = states.groupBy("station_id", _unit_window("_instant", DAILY).alias("_unit")).agg(
-        *day_aggregates(measures)
+        *day_aggregates(measures),
+        F.max(F.when(F.col("_on_midnight"), F.col("station_name"))).alias("station_name"),
     )
     return days.withColumn(
         "measure_date", instant_to_wall(F.col("_unit.start")).cast("date")
