@@ -265,7 +265,8 @@ def fit(
                 "feature": [None, *vocabulary.names(chosen)],
                 "weight": [intercept, *weights.tolist()],
             }
-        return pd.DataFrame(out)
+        kinds = {"fold": "int64", "feature": "object", "weight": "float64"}
+        return pd.DataFrame({name: pd.Series(out[name], dtype=kinds[name]) for name in out})
 
     learned = (
         rows.repartition(FOLDS, "fold")
