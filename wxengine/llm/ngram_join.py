@@ -385,7 +385,7 @@ def link_documents(
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest id.
 
-    Rows without an id stay. Of repeated rows with the smallest id one stays.
+    Rows without an id stay. Rows that repeat an id are one document: they stay or go together.
     """
     linked = link_documents(docs, id_col, text_col, **options)
     gone = linked.where(F.col(id_col) != F.col("component_id")).select(id_col)
