@@ -171,3 +171,22 @@ def test_shared_folder_is_the_one_the_cluster_names():
     named = shared_dir(Session(spark_checkpoint_dir="s3a://bucket/shared/"), "x")
     assert named.startswith("s3a://bucket/shared/wxengine/x-")
     assert shared_dir(Session(), "x") != shared_dir(Session(), "x")
+
+
+def test_a_reading_timed_after_its_arrival_is_not_lost(spark, layout):
+    def land(arrival, moment):
+        item = payloads.station("466920", moment, temperature="20.0")
+        payloads.land(Path(layout.landed(MEASUREMENTS)), arrival, payloads.measurements(item))
+
+    land("2024-06-01_00_03", "2024-06-01T00:00:00")
+    land("2024-07-08_00_03", "2024-07-08T00:00:00")
+    land("2024-08-01_00_03", "2024-08-10T00:00:00")
+    jobs.run_ingest(spark, layout)  # the registers have not landed yet
+    jobs.run_measurements(spark, layout, only_closed=True)
+    land("2024-10-01_00_03", "2024-10-01T00:00:00")
+    jobs.run_ingest(spark, layout)
+    jobs.run_measurements(spark, layout, only_closed=True)
+    found = sorted(r.measure_at for r in read_table(spark, layout.rolling).collect())
+    jobs.run_measurements(spark, layout, full_refresh=True, only_closed=True)
+    assert found == sorted(r.measure_at for r in read_table(spark, layout.rolling).collect())
+    assert dt.datetime(2024, 8, 10) in found

@@ -4,12 +4,12 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from wxengine.catalog.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 # Queries that return a stored result have run their plan already.
-STORED = {"incremental_append", "late_data_drop", "full_refresh"}
-LAZY = sorted(n for n in entry.queries() if not n.startswith("stream_") and n not in STORED)
+STORED = {"incremental_append", "artifact_append", "late_data_drop", "full_refresh"}
+LAZY = sorted(n for n in QUERIES if not n.startswith("stream_") and n not in STORED)
 
 
 def plan(frame) -> str:
@@ -20,7 +20,7 @@ def plan(frame) -> str:
 def plans(spark):
     limit = spark.conf.get("spark.sql.maxPlanStringLength")
     spark.conf.set("spark.sql.maxPlanStringLength", "2000000")
-    yield {name: plan(entry.queries()[name](spark, SF_DIR)) for name in LAZY}
+    yield {name: plan(QUERIES[name](spark, SF_DIR)) for name in LAZY}
     spark.conf.set("spark.sql.maxPlanStringLength", limit)
 
 
@@ -41,7 +41,13 @@ def test_copies_are_dropped_before_the_shuffle(plans, name):
 @pytest.mark.parametrize("grain", ["hourly", "daily", "weekly", "monthly"])
 def test_artifacts_aggregate_before_the_shuffle(plans, grain):
     text = plans[f"agg_{grain}"]
-    assert text.count("Exchange hashpartitioning") == 2 and "partial_sum" in text
+    assert "partial_sum" in text and "HashAggregate" in text and "SortAggregate" not in text
+    if grain != "hourly":
+        assert "SortAggregate" not in plans[f"agg_{grain}_from_days"]
+
+
+def test_picking_a_grain_by_suffix_builds_no_other(plans):
+    assert "_start_monthly" not in plans["dynamic_select_daily"]
 
 
 def test_rolling_splits_stations_by_day(plans):

@@ -203,3 +203,33 @@ def test_one_station_with_a_third_of_all_rows(spark):
     sizes = Counter(row.task for row in placed)
     assert len(sizes) == 8
     assert max(sizes.values()) < 0.4 * sum(sizes.values())
+
+
+def one_reading(spark, value, at="2024-08-01 10:00:00"):
+    rows = spark.createDataFrame([("46", "A", value, value)], "station_id STRING, station_name STRING, v DOUBLE, w DOUBLE")
+    return rows.withColumn("measure_at", F.lit(at).cast("timestamp_ntz"))
+
+
+@pytest.mark.parametrize("grain", GRAINS, ids=lambda g: g.suffix)
+def test_a_value_is_rounded_once(spark, grain):
+    row = rolling(one_reading(spark, 1.00496), [grain], MEASURES).first()
+    names = [f"v_{grain.suffix}_average", f"v_{grain.suffix}_sum", f"w_{grain.suffix}_max"]
+    assert [row[n] for n in names] == [1.0, 1.0, 1.0]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_nan_is_missing_and_overflow_an_error(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        row = rolling(one_reading(spark, float("nan")), [HOURLY], MEASURES).first()
+        assert row["v_hourly_average"] is row["v_hourly_sum"] is row["w_hourly_max"] is None
+        with pytest.raises(Exception, match="beyond the exact range"):
+            rolling(one_reading(spark, 1e12), [HOURLY], MEASURES).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_a_reading_without_a_time_counts_once(spark):
+    row = rolling(one_reading(spark, 5.0, at=None), GRAINS, MEASURES).first()
+    assert {row[f"v_{g.suffix}_sum"] for g in GRAINS} == {5.0}

@@ -95,3 +95,8 @@ def test_rain_register(spark):
     row = staging.rain_stations(responses(spark, payloads.rain_register(payloads.rain_station()))).first()
     assert row.station_latitude == Decimal("24.97712")
     assert (row.city_code, row.city_name, row.town_code) == ("65", "rc", "6500100")
+
+
+def test_lenient_reading_covers_the_time(spark):
+    raw = responses(spark, payloads.measurements(payloads.station(at="bad"), payloads.station()))
+    assert staging.measurements(raw, lenient=True).filter("measure_at is null").count() == 1

@@ -19,7 +19,15 @@ from wxengine.operators.anchored import anchored
 from wxengine.operators.day_states import units_from_days
 from wxengine.operators.measures import Measures
 from wxengine.plans import staging
-from wxengine.sources.landing import MEASUREMENTS, read_archive, read_landing, stream_landing
+from wxengine.sources.landing import (
+    MEASUREMENTS,
+    arrived_at,
+    compact_archive,
+    compact_landing,
+    read_archive,
+    read_landing,
+    stream_landing,
+)
 from wxengine.streaming import aggregate, ingest
 
 MEASURES = Measures(averaged=("air_temperature",), summed=("precipitation",), maxed=("air_temperature",))
@@ -157,3 +165,40 @@ def test_instants_ignore_daylight_saving(spark):
         assert steps == 3 * 86400 * 10**6 + 1
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_a_reading_just_before_a_boundary_is_kept(spark, feed):
+    moments = ["2024-07-31T09:00:00", "2024-07-31T09:59:59.999999", "2024-07-31T10:00:00"]
+    feed.land(payloads.measurements(*[payloads.station("466920", m, precipitation=str(k + 1)) for k, m in enumerate(moments)]))
+    units = aggregate.stream_units(feed.readings(), HOURLY, "1 day", MEASURES)
+    feed.run(ingest.write_versions, units, "units")
+    found = ingest.newest_version(spark, feed.path("units"), ("station_id", "measure_at"))
+    assert same(anchored(feed.batch(), HOURLY, MEASURES), found)
+    assert {r.precipitation_hourly_sum for r in found.collect()} == {6.0, 3.0}
+
+
+def test_stream_and_compaction_share_an_archive(spark, feed):
+    archive, checkpoint = feed.path("archive"), feed.path("archive-checkpoint")
+    landing = str(feed.root / "landing")
+
+    def archived():
+        return read_archive(spark, archive, MEASUREMENTS).select("landed_file").count()
+
+    assert archived() == 0
+    for round_ in range(1, 3):
+        feed.land(response([round_]))
+        ingest.ingest(spark, landing, archive, MEASUREMENTS, checkpoint).awaitTermination()
+        compact_archive(spark, archive, MEASUREMENTS)
+        assert archived() == round_
+        compact_archive(spark, archive, MEASUREMENTS)
+        assert archived() == round_
+    feed.land(response([9]))
+    compact_landing(read_landing(spark, landing), archive, MEASUREMENTS)
+    ingest.ingest(spark, landing, archive, MEASUREMENTS, checkpoint).awaitTermination()
+    assert archived() == 3
+
+
+def test_arrival_comes_from_the_end_of_the_path(spark):
+    paths = ["x/backup-2023-01-01_00_00/weather-2024-08-01_10_03.json", "x/2024-13-45_99_99.json", "x/none.json"]
+    got = spark.createDataFrame([(p,) for p in paths], "p string").select(arrived_at("p").alias("a")).collect()
+    assert [r.a for r in got] == [dt.datetime(2024, 8, 1, 10, 3), None, None]
