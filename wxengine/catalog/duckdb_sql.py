@@ -153,7 +153,7 @@ FROM supplier
 
 _DIGITS = "lpad(CAST((c_custkey * 7919) % 1000000 AS VARCHAR), 6, '0')"
 _RAIN_REGISTER = f"""
-SELECT {_station_id("c_custkey")} AS station_id,
+SELECT {_station_id("c_custkey + 5")} AS station_id,
        CAST(c_nationkey AS VARCHAR) AS city_code,
        substring(c_mktsegment, 1, 3) AS town_code,
        c_name AS station_name,
@@ -161,7 +161,7 @@ SELECT {_station_id("c_custkey")} AS station_id,
        CAST(CAST(c_custkey % 180 AS VARCHAR) || '.' || {_DIGITS} AS DECIMAL(10,5)) AS station_longitude,
        'City ' || CAST(c_nationkey AS VARCHAR) AS city_name,
        c_mktsegment AS town_name
-FROM customer WHERE c_custkey % 3 <> 0
+FROM customer
 """
 
 _GEO = f"""

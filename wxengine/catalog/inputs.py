@@ -196,10 +196,10 @@ def rain_register_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     digits = F.lpad(F.pmod(key * 7919, F.lit(1000000)).cast("string"), 6, "0")
     return (
         table(spark, sf_dir, "customer")
-        .filter(key % 3 != 0)
         .select(
             F.struct(
-                station_id(key).alias("Station_ID"),
+                # Shifted, so that each register has stations that the others lack.
+                station_id(key + 5).alias("Station_ID"),
                 F.col("c_name").alias("Station_name"),
                 F.concat((key % 90).cast("string"), F.lit("."), digits).alias("Station_Latitude"),
                 F.concat((key % 180).cast("string"), F.lit("."), digits).alias("Station_Longitude"),
