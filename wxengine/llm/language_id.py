@@ -215,7 +215,7 @@ def identify(docs: DataFrame, training: Column, text_col: str = "text", **option
     return docs.withColumn("_language", predicted(F.col(text_col), model))
 
 
-def reject_unidentified(docs: DataFrame, training: Column, least: float = 0.5, **options) -> DataFrame:
+def reject_unidentified(docs: DataFrame, training: Column, least: float = 0.3, **options) -> DataFrame:
     """``docs`` without texts in no language, or whose best language is under ``least``."""
     found = identify(docs, training, **options)
     kept = (F.col("_language.lang_pred") != UNKNOWN) & (F.col("_language.score") >= least)
