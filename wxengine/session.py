@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -39,12 +42,20 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     """A new, unused folder path that every executor can reach.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``. Only where that is
-    unset (tests on one machine) a local temporary folder takes its place.
+    unset and everything runs in one process (tests) a local temporary folder, removed at
+    its end, takes its place; on a cluster that would be an error.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None) or _local_root()
+    root = spark.conf.get(CHECKPOINT_DIR, None)
+    if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"{CHECKPOINT_DIR} must name a shared folder on {master!r}")
+        root = _local_root()
     return f"{root.rstrip('/')}/wxengine/{label}-{uuid.uuid4().hex}"
 
 
 @functools.cache
 def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="wxengine-")
+    folder = tempfile.mkdtemp(prefix="wxengine-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
