@@ -88,7 +88,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language_id.identify(docs, remainder(4) != 2)
     return found.select(
         "doc_id",
-        (remainder(4) == 2).alias("held_out"),
+        F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"),
         "_language.lang_pred",
         "_language.score",
     )
@@ -115,7 +115,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.with_toxicity(docs, labels, remainder(5) != 0)
     return found.select(
         "doc_id",
-        (remainder(5) == 0).alias("held_out"),
+        F.coalesce(remainder(5) == 0, F.lit(False)).alias("held_out"),
         F.col("_toxicity").alias("score"),
         (F.col("_toxicity") >= 0.5).cast("int").alias("predicted"),
     )
