@@ -1,9 +1,10 @@
 """Byte-level BPE over a table of distinct words.
 
 Texts are split into pre-tokens ("words", with the blank before them). Each distinct word is
-encoded once: the words of each chunk of documents are shuffled by word, equal words meet in
-one task, which encodes them once and decodes the ids again through the id-to-piece table,
-and the answers go back to the chunks, where ids are joined to the words' positions.
+encoded once: a chunk of documents hands in its distinct words, in sorted lists by a hash of
+the word; equal words of all chunks meet in one group, which encodes each once and decodes
+the ids again through the id-to-piece table; the answers go back by chunk, where ids are
+joined to the words' positions. Documents, lists and answers are shuffled compressed.
 
 The tokenizer file is read on the driver and sent to the tasks, its size being that of the
 vocabulary. Its added tokens are cut out of the text before splitting, as the library does.
@@ -18,16 +19,24 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import regex
+import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from wxengine.llm.chunks import CHUNK_BYTES, with_chunks
+from wxengine.llm.chunks import (
+    CHUNK_BYTES,
+    bucket_count,
+    bucket_of,
+    packed_chunks,
+    ragged_take,
+    unpacked_chunk,
+    with_chunks,
+)
 
 # Fixed value: the pattern of byte-level pre-tokenization.
 PATTERN = (
@@ -95,8 +104,13 @@ class Codec:
             done = m.end()
         return out + self._plain(text[done:])
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def encode_words(self, words: list[str], at_once: int = 20_000) -> list[list[int]]:
+        encode = self._tokenizer.encode_batch_fast
+        return [
+            e.ids
+            for start in range(0, len(words), at_once)
+            for e in encode(words[start : start + at_once], add_special_tokens=False)
+        ]
 
 
 def read_codec(path: str) -> Codec:
@@ -104,71 +118,114 @@ def read_codec(path: str) -> Codec:
         return Codec(file.read())
 
 
-def _distinct(codec: Codec):
-    def words(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+def _distinct(codec: Codec, buckets: int):
+    def words(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        """The distinct words of a chunk, sorted, in compressed lists by bucket."""
         found: set[str] = set()
-        for text in rows.column("_text"):
-            found.update(codec.split(text.as_py()))
-        words = pa.array(sorted(found), type=pa.string())
-        return pa.table({"_chunk": pa.array([key[0].as_py()] * len(words), pa.int32()), "word": words})
+        for rows in unpacked_chunk(table):
+            for text in rows.column("_text"):
+                found.update(codec.split(text.as_py()))
+        lists: dict[int, list[str]] = {}
+        for word in found:
+            lists.setdefault(bucket_of(word, buckets), []).append(word)
+        compress = zstandard.ZstdCompressor().compress
+        blobs = (compress(json.dumps(sorted(own), ensure_ascii=False).encode()) for own in lists.values())
+        return pa.table(
+            {
+                "_chunk": pa.array([key[0].as_py()] * len(lists), pa.int32()),
+                "bucket": pa.array(lists.keys(), pa.int32()),
+                "words": pa.array(blobs, pa.binary()),
+            }
+        )
 
     return words
 
 
-_ENCODED = pa.schema(
-    [("_chunk", pa.int32()), ("word", pa.string()), ("ids", pa.binary()), ("decoded", pa.binary())]
-)
+# A bucket's words of one chunk, encoded, in the order of its list; and those that do not
+# decode to themselves, as pairs of a place in the list and bytes in hexadecimal.
+_ENCODED = "_chunk int, bucket int, sizes binary, ids binary, odd string"
 
 
 def _encoder(codec: Codec):
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by word, so equal words are neighbours and are encoded once."""
-        last: tuple[str, bytes, bytes] | None = None
-        for batch in batches:
-            words = batch.column("word").dictionary_encode()
-            names, index = words.dictionary.to_pylist(), words.indices
-            known = {last[0]: last[1:]} if last else {}
-            fresh = [w for w in names if w not in known]
-            for word, ids in zip(fresh, codec.encode_words(fresh), strict=True):
-                known[word] = (
-                    b"".join(i.to_bytes(4, "little") for i in ids),
-                    b"".join(codec.pieces[i] for i in ids),
-                )
-            if names:
-                last = (names[-1], *known[names[-1]])
-            ids = pa.array([known[w][0] for w in names], pa.binary()).take(index)
-            # A word that decodes to itself need not be carried twice.
-            differs = (known[w][1] for w in names)
-            decoded = [None if d == w.encode() else d for w, d in zip(names, differs, strict=True)]
-            decoded = pa.array(decoded, pa.binary()).take(index)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_chunk"), batch.column("word"), ids, decoded], schema=_ENCODED
-            )
+    def encode(table: pa.Table) -> pa.Table:
+        expand = zstandard.ZstdDecompressor().decompress
+        compress = zstandard.ZstdCompressor().compress
+        lists = [json.loads(expand(blob.as_py())) for blob in table.column("words")]
+        place: dict[str, int] = {}
+        for own in lists:
+            for word in own:
+                place.setdefault(word, len(place))
+        names = list(place)
+        coded = codec.encode_words(names)
+        odd = {}
+        for word, ids in zip(names, coded, strict=True):
+            decoded = b"".join([codec.pieces[i] for i in ids])
+            if decoded != word.encode():
+                odd[word] = decoded.hex()
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        flat = np.fromiter((i for ids in coded for i in ids), np.uint32, int(sizes.sum()))
+        out: dict[str, list] = {"sizes": [], "ids": [], "odd": []}
+        for own in lists:
+            index = np.fromiter(map(place.__getitem__, own), np.int64, len(own))
+            ids, counts = ragged_take(flat, sizes, index)
+            out["sizes"].append(compress(counts.astype("<u4").tobytes()))
+            out["ids"].append(compress(ids.astype("<u4").tobytes()))
+            strange = [[k, odd[word]] for k, word in enumerate(own) if word in odd] if odd else []
+            out["odd"].append(json.dumps(strange) if strange else None)
+        return pa.table(
+            {
+                "_chunk": table.column("_chunk"),
+                "bucket": table.column("bucket"),
+                "sizes": pa.array(out["sizes"], pa.binary()),
+                "ids": pa.array(out["ids"], pa.binary()),
+                "odd": pa.array(out["odd"], pa.string()),
+            }
+        )
 
     return encode
 
 
-def _assembler(codec: Codec, keep: tuple[str, ...]):
-    def assemble(rows: pa.Table, table: pa.Table) -> pa.Table:
-        words = table.column("word").to_pylist()
-        ids = dict(zip(words, table.column("ids").to_pylist(), strict=True))
-        texts = {
-            word: decoded
-            for word, decoded in zip(words, table.column("decoded").to_pylist(), strict=True)
-            if decoded is not None
-        }
+def _assembler(codec: Codec, keep: tuple[str, ...], buckets: int):
+    def assemble(table: pa.Table, answers: pa.Table) -> pa.Table:
+        # Words are numbered as they come, then by bucket and order, as in the answers.
+        seen: dict[str, int] = {}
+        kept, texts = [], []
+        for rows in unpacked_chunk(table):
+            kept.append(rows.select(keep))
+            for text in rows.column("_text"):
+                own = codec.split(text.as_py())
+                numbered = (seen.setdefault(word, len(seen)) for word in own)
+                texts.append(np.fromiter(numbered, np.int32, len(own)))
+        names = list(seen)
+        lists: dict[int, list[int]] = {}
+        for k, word in enumerate(names):
+            lists.setdefault(bucket_of(word, buckets), []).append(k)
+        expand = zstandard.ZstdDecompressor().decompress
+        rank = np.empty(len(names), dtype=np.int64)
+        sizes, ids, odd, done = [], [], {}, 0
+        columns = (answers.column(c) for c in ("bucket", "sizes", "ids", "odd"))
+        for bucket, own_sizes, own_ids, strange in zip(*columns, strict=True):
+            own = sorted(lists[bucket.as_py()], key=names.__getitem__)
+            rank[own] = np.arange(done, done + len(own))
+            done += len(own)
+            sizes.append(np.frombuffer(expand(own_sizes.as_py()), "<u4").astype(np.int64))
+            ids.append(np.frombuffer(expand(own_ids.as_py()), "<u4"))
+            for k, decoded in json.loads(strange.as_py() or "[]"):
+                odd[own[k]] = bytes.fromhex(decoded)
+        none = np.empty(0, np.int64)
+        counts, flat = np.concatenate([none, *sizes]), np.concatenate([none.astype("<u4"), *ids])
         all_ids, all_texts = [], []
-        for text in rows.column("_text"):
-            own = codec.split(text.as_py())
-            all_ids.append(b"".join([ids[w] for w in own]))
-            if texts:
-                decoded = b"".join([texts.get(w) or w.encode() for w in own])
+        for own in texts:
+            taken, _ = ragged_take(flat, counts, rank[own])
+            all_ids.append(taken.tobytes())
+            if odd:
+                decoded = b"".join([odd[k] if k in odd else names[k].encode() for k in own.tolist()])
                 all_texts.append(decoded.decode("utf-8", "replace"))
             else:
-                all_texts.append("".join(own))
-        kept = [rows.column(c) for c in keep]
+                all_texts.append("".join([names[k] for k in own]))
+        columns = pa.concat_tables(kept)
         return pa.table(
-            [*kept, pa.array(all_ids, pa.binary()), pa.array(all_texts, pa.string())],
+            [*columns.columns, pa.array(all_ids, pa.binary()), pa.array(all_texts, pa.string())],
             names=[*keep, "ids", "decoded"],
         )
 
@@ -189,19 +246,19 @@ def encode_decode(
         *(F.col(c).alias(f"_{i}") for i, c in enumerate(names)),
         F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
     )
-    chunked = with_chunks(rows, "_0", "_text", chunk_bytes)
-    words = chunked.groupBy("_chunk").applyInArrow(_distinct(codec), "_chunk int, word string")
-    encoded = (
-        words.repartition("word")
-        .sortWithinPartitions("word")
-        .mapInArrow(_encoder(codec), "_chunk int, word string, ids binary, decoded binary")
+    chunked, chunks = with_chunks(rows, "_0", "_text", chunk_bytes)
+    buckets = bucket_count(chunks)
+    packed = packed_chunks(chunked)
+    words = packed.groupBy("_chunk").applyInArrow(
+        _distinct(codec, buckets), "_chunk int, bucket int, words binary"
     )
+    encoded = words.groupBy("bucket").applyInArrow(_encoder(codec), _ENCODED)
     inner = tuple(f"_{i}" for i in range(len(names)))
     kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in inner)
     out = (
-        chunked.groupBy("_chunk")
+        packed.groupBy("_chunk")
         .cogroup(encoded.groupBy("_chunk"))
-        .applyInArrow(_assembler(codec, inner), f"{kinds}, ids binary, decoded string")
+        .applyInArrow(_assembler(codec, inner, buckets), f"{kinds}, ids binary, decoded string")
     )
     return out.select(
         *(F.col(i).alias(c) for i, c in zip(inner, names, strict=True)), "ids", "decoded"
