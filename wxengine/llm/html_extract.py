@@ -179,14 +179,20 @@ def declared(path: str) -> float | None:
     return 1.0 if content else None
 
 
-_NODES = "array<struct<path:string,style:string,text:string,prior:double>>"
+_NODES = "array<struct<path:string,style:bigint,text:bigint,prior:double>>"
 _ARROW_NODES = pa.list_(
     pa.struct(
-        [("path", pa.string()), ("style", pa.string()), ("text", pa.string()), ("prior", pa.float64())]
+        [("path", pa.string()), ("style", pa.int64()), ("text", pa.int64()), ("prior", pa.float64())]
     )
 )
 
 
+def _number(text: str) -> int:
+    """64 bits of a digest; entropies only need to tell texts apart, not to know them."""
+    digest = hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest()
+    return int.from_bytes(digest, "little", signed=True)
+
+
 def nodes(source: Column) -> Column:
     """The text-bearing nodes of a page: path, inline tags, digest of all its text, prior."""
 
@@ -203,8 +209,8 @@ def nodes(source: Column) -> Column:
                 [
                     {
                         "path": path,
-                        "style": ";".join(sorted(set(styles))),
-                        "text": hashlib.md5("\n".join(texts).encode("utf-8", "replace")).hexdigest(),
+                        "style": _number(";".join(sorted(set(styles)))),
+                        "text": _number("\n".join(texts)),
                         "prior": declared(path),
                     }
                     for path, (styles, texts) in merged.items()
@@ -279,7 +285,7 @@ def extract(
         F.col(url_col).alias("_url"),
         F.coalesce(F.col(html_col), F.lit("")).alias("_html"),
         F.lower(F.coalesce(F.try_parse_url(F.col(url_col), F.lit("HOST")), F.lit(""))).alias("host"),
-    ).withColumn("page", F.md5("_html"))
+    ).withColumn("page", F.unhex(F.md5("_html")))
     found = (
         rows.select("host", "page", F.explode(nodes(F.col("_html"))).alias("n"))
         .select("host", "page", "n.path", "n.style", "n.text", "n.prior")
