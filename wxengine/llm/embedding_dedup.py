@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from wxengine.llm.components import components
-from wxengine.llm.groups import Links, comparison_tasks, sides
+from wxengine.llm.groups import Links, comparison_tasks, run_tasks, sides
 from wxengine.session import shared_dir
 
 COSINE = 0.9
@@ -132,39 +132,50 @@ def link_embeddings(
     shared = comparison_tasks(buckets, ["_table", "_key", "_size"], "_digest", block)
     tasks = shared.join(classes.select("_digest", "_rep", "_copies", "_vector"), "_digest")
 
-    def compare(part: pd.DataFrame) -> pd.DataFrame:
-        vectors = np.stack(part["_vector"].to_numpy()).astype(np.float64)
-        lengths = np.sqrt((vectors * vectors).sum(axis=1))
-        keys = keys_of(vectors, projections, tables, width)
-        table = int(part["_table"].iloc[0])
-        copies = part["_copies"].to_numpy()
-        left, right = sides(part["_side"].to_numpy())
-        links = Links(part["_rep"].tolist())
-        counts = np.zeros(len(part), dtype=np.int64)
-        for i in left:
-            others = right if right is not left else right[right > i]
-            value = (vectors[others] @ vectors[i]) / (lengths[others] * lengths[i])
-            near = others[value >= cosine]
-            if table and len(near):
-                near = near[~(keys[near, :table] == keys[i, :table]).any(axis=1)]
-            for j in near:
-                links.join(int(i), int(j))
-            counts[i] += copies[near].sum()
-            counts[near] += copies[i]
-        parents = dict(zip(*(x.tolist() for x in links.star()), strict=True))
-        linked = np.flatnonzero(counts)
-        return pd.DataFrame(
-            {
-                "_digest": part["_digest"].to_numpy()[linked],
-                "_links": counts[linked],
-                "a": part["_rep"].to_numpy()[linked],
-                "b": [parents.get(x, x) for x in part["_rep"].to_numpy()[linked]],
-            }
-        )
-
-    found = tasks.groupBy("_task").applyInPandas(
-        compare, "_digest string, _links bigint, a bigint, b bigint"
-    )
+    def compare(rows: pd.DataFrame, bounds: list[tuple[int, int]]) -> Iterator[pd.DataFrame]:
+        sizes = rows["_size"].to_numpy()
+        for size in np.unique(sizes):
+            own = np.flatnonzero(sizes == size)
+            vectors = np.stack(rows["_vector"].to_numpy()[own])
+            keys = keys_of(vectors, projections, tables, width)
+            lengths = np.sqrt((vectors * vectors).sum(axis=1))
+            # Tasks are on one size, so their rows stay together.
+            starts = np.searchsorted(own, [a for a, _ in bounds if sizes[a] == size])
+            ends = [*starts[1:].tolist(), len(own)]
+            part = rows.iloc[own]
+            table, side = part["_table"].to_numpy(), part["_side"].to_numpy()
+            reps, copies = part["_rep"].to_numpy(), part["_copies"].to_numpy()
+            digests = part["_digest"].to_numpy()
+            out: list[tuple] = []
+            for a, b in zip(starts.tolist(), ends, strict=True):
+                left, right = sides(side[a:b])
+                cosines = (vectors[a:b][left] @ vectors[a:b][right].T) / np.outer(
+                    lengths[a:b][left], lengths[a:b][right]
+                )
+                near = cosines >= cosine
+                if left is right:
+                    near = np.triu(near, 1)
+                i, j = np.nonzero(near)
+                i, j = left[i], right[j]
+                if table[a]:
+                    earlier = keys[a:b, : table[a]]
+                    first = np.fromiter(
+                        (not (earlier[x] == earlier[y]).any() for x, y in zip(i, j, strict=True)),
+                        bool,
+                        len(i),
+                    )
+                    i, j = i[first], j[first]
+                if not len(i):
+                    continue
+                links = Links(reps[a:b].tolist())
+                links.join_all(i, j)
+                counts = np.bincount(i, copies[a:b][j], b - a) + np.bincount(j, copies[a:b][i], b - a)
+                for k in np.flatnonzero(counts).tolist():
+                    parent = links.ids[links.label[k]]
+                    out.append((digests[a + k], int(counts[k]), int(reps[a + k]), int(parent)))
+            yield pd.DataFrame(out, columns=["_digest", "_links", "a", "b"])
+
+    found = run_tasks(tasks, compare, "_digest string, _links bigint, a bigint, b bigint")
     found_path = shared_dir(spark, "embedding-links")
     found.write.parquet(found_path)
     found = spark.read.parquet(found_path)
