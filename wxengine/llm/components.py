@@ -9,7 +9,7 @@ a lost executor repeats one round at most.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from wxengine.session import shared_dir
 
@@ -28,7 +28,9 @@ def _star(links: DataFrame, larger: bool) -> DataFrame:
     else:
         own = lowest.select("a", F.col("m").alias("b"))
         moved = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(own)
-    return moved.where(F.col("a") != F.col("b")).distinct()
+    moved = moved.where(F.col("a") != F.col("b"))
+    # Repeats are only dropped once a round; the large star makes none of single links.
+    return moved if larger else moved.distinct()
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -37,11 +39,14 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     def stored(rows: DataFrame) -> tuple[DataFrame, tuple]:
         path = shared_dir(spark, "components")
-        rows.write.parquet(path)
-        rows = spark.read.schema("a bigint, b bigint").parquet(path)
-        pair: Column = F.xxhash64("a", "b")
-        mark = rows.agg(F.count("*"), F.bit_xor(pair), F.sum((pair % F.lit(1 << 40)))).first()
-        return rows, tuple(mark)
+        # The fingerprint that tells whether a round changed anything comes with its write.
+        seen = Observation()
+        pair: Column = F.xxhash64("a", "b") % F.lit(1 << 40)
+        marked = rows.observe(
+            seen, F.count(F.lit(1)).alias("n"), F.sum(pair).alias("s"), F.sum(F.abs(pair)).alias("t")
+        )
+        marked.write.parquet(path)
+        return spark.read.schema("a bigint, b bigint").parquet(path), tuple(seen.get.values())
 
     now = links.select(F.col(a).cast("bigint").alias("a"), F.col(b).cast("bigint").alias("b"))
     now, mark = stored(now.where(F.col("a") != F.col("b")).distinct())

@@ -356,9 +356,9 @@ def link_documents(
         "rep", "size", "keys", "bits", F.coalesce("component", "rep").alias("family")
     )
     second = _stored(_round(near, F.col("keys"), percent), "shingle-candidates")
-    families = components(first.unionByName(second)).select(
-        F.col("id").alias("rep"), F.col("component").alias("family")
-    )
+    if not second.isEmpty():
+        families = components(first.unionByName(second))
+    families = families.select(F.col("id").alias("rep"), F.col("component").alias("family"))
     families = families.unionByName(families.select(F.col("family").alias("rep"), "family").distinct())
     members = families.join(classes.select("rep", "size"), "rep")
     weight = F.greatest(F.col("size"), F.lit(_SHINGLES // 1000))
