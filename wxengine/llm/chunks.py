@@ -27,7 +27,8 @@ def with_chunks(
 ) -> tuple[DataFrame, int]:
     """``docs`` with ``_chunk``, by a hash of id and text, and the number of chunks.
 
-    Chunks have about ``most`` bytes of text; small inputs are cut finer, to use all cores.
+    Copies are spread evenly by the hash. Chunks have about ``most`` bytes of text; small inputs
+    are cut finer, to use all cores.
     """
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     cores = docs.sparkSession.sparkContext.defaultParallelism

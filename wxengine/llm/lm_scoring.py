@@ -25,16 +25,26 @@ empty result. Columns other than the id and the text are not looked at.
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections import Counter
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-from wxengine.llm.arrow_text import LOWER, Pieces, pieces
-from wxengine.llm.chunks import CHUNK_BYTES, with_chunks
+from pyspark.sql import Column, DataFrame, functions as F
+
+from wxengine.llm.arrow_text import LOWER, Pieces, mix, pieces
+from wxengine.llm.chunks import (
+    CHUNK_BYTES,
+    bucket_count,
+    packed_chunks,
+    unpacked_chunk,
+    with_chunks,
+)
 from wxengine.session import shared_dir
 
 ORDER = 5
@@ -42,8 +52,8 @@ MARK = 0xFF
 # A word has no space, so this stands for the end of a text among the words.
 END = b" "
 _GRAM = ORDER + 1
-# 6-grams that a bucket has on average.
-_BUCKET = 100_000
+# Bytes of text whose 6-grams are held at a time.
+_PIECE = 1 << 20
 
 
 def grams(piece: Pieces) -> tuple[np.ndarray, np.ndarray]:
@@ -68,35 +78,82 @@ def grams(piece: Pieces) -> tuple[np.ndarray, np.ndarray]:
     return keys[whole[: len(keys)]], begins
 
 
-def _terms(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-    """Distinct words and 6-grams of a chunk, with their counts in its training texts."""
-    words: Counter[bytes] = Counter()
-    others: set[bytes] = set()
-    found: list[tuple[np.ndarray, np.ndarray]] = []
-    training = rows.column("_training").to_numpy()
-    texts = rows.column("_text").combine_chunks()
-    for first, piece in pieces(texts):
-        own = training[first : first + len(piece.starts)]
-        lowered = LOWER[piece.data].tobytes()
-        for trains, a, b in zip(own, piece.starts, piece.ends, strict=True):
-            (words if trains else others).update(lowered[a:b].split())
-        words[END] += int(own.sum())
-        keys, _ = grams(piece)
-        codes, distinct = pd.factorize(keys)
-        weights = np.repeat(own, piece.ends - piece.starts + 1)
-        found.append((distinct, np.bincount(codes, weights, len(distinct)).astype(np.int64)))
+def _summed(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in ascending order with their counts added up."""
     distinct, place = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
-    counts = np.bincount(place, np.concatenate([n for _, n in found])).astype(np.int64)
-    names = sorted(words.keys() | others)
-    size, more = len(names), len(distinct)
-    return pa.table(
-        {
-            "_chunk": pa.array(np.full(size + more, key[0].as_py(), dtype=np.int32)),
-            "word": pa.array([*names, *([None] * more)], pa.binary()),
-            "gram": pa.concat_arrays([pa.nulls(size, pa.int64()), pa.array(distinct)]),
-            "n": pa.array(np.concatenate([[words[w] for w in names], counts]).astype(np.int64)),
-        }
-    )
+    return distinct, np.bincount(place, np.concatenate([n for _, n in found])).astype(np.int64)
+
+
+def _blob(values: np.ndarray | bytes) -> bytes:
+    raw = values if isinstance(values, bytes) else np.ascontiguousarray(values).tobytes()
+    return zstandard.ZstdCompressor().compress(raw)
+
+
+def _expanded(blob: pa.Scalar) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(blob.as_py())
+
+
+def _integers(blob: pa.Scalar, deltas: bool = False) -> np.ndarray:
+    values = np.frombuffer(_expanded(blob), dtype=np.int64)
+    return np.cumsum(values) if deltas else values
+
+
+def _gram_buckets(grams: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each 6-gram, by the last three bytes of its context."""
+    context = (grams >> 8) & ((1 << 24) - 1)
+    return (mix(context.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
+# A chunk's terms of one bucket: words as a JSON list, or ascending 6-grams as differences;
+# and their counts in the chunk's training texts.
+_TERMS = "_chunk int, bucket int, words binary, grams binary, counts binary"
+
+
+def _terms(buckets: int):
+    def terms(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        """Distinct words and 6-grams of a chunk, with their counts in its training texts."""
+        words: Counter[bytes] = Counter({END: 0})
+        others: set[bytes] = set()
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        for rows in unpacked_chunk(table):
+            training = rows.column("_training").to_numpy()
+            for first, piece in pieces(rows.column("_text"), _PIECE):
+                own = training[first : first + len(piece.starts)]
+                lowered = LOWER[piece.data].tobytes()
+                for trains, a, b in zip(own, piece.starts, piece.ends, strict=True):
+                    (words if trains else others).update(lowered[a:b].split())
+                words[END] += int(own.sum())
+                keys, _ = grams(piece)
+                codes, distinct = pd.factorize(keys)
+                weights = np.repeat(own, piece.ends - piece.starts + 1)
+                counts = np.bincount(codes, weights, len(distinct)).astype(np.int64)
+                found.append((distinct, counts))
+                if len(found) == 8:
+                    found = [_summed(found)]
+        lists: dict[int, list[bytes]] = {}
+        for word in words.keys() | others:
+            lists.setdefault(zlib.crc32(word) % buckets, []).append(word)
+        rows_: list[tuple] = []
+        for bucket, own in lists.items():
+            own.sort()
+            names = json.dumps([w.decode("utf-8", "surrogateescape") for w in own])
+            counts = np.fromiter(map(words.__getitem__, own), np.int64, len(own))
+            rows_.append((bucket, _blob(names.encode()), None, _blob(counts)))
+        distinct, counts = _summed(found)
+        bucket_of = _gram_buckets(distinct, buckets)
+        order = np.argsort(bucket_of, kind="stable")
+        cuts = np.flatnonzero(np.diff(bucket_of[order], prepend=-1, append=-1))
+        for a, b in pairwise(cuts.tolist()):
+            own = order[a:b]
+            blob = _blob(np.diff(distinct[own], prepend=0))
+            rows_.append((int(bucket_of[own[0]]), None, blob, _blob(counts[own])))
+        columns = list(zip(*rows_, strict=True))
+        chunk = pa.array([key[0].as_py()] * len(rows_), pa.int32())
+        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+        arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+        return pa.table([chunk, *arrays], names=["_chunk", "bucket", "words", "grams", "counts"])
+
+    return terms
 
 
 class Level:
@@ -163,76 +220,121 @@ def log_probabilities(
     return level.entry[np.searchsorted(level.keys, gram)]
 
 
-def _log_probabilities(grams: DataFrame, total: int, pairs: Broadcast) -> DataFrame:
-    """(gram, logp) for each distinct 6-gram with its count ``n`` in the training texts."""
-    buckets = -(-total // _BUCKET) or 1
+def _word_counts(table: pa.Table) -> pa.Table:
+    """Counts over all chunks for each chunk's words of a bucket, and the bucket's totals."""
+    lists = [json.loads(_expanded(blob)) for blob in table.column("words")]
+    totals: dict[str, int] = {}
+    for own, blob in zip(lists, table.column("counts"), strict=True):
+        for word, n in zip(own, _integers(blob).tolist(), strict=True):
+            totals[word] = totals.get(word, 0) + n
+    answers = [
+        _blob(np.fromiter(map(totals.__getitem__, own), np.int64, len(own))) for own in lists
+    ]
+    rest = [0] * (len(lists) - 1)
+    return pa.table(
+        {
+            "_chunk": table.column("_chunk"),
+            "bucket": table.column("bucket"),
+            "counts": pa.array(answers, pa.binary()),
+            "tokens": pa.array([sum(totals.values()), *rest], pa.int64()),
+            "distinct": pa.array([sum(n > 0 for n in totals.values()), *rest], pa.int64()),
+        }
+    )
 
-    def bucket(context: Column) -> Column:
-        return F.pmod(F.xxhash64(context), F.lit(buckets)).cast("int").alias("bucket")
 
-    context = F.shiftright("gram", 8).bitwiseAND((1 << 24) - 1)
-    by_bucket = grams.select(bucket(context), "gram", "n")
-    low = F.col("gram").bitwiseAND((1 << 24) - 1)
-    triples = grams.groupBy(low.alias("triple")).agg(F.sum("n").alias("n"))
-    triples = triples.withColumn("two", F.shiftright("triple", 8))
-    asked = grams.select(context.alias("three")).distinct()
-    asked = asked.select(
-        bucket(F.col("three")), F.col("three").bitwiseAND((1 << 16) - 1).alias("two")
-    ).distinct()
-    lower = asked.join(triples, "two").select("bucket", "triple", "n")
+def _grams_of(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The chunks' 6-grams of a bucket; the distinct ones, and their counts over all chunks."""
+    own = [_integers(blob, deltas=True) for blob in table.column("grams")]
+    distinct, n = _summed(
+        [(g, _integers(blob)) for g, blob in zip(own, table.column("counts"), strict=True)]
+    )
+    return own, distinct, n
 
-    def one(upper: pd.DataFrame, below: pd.DataFrame) -> pd.DataFrame:
-        logp = log_probabilities(
-            upper["gram"].to_numpy(),
-            upper["n"].to_numpy(np.float64),
-            below["triple"].to_numpy(),
-            below["n"].to_numpy(np.float64),
-            pairs.value,
-        )
-        return pd.DataFrame({"gram": upper["gram"], "logp": logp})
 
-    return (
-        by_bucket.groupBy("bucket")
-        .cogroup(lower.groupBy("bucket"))
-        .applyInPandas(one, "gram bigint, logp double")
+def _triples(table: pa.Table) -> pa.Table:
+    """Counts of the last three bytes of a bucket's 6-grams, and which contexts ask for them."""
+    _, distinct, n = _grams_of(table)
+    keys, place = np.unique(distinct & ((1 << 24) - 1), return_inverse=True)
+    bucket = np.full(len(keys), table.column("bucket")[0].as_py(), dtype=np.int32)
+    return pa.table(
+        {"bucket": bucket, "triple": keys, "n": np.bincount(place, n).astype(np.int64)}
     )
 
 
-def _scores(totals: tuple[int, int]):
-    tokens, distinct = totals
-
-    def score(rows: pa.Table, table: pa.Table) -> pa.Table:
-        word_rows = table.filter(table.column("word").is_valid())
-        words = dict(
-            zip(
-                word_rows.column("word").to_pylist(),
-                word_rows.column("value").to_numpy().astype(np.int64).tolist(),
-                strict=True,
-            )
+def _gram_logs(pairs: Broadcast):
+    def logs(table: pa.Table, lower: pa.Table) -> pa.Table:
+        """Log probabilities for each chunk's 6-grams of a bucket."""
+        own, distinct, n = _grams_of(table)
+        logp = log_probabilities(
+            distinct,
+            n.astype(np.float64),
+            lower.column("triple").to_numpy(),
+            lower.column("n").to_numpy().astype(np.float64),
+            pairs.value,
         )
-        gram_rows = table.filter(table.column("gram").is_valid())
-        known, logp = gram_rows.column("gram").to_numpy(), gram_rows.column("value").to_numpy()
-        sort = np.argsort(known)
-        known, logp = known[sort], logp[sort]
-        room = np.log10(float(tokens + distinct + 1))
-        out: dict[str, list] = {c: [] for c in ("n_tokens", "n_known", "base_score", "score")}
-        for _, piece in pieces(rows.column("_text").combine_chunks()):
-            lowered = LOWER[piece.data].tobytes()
-            for a, b in zip(piece.starts, piece.ends, strict=True):
-                own = [*lowered[a:b].split(), END]
-                counts = np.fromiter(map(words.__getitem__, own), np.int64, len(own))
-                out["n_tokens"].append(len(own))
-                out["n_known"].append(int(np.count_nonzero(counts)))
-                out["base_score"].append(float((np.log10(counts + 1.0) - room).sum()))
-            keys, begins = grams(piece)
-            codes, distinct_keys = pd.factorize(keys)
-            values = logp[np.searchsorted(known, distinct_keys)]
-            out["score"] += (np.add.reduceat(values[codes], begins) / np.log(10)).tolist()
+        answers = [_blob(logp[np.searchsorted(distinct, keys)]) for keys in own]
         return pa.table(
-            [rows.column("_id"), rows.column("_training"), *out.values()],
-            names=["_id", "_training", *out],
+            {
+                "_chunk": table.column("_chunk"),
+                "bucket": table.column("bucket"),
+                "counts": pa.nulls(len(own), pa.binary()),
+                "logs": pa.array(answers, pa.binary()),
+            }
         )
 
+    return logs
+
+
+def _scores(buckets: int):
+    def score(table: pa.Table, answers: pa.Table) -> pa.Table:
+        count_of: dict[int, np.ndarray] = {}
+        log_of: dict[int, np.ndarray] = {}
+        columns = (answers.column(c) for c in ("bucket", "counts", "logs"))
+        for bucket, counts, logs in zip(*columns, strict=True):
+            if counts.is_valid:
+                count_of[bucket.as_py()] = _integers(counts)
+            else:
+                log_of[bucket.as_py()] = np.frombuffer(_expanded(logs), dtype=np.float64)
+        batches = list(unpacked_chunk(table))
+        # The chunk's terms again, in the order of the lists that it handed in.
+        lists: dict[int, set[bytes]] = {zlib.crc32(END) % buckets: {END}}
+        seen: list[np.ndarray] = []
+        for rows in batches:
+            for _, piece in pieces(rows.column("_text"), _PIECE):
+                lowered = LOWER[piece.data].tobytes()
+                bounds = zip(piece.starts, piece.ends, strict=True)
+                for word in {w for a, b in bounds for w in lowered[a:b].split()}:
+                    lists.setdefault(zlib.crc32(word) % buckets, set()).add(word)
+                seen.append(pd.unique(grams(piece)[0]))
+                if len(seen) == 8:
+                    seen = [np.unique(np.concatenate(seen))]
+        words: dict[bytes, int] = {}
+        for bucket, own in lists.items():
+            words.update(zip(sorted(own), count_of.pop(bucket).tolist(), strict=True))
+        known = np.unique(np.concatenate(seen))
+        logp = np.empty(len(known))
+        bucket_of = _gram_buckets(known, buckets)
+        order = np.argsort(bucket_of, kind="stable")
+        cuts = np.flatnonzero(np.diff(bucket_of[order], prepend=-1, append=-1))
+        for a, b in pairwise(cuts.tolist()):
+            logp[order[a:b]] = log_of.pop(int(bucket_of[order[a]]))
+        out: dict[str, list] = {c: [] for c in ("n_tokens", "n_known", "log_counts", "score")}
+        for rows in batches:
+            for _, piece in pieces(rows.column("_text"), _PIECE):
+                lowered = LOWER[piece.data].tobytes()
+                for a, b in zip(piece.starts, piece.ends, strict=True):
+                    own = [*lowered[a:b].split(), END]
+                    counts = np.fromiter(map(words.__getitem__, own), np.int64, len(own))
+                    out["n_tokens"].append(len(own))
+                    out["n_known"].append(int(np.count_nonzero(counts)))
+                    out["log_counts"].append(float(np.log10(counts + 1.0).sum()))
+                keys, begins = grams(piece)
+                codes, distinct = pd.factorize(keys)
+                values = logp[np.searchsorted(known, distinct)]
+                out["score"] += (np.add.reduceat(values[codes], begins) / np.log(10)).tolist()
+        kept = pa.concat_tables([rows.select(["_id", "_training"]) for rows in batches])
+        return pa.table([*kept.columns, *out.values()], names=["_id", "_training", *out])
+
     return score
 
 
@@ -251,57 +353,66 @@ def score_texts(
         F.coalesce(training, F.lit(False)).alias("_training"),
     )
     kind = rows.schema["_id"].dataType.simpleString()
-    chunked = with_chunks(rows, "_id", "_text", chunk_bytes)
+    chunked, chunks = with_chunks(rows, "_id", "_text", chunk_bytes)
+    buckets = bucket_count(chunks)
+    packed = packed_chunks(chunked)
     path = shared_dir(spark, "lm-terms")
-    chunked.groupBy("_chunk").applyInArrow(
-        _terms, "_chunk int, word binary, gram bigint, n bigint"
-    ).write.parquet(path)
-    terms = spark.read.parquet(path)
-
-    same = Window.partitionBy("word")
-    words = terms.where("word is not null").select(
-        "_chunk",
-        "word",
-        F.sum("n").over(same).alias("c"),
-        (F.min("_chunk").over(same) == F.col("_chunk")).alias("first"),
-    )
+    packed.groupBy("_chunk").applyInArrow(_terms(buckets), _TERMS).write.parquet(path)
+    terms = spark.read.schema(_TERMS).parquet(path)
+
     word_path = shared_dir(spark, "lm-words")
+    words = terms.where("words is not null").groupBy("bucket").applyInArrow(
+        _word_counts, "_chunk int, bucket int, counts binary, tokens bigint, distinct bigint"
+    )
     words.write.parquet(word_path)
-    words = spark.read.parquet(word_path)
-    tokens, distinct = words.where("first").agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
-
-    counts = terms.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n"))
-    gram_path = shared_dir(spark, "lm-grams")
-    counts.write.parquet(gram_path)
-    counts = spark.read.parquet(gram_path)
-    pair = F.col("gram").bitwiseAND(0xFFFF).cast("int").alias("pair")
+    words = spark.read.schema(words.schema).parquet(word_path)
+    tokens, distinct = (x or 0 for x in words.agg(F.sum("tokens"), F.sum("distinct")).first())
+
+    gram_terms = terms.where("grams is not null").select("_chunk", "bucket", "grams", "counts")
+    triple_path = shared_dir(spark, "lm-triples")
+    gram_terms.groupBy("bucket").applyInArrow(
+        _triples, "bucket int, triple bigint, n bigint"
+    ).write.parquet(triple_path)
+    asked = spark.read.schema("bucket int, triple bigint, n bigint").parquet(triple_path)
+    triples = asked.groupBy("triple").agg(F.sum("n").alias("n"))
     pairs = np.zeros(1 << 16)
-    for row in counts.groupBy(pair).agg(F.sum("n").alias("n")).collect():
+    last_two = F.col("triple").bitwiseAND(0xFFFF).cast("int").alias("pair")
+    for row in triples.groupBy(last_two).agg(F.sum("n").alias("n")).collect():
         pairs[row["pair"]] = row["n"]
-    model = _log_probabilities(counts, counts.count(), spark.sparkContext.broadcast(pairs))
-
-    answers = words.select(
-        "_chunk", "word", F.lit(None).cast("bigint").alias("gram"), F.col("c").cast("double").alias("value")
-    ).unionByName(
-        terms.where("gram is not null")
-        .join(model, "gram")
-        .select("_chunk", F.lit(None).cast("binary").alias("word"), "gram", F.col("logp").alias("value"))
+    two = F.shiftright("triple", 8).alias("two")
+    lower = (
+        asked.select("bucket", two)
+        .distinct()
+        .join(triples.select(two, "triple", "n"), "two")
+        .select("bucket", "triple", "n")
     )
+    logs = (
+        gram_terms.groupBy("bucket")
+        .cogroup(lower.groupBy("bucket"))
+        .applyInArrow(
+            _gram_logs(spark.sparkContext.broadcast(pairs)),
+            "_chunk int, bucket int, counts binary, logs binary",
+        )
+    )
+    answers = words.select(
+        "_chunk", "bucket", "counts", F.lit(None).cast("binary").alias("logs")
+    ).unionByName(logs)
     scored = (
-        chunked.groupBy("_chunk")
+        packed.groupBy("_chunk")
         .cogroup(answers.groupBy("_chunk"))
         .applyInArrow(
-            _scores((tokens or 0, distinct or 0)),
+            _scores(buckets),
             f"_id {kind}, _training boolean, n_tokens bigint, n_known bigint,"
-            " base_score double, score double",
+            " log_counts double, score double",
         )
     )
+    room = float(np.log10(float(tokens + distinct + 1)))
     return scored.select(
         F.col("_id").alias(id_col),
         F.col("_training").alias("training"),
         "n_tokens",
         "n_known",
-        F.lit(tokens or 0).cast("bigint").alias("train_tokens"),
-        "base_score",
+        F.lit(tokens).cast("bigint").alias("train_tokens"),
+        (F.col("log_counts") - F.col("n_tokens") * F.lit(room)).alias("base_score"),
         "score",
     )
