@@ -298,20 +298,20 @@ def _scores(buckets: int):
         batches = list(unpacked_chunk(table))
         # The chunk's terms again, in the order of the lists that it handed in.
         lists: dict[int, set[bytes]] = {zlib.crc32(END) % buckets: {END}}
-        seen: list[np.ndarray] = []
+        parts: list[tuple[bytes, Pieces, np.ndarray, np.ndarray, np.ndarray]] = []
         for rows in batches:
             for _, piece in pieces(rows.column("_text"), _PIECE):
                 lowered = LOWER[piece.data].tobytes()
                 bounds = zip(piece.starts, piece.ends, strict=True)
                 for word in {w for a, b in bounds for w in lowered[a:b].split()}:
                     lists.setdefault(zlib.crc32(word) % buckets, set()).add(word)
-                seen.append(pd.unique(grams(piece)[0]))
-                if len(seen) == 8:
-                    seen = [np.unique(np.concatenate(seen))]
+                keys, begins = grams(piece)
+                codes, distinct = pd.factorize(keys)
+                parts.append((lowered, piece, codes.astype(np.int32), distinct, begins))
         words: dict[bytes, int] = {}
         for bucket, own in lists.items():
             words.update(zip(sorted(own), count_of.pop(bucket).tolist(), strict=True))
-        known = np.unique(np.concatenate(seen))
+        known = np.unique(np.concatenate([distinct for _, _, _, distinct, _ in parts]))
         logp = np.empty(len(known))
         bucket_of = _gram_buckets(known, buckets)
         order = np.argsort(bucket_of, kind="stable")
@@ -319,19 +319,15 @@ def _scores(buckets: int):
         for a, b in pairwise(cuts.tolist()):
             logp[order[a:b]] = log_of.pop(int(bucket_of[order[a]]))
         out: dict[str, list] = {c: [] for c in ("n_tokens", "n_known", "log_counts", "score")}
-        for rows in batches:
-            for _, piece in pieces(rows.column("_text"), _PIECE):
-                lowered = LOWER[piece.data].tobytes()
-                for a, b in zip(piece.starts, piece.ends, strict=True):
-                    own = [*lowered[a:b].split(), END]
-                    counts = np.fromiter(map(words.__getitem__, own), np.int64, len(own))
-                    out["n_tokens"].append(len(own))
-                    out["n_known"].append(int(np.count_nonzero(counts)))
-                    out["log_counts"].append(float(np.log10(counts + 1.0).sum()))
-                keys, begins = grams(piece)
-                codes, distinct = pd.factorize(keys)
-                values = logp[np.searchsorted(known, distinct)]
-                out["score"] += (np.add.reduceat(values[codes], begins) / np.log(10)).tolist()
+        for lowered, piece, codes, distinct, begins in parts:
+            for a, b in zip(piece.starts, piece.ends, strict=True):
+                own = [*lowered[a:b].split(), END]
+                counts = np.fromiter(map(words.__getitem__, own), np.int64, len(own))
+                out["n_tokens"].append(len(own))
+                out["n_known"].append(int(np.count_nonzero(counts)))
+                out["log_counts"].append(float(np.log10(counts + 1.0).sum()))
+            values = logp[np.searchsorted(known, distinct)]
+            out["score"] += (np.add.reduceat(values[codes], begins) / np.log(10)).tolist()
         kept = pa.concat_tables([rows.select(["_id", "_training"]) for rows in batches])
         return pa.table([*kept.columns, *out.values()], names=["_id", "_training", *out])
 
