@@ -118,6 +118,14 @@ def read_codec(path: str) -> Codec:
         return Codec(file.read())
 
 
+class Numbers(dict):
+    """Numbers its keys as they come."""
+
+    def __missing__(self, key: str) -> int:
+        number = self[key] = len(self)
+        return number
+
+
 def _distinct(codec: Codec, buckets: int):
     def words(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         """The distinct words of a chunk, sorted, in compressed lists by bucket."""
@@ -188,14 +196,13 @@ def _encoder(codec: Codec):
 def _assembler(codec: Codec, keep: tuple[str, ...], buckets: int):
     def assemble(table: pa.Table, answers: pa.Table) -> pa.Table:
         # Words are numbered as they come, then by bucket and order, as in the answers.
-        seen: dict[str, int] = {}
+        seen = Numbers()
         kept, texts = [], []
         for rows in unpacked_chunk(table):
-            kept.append(rows.select(keep))
+            kept.append(rows.select([*keep, "_text"]))
             for text in rows.column("_text"):
                 own = codec.split(text.as_py())
-                numbered = (seen.setdefault(word, len(seen)) for word in own)
-                texts.append(np.fromiter(numbered, np.int32, len(own)))
+                texts.append(np.fromiter(map(seen.__getitem__, own), np.int32, len(own)))
         names = list(seen)
         lists: dict[int, list[int]] = {}
         for k, word in enumerate(names):
@@ -221,11 +228,11 @@ def _assembler(codec: Codec, keep: tuple[str, ...], buckets: int):
             if odd:
                 decoded = b"".join([odd[k] if k in odd else names[k].encode() for k in own.tolist()])
                 all_texts.append(decoded.decode("utf-8", "replace"))
-            else:
-                all_texts.append("".join([names[k] for k in own]))
         columns = pa.concat_tables(kept)
+        # Where each word's ids decode to the word, the words end to end are the text.
+        decoded_texts = pa.array(all_texts, pa.string()) if odd else columns.column("_text")
         return pa.table(
-            [*columns.columns, pa.array(all_ids, pa.binary()), pa.array(all_texts, pa.string())],
+            [*columns.select(keep).columns, pa.array(all_ids, pa.binary()), decoded_texts],
             names=[*keep, "ids", "decoded"],
         )
 
