@@ -20,8 +20,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near duplicates."""
-    return ngram_join.keep_one(docs)
+    """Keeps the document with the smallest id of each group of near duplicates.
+
+    Near duplicates share four fifths of their five-word shingles; ``op3_ngram_join`` has a
+    narrower rule of its own.
+    """
+    return ngram_join.keep_one(docs, size=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
