@@ -2,7 +2,9 @@ import hashlib
 import struct
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import zstandard
 from tokenizers import Tokenizer
 
 from wxengine.llm import bpe
@@ -81,3 +83,21 @@ def test_query(spark, documents, library):
         assert own["n_tokens"] == len(ids)
         assert own["ids_sha256"] == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
         assert own["decoded_sha256"] == hashlib.sha256(decoded.encode()).hexdigest()
+
+
+def test_texts_are_decoded_from_the_ids_of_each_document(codec, library):
+    """Ids that stand for other words must show in the decoded text."""
+    chunk = pa.table({"_chunk": pa.array([0], pa.int32()), "_0": [7], "_text": ["one two one"]})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, chunk.schema) as stream:
+        stream.write_table(chunk)
+    packed = pa.table({"_chunk": pa.array([0], pa.int32()), "rows": [sink.getvalue().to_pybytes()]})
+    # In one bucket, the answers are in the order of the sorted words: " one", " two", "one".
+    ids = [library.encode(w, add_special_tokens=False).ids for w in (" six", " ten", "odd")]
+    assert all(len(own) == 1 for own in ids)
+    pack = lambda values: zstandard.compress(struct.pack("<3I", *values))
+    answers = pa.table({"bucket": [0], "sizes": [pack([1, 1, 1])], "ids": [pack([own[0] for own in ids])], "odd": pa.array([None], pa.string())})
+    (got,) = bpe._assembler(codec, ("_0",), 1)(packed, answers).to_pylist()
+    emitted = struct.unpack("<3I", got["ids"])
+    assert emitted == (ids[2][0], ids[1][0], ids[0][0])
+    assert got["decoded"] == library.decode(list(emitted)) == "odd ten six"

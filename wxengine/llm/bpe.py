@@ -2,9 +2,10 @@
 
 Texts are split into pre-tokens ("words", with the blank before them). Each distinct word is
 encoded once: a chunk of documents hands in its distinct words, in sorted lists by a hash of
-the word; equal words of all chunks meet in one group, which encodes each once and decodes
-the ids again through the id-to-piece table; the answers go back by chunk, where ids are
-joined to the words' positions. Documents, lists and answers are shuffled compressed.
+the word; equal words of all chunks meet in one group, which encodes each once; the answers
+go back by chunk, where ids are joined to the words' positions, and the ids of each document
+are joined to the id-to-piece table, whose bytes end to end are the decoded text. Documents,
+lists and answers are shuffled compressed.
 
 The tokenizer file is read on the driver and sent to the tasks, its size being that of the
 vocabulary. Its added tokens are cut out of the text before splitting, as the library does.
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 import json
 import re
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +55,16 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+@lru_cache(maxsize=1)
+def _piece_table(content: str) -> np.ndarray:
+    """Bytes by id, read once a process; an id that is not in the vocabulary has none."""
+    pieces = Codec(content).pieces
+    table = np.full(max(pieces, default=-1) + 1, b"", dtype=object)
+    for i, piece in pieces.items():
+        table[i] = piece
+    return table
+
+
 class Codec:
     """Splits texts, and encodes and decodes single words, by a tokenizer file's content."""
 
@@ -87,6 +98,10 @@ class Codec:
         out = {i: bytes(symbols[c] for c in piece) for piece, i in parsed["model"]["vocab"].items()}
         return out | {t["id"]: t["content"].encode() for t in parsed["added_tokens"]}
 
+    def decode_ids(self, ids: np.ndarray) -> str:
+        """The text of a document's ids, through the id-to-piece table."""
+        return b"".join(_piece_table(self.content)[ids].tolist()).decode("utf-8", "replace")
+
     def _plain(self, text: str) -> list[str]:
         if _SETTLED.search(text):
             splitter = self._tokenizer.pre_tokenizer
@@ -149,9 +164,8 @@ def _distinct(codec: Codec, buckets: int):
     return words
 
 
-# A bucket's words of one chunk, encoded, in the order of its list; and those that do not
-# decode to themselves, as pairs of a place in the list and bytes in hexadecimal.
-_ENCODED = "_chunk int, bucket int, sizes binary, ids binary, odd string"
+# A bucket's words of one chunk, encoded, in the order of its list.
+_ENCODED = "_chunk int, bucket int, sizes binary, ids binary"
 
 
 def _encoder(codec: Codec):
@@ -163,30 +177,21 @@ def _encoder(codec: Codec):
         for own in lists:
             for word in own:
                 place.setdefault(word, len(place))
-        names = list(place)
-        coded = codec.encode_words(names)
-        odd = {}
-        for word, ids in zip(names, coded, strict=True):
-            decoded = b"".join([codec.pieces[i] for i in ids])
-            if decoded != word.encode():
-                odd[word] = decoded.hex()
+        coded = codec.encode_words(list(place))
         sizes = np.fromiter(map(len, coded), np.int64, len(coded))
         flat = np.fromiter((i for ids in coded for i in ids), np.uint32, int(sizes.sum()))
-        out: dict[str, list] = {"sizes": [], "ids": [], "odd": []}
+        out: dict[str, list] = {"sizes": [], "ids": []}
         for own in lists:
             index = np.fromiter(map(place.__getitem__, own), np.int64, len(own))
             ids, counts = ragged_take(flat, sizes, index)
             out["sizes"].append(compress(counts.astype("<u4").tobytes()))
             out["ids"].append(compress(ids.astype("<u4").tobytes()))
-            strange = [[k, odd[word]] for k, word in enumerate(own) if word in odd] if odd else []
-            out["odd"].append(json.dumps(strange) if strange else None)
         return pa.table(
             {
                 "_chunk": table.column("_chunk"),
                 "bucket": table.column("bucket"),
                 "sizes": pa.array(out["sizes"], pa.binary()),
                 "ids": pa.array(out["ids"], pa.binary()),
-                "odd": pa.array(out["odd"], pa.string()),
             }
         )
 
@@ -199,7 +204,7 @@ def _assembler(codec: Codec, keep: tuple[str, ...], buckets: int):
         seen = Numbers()
         kept, texts = [], []
         for rows in unpacked_chunk(table):
-            kept.append(rows.select([*keep, "_text"]))
+            kept.append(rows.select(keep))
             for text in rows.column("_text"):
                 own = codec.split(text.as_py())
                 texts.append(np.fromiter(map(seen.__getitem__, own), np.int32, len(own)))
@@ -209,30 +214,24 @@ def _assembler(codec: Codec, keep: tuple[str, ...], buckets: int):
             lists.setdefault(bucket_of(word, buckets), []).append(k)
         expand = zstandard.ZstdDecompressor().decompress
         rank = np.empty(len(names), dtype=np.int64)
-        sizes, ids, odd, done = [], [], {}, 0
-        columns = (answers.column(c) for c in ("bucket", "sizes", "ids", "odd"))
-        for bucket, own_sizes, own_ids, strange in zip(*columns, strict=True):
+        sizes, ids, done = [], [], 0
+        columns = (answers.column(c) for c in ("bucket", "sizes", "ids"))
+        for bucket, own_sizes, own_ids in zip(*columns, strict=True):
             own = sorted(lists[bucket.as_py()], key=names.__getitem__)
             rank[own] = np.arange(done, done + len(own))
             done += len(own)
             sizes.append(np.frombuffer(expand(own_sizes.as_py()), "<u4").astype(np.int64))
             ids.append(np.frombuffer(expand(own_ids.as_py()), "<u4"))
-            for k, decoded in json.loads(strange.as_py() or "[]"):
-                odd[own[k]] = bytes.fromhex(decoded)
         none = np.empty(0, np.int64)
         counts, flat = np.concatenate([none, *sizes]), np.concatenate([none.astype("<u4"), *ids])
         all_ids, all_texts = [], []
         for own in texts:
             taken, _ = ragged_take(flat, counts, rank[own])
             all_ids.append(taken.tobytes())
-            if odd:
-                decoded = b"".join([odd[k] if k in odd else names[k].encode() for k in own.tolist()])
-                all_texts.append(decoded.decode("utf-8", "replace"))
-        columns = pa.concat_tables(kept)
-        # Where each word's ids decode to the word, the words end to end are the text.
-        decoded_texts = pa.array(all_texts, pa.string()) if odd else columns.column("_text")
+            all_texts.append(codec.decode_ids(taken))
+        columns = pa.concat_tables(kept).columns
         return pa.table(
-            [*columns.select(keep).columns, pa.array(all_ids, pa.binary()), decoded_texts],
+            [*columns, pa.array(all_ids, pa.binary()), pa.array(all_texts, pa.string())],
             names=[*keep, "ids", "decoded"],
         )
 
