@@ -53,3 +53,29 @@ def test_undeclared_menus_go_by_entropy(spark):
     assert all(found[i] == f"Story number {i} of many" for i in range(40))
     assert found[100] == found[0] and found[101] == found[None] == "" and found[102] == "Only page"
     assert html_extract.extract(frame.where("false")).count() == 0
+
+
+def test_trees_of_many_pages_overcome_what_is_declared(spark):
+    rows = [
+        (i, f"http://h{i % 2}.example/{i}", f"<article><p>Story number {i} of many</p><p class=strip>Open all week</p></article><aside>Menu {i % 3}</aside>")
+        for i in range(120)
+    ]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(frame).collect()}
+    assert got == {i: f"Story number {i} of many" for i, _, _ in rows}
+    # Declared furniture stays where neither texts nor inline tags repeat.
+    tags = ["b", "i", "u", "em", "strong", "small", "code"]
+    varied = [
+        (i, f"http://h.example/{i}", "<aside>" + "".join(f"<{tags[i // 7**k % 7]}>x</{tags[i // 7**k % 7]}>" for k in range(3)) + f" own {i}</aside><aside class=b>Same</aside>")
+        for i in range(120)
+    ]
+    got = html_extract.extract(spark.createDataFrame(varied, frame.schema)).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {i: f"xxx own {i}" for i in range(120)}
+
+
+def test_class_names_are_compared_whole(spark):
+    assert blocks('<div class="related-work ad_2 post-17" id=x9>a</div>') == [("div.ad.post.related-work.x", "a")]
+    assert declared("article/div.related-work/p") == 1.0 and declared("article/div.related/p") == 0.0
+    rows = [(i, f"http://h.example/{i}", f"<article><p>Story {i}</p><div class=related-work>Others found {i}</div></article>") for i in range(60)]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {i: f"Story {i} Others found {i}" for i in range(60)}

@@ -6,9 +6,13 @@ the sequences of inline tags that its pages have there. A node's importance is t
 over its pages, relative to the largest possible: near 1 where every page differs, near 0 for
 a menu or a notice that repeats. The host's tree and that of all hosts together count by their
 pages, up to ``WEIGHT`` each, so that a host with few pages leans on the others. What tags
-and class names declare (an article, a menu, an advert) counts like ``DECLARED_WEIGHT`` pages
-and outweighs both: adverts may differ on every page, and articles may repeat. Blocks at
-nodes below ``LEAST`` are removed.
+and class names declare counts like a number of pages below that of both trees, so that it
+decides where pages are few, and trees of many pages can overcome it. In a declared article
+``CONTENT_WEIGHT`` lets go what hardly varies, a notice on every page. What is declared to be
+a menu or an advert counts more, ``FURNITURE_WEIGHT``, since adverts differ from page to page
+too; it stays only where texts and inline tags differ on nearly all pages. A class or id is
+compared as a whole (``related-work`` is not ``related``). Blocks at nodes below ``LEAST`` are
+removed. Blocks of a page at one path are one node, and stay or go together.
 
 Copies of a page count once in the trees. Everything is grouped by node or by page, never by
 host, and each page is joined to the decisions on its own nodes.
@@ -32,7 +36,9 @@ from wxengine.session import shared_dir
 
 LEAST = 0.5
 WEIGHT = 50
-DECLARED_WEIGHT = 200
+# Both below twice WEIGHT, what the trees of a site and of all sites have together.
+CONTENT_WEIGHT = 50
+FURNITURE_WEIGHT = 90
 CONTENT_SHARE = 0.9
 
 # Elements by their part in a page, from the HTML standard.
@@ -75,7 +81,9 @@ _TOKEN = re.compile(
 _NAMES = re.compile(
     r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE
 )
-_LETTERS = re.compile(r"[a-z]+")
+# A name without its numbers, which differ from page to page.
+_NAME = re.compile(r"[a-z]+(?:[^a-z\s]+[a-z]+)*")
+_NOT_LETTERS = re.compile(r"[^a-z]+")
 
 
 class Page:
@@ -133,7 +141,8 @@ class Page:
         names = ""
         if attributes:
             found = (" ".join(filter(None, groups)) for groups in _NAMES.findall(attributes))
-            names = ".".join(sorted(set(_LETTERS.findall(" ".join(found).lower()))))
+            whole = _NAME.findall(" ".join(found).lower())
+            names = ".".join(sorted({_NOT_LETTERS.sub("-", name) for name in whole}))
         self._open.append((tag, f"{tag}.{names}" if names else tag))
 
     def _close_up_to(self, tags: set[str], bounds: set[str]) -> None:
@@ -248,7 +257,11 @@ def importance(rows: DataFrame) -> DataFrame:
     )
     priors = rows.groupBy("path").agg(F.first("prior").alias("prior"))
     joined = site.join(whole.join(priors, "path"), "path")
-    prior_weight = F.when(F.col("prior").isNotNull(), F.lit(DECLARED_WEIGHT)).otherwise(0)
+    prior_weight = (
+        F.when(F.col("prior") > 0, F.lit(CONTENT_WEIGHT))
+        .when(F.col("prior").isNotNull(), F.lit(FURNITURE_WEIGHT))
+        .otherwise(0)
+    )
     mean = (
         F.col("weight") * F.col("importance")
         + F.col("_w") * F.col("_i")
