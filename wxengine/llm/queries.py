@@ -14,11 +14,15 @@ from wxengine.llm import (
     language_id,
     lm_scoring,
     ngram_join,
+    prefix_pieces,
     secret_scan,
+    spelling_variants,
+    token_alignment,
     toxicity,
 )
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -136,6 +140,30 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = prefix_pieces.read_model(public_tokenizers.path(PIECE_MODEL))
+    found = prefix_pieces.encode_decode(_table(spark, sf_dir, "documents"), model)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, _ = token_alignment.align_documents(
+        _table(spark, sf_dir, "documents"),
+        bpe.read_codec(public_tokenizers.path(TOKENIZER)).content,
+        prefix_pieces.read_model(public_tokenizers.path(PIECE_MODEL)),
+    )
+    return docs
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_lm_scoring": op2_lm_scoring,
@@ -147,6 +175,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_prefix_pieces": op12_prefix_pieces,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
