@@ -170,7 +170,11 @@ def test_shared_folder_is_the_one_the_cluster_names():
 
     named = shared_dir(Session(spark_checkpoint_dir="s3a://bucket/shared/"), "x")
     assert named.startswith("s3a://bucket/shared/wxengine/x-")
-    assert shared_dir(Session(), "x") != shared_dir(Session(), "x")
+    local = Session(spark_master="local[2]")
+    assert shared_dir(local, "x") != shared_dir(local, "x")
+    for cluster in (Session(), Session(spark_master="spark://host:7077"), Session(spark_master="yarn")):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(cluster, "x")
 
 
 def test_a_reading_timed_after_its_arrival_is_not_lost(spark, layout):
