@@ -1,6 +1,7 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -130,6 +131,7 @@ def test_query_against_brute_force(spark, documents, libraries):
 
 
 def test_groups_and_links():
-    found = token_alignment.align([1, 2, 3], [7, 8, 9], [2, 5, 6], [3, 5, 6])
-    assert token_alignment.groups_text(found) == "1,2|7,8;3|9"
-    assert found.links == [(1, 7), (2, 7), (2, 8), (3, 9)]
+    found = token_alignment.align(*(np.array(x) for x in ([1, 2, 3], [7, 8, 9], [2, 5, 6], [3, 5, 6])), [(3, 3)])
+    names = token_alignment.group_names(found, token_alignment.Names(4, "|"), token_alignment.Names(10, ";"))
+    assert "".join(names) == "1,2|7,8;3|9;"
+    assert list(zip(*found.links, strict=True)) == [(1, 7), (2, 7), (2, 8), (3, 9)]

@@ -179,15 +179,16 @@ class Pieces:
                 end -= sizes[token]
         return tuple(reversed(ids))
 
+    def units(self, text: str | None) -> list[str]:
+        """The escaped text in parts that no piece crosses."""
+        return self._units(MARK + text.replace(" ", MARK)) if text else []
+
     def encode(self, text: str | None) -> list[int]:
-        if not text:
-            return []
         if len(self._known) > _REMEMBERED_UNITS:
             self._known.clear()
         if len(self._fits) > _REMEMBERED_PAIRS:
             self._fits.clear()
-        units = self._units(MARK + text.replace(" ", MARK))
-        return list(chain.from_iterable(map(self._known.__getitem__, units)))
+        return list(chain.from_iterable(map(self._known.__getitem__, self.units(text))))
 
     def decode(self, ids: list[int]) -> str:
         joined = b"".join(map(self.table.__getitem__, ids))
