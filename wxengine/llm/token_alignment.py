@@ -45,8 +45,9 @@ from wxengine.llm.chunks import ragged_take
 from wxengine.llm.prefix_pieces import MARK, pieces_of, slices
 from wxengine.session import shared_dir
 
-CHUNK_BYTES = 8 << 20
-_REMEMBERED = 300_000
+CHUNK_BYTES = 4 << 20
+# Texts are gone through in parts of so many bytes; stretches and parts remembered in a process.
+_AT_ONCE, _REMEMBERED = 1 << 20, 100_000
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
 
@@ -373,7 +374,7 @@ def _aligner(a_content: str, b_model: bytes, chunk_bytes: int):
         number = TaskContext.get().partitionId() << 32
         docs, size = [], 0
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_text", _AT_ONCE):
                 if not docs:
                     aligner.begin()
                 found = aligner.align(part.column("_text").to_pylist())
