@@ -16,8 +16,9 @@ The method follows "VGRAM" (Li, Wang and Yang, 2007):
 - **Merging lists.** Of a word's grams in a fixed order, rare ones first, as many are listed
   as its bound and one more. Two words one edit apart share a listed gram: fewer than the
   listed ones of each are affected, and the first gram that both keep is listed for both.
-  Words in one list are compared if lengths and letters allow, and each pair counts where
-  its first common listed gram is.
+  Lists are kept by length too: one holds the words of a length and those one letter longer,
+  which are compared if their letters allow, and each pair counts where its first common
+  listed gram is.
 - **Verifying.** Pairs are decided on their code points.
 
 A list of any length is dealt into blocks which are compared in pairs, each pair of blocks in
@@ -43,7 +44,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from wxengine.llm.groups import comparison_tasks, run_tasks, sides
+from wxengine.llm.groups import comparison_tasks, run_tasks
 from wxengine.session import shared_dir
 
 LEAST_LETTERS = 5
@@ -91,8 +92,10 @@ def _gram_at(codes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def _frequent_grams(words: DataFrame, longest: int, rare: int, most: int) -> np.ndarray:
-    """The frequent grams, sorted: those in more than a threshold of occurrences.
+def _frequent_grams(
+    words: DataFrame, longest: int, rare: int, most: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The frequent grams, sorted, and their counts: those of more than a threshold.
 
     A threshold of the number of all grams by ``most`` leaves no more than ``most``.
     """
@@ -112,17 +115,22 @@ def _frequent_grams(words: DataFrame, longest: int, rare: int, most: int) -> np.
     letters = words.agg(F.sum(F.char_length("word"))).first()[0] or 0
     threshold = max(rare, -(-letters * (longest - SHORTEST + 1) // most))
     frequent = counted.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") > threshold)
-    rows = frequent.select("gram").toArrow()
-    return np.sort(rows.column("gram").to_numpy().astype(np.uint32))
+    rows = frequent.toArrow()
+    grams = rows.column("gram").to_numpy().astype(np.uint32)
+    order = np.argsort(grams)
+    return grams[order], rows.column("n").to_numpy()[order]
 
 
-def _contains(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+def _counts_of(frequent: tuple[np.ndarray, np.ndarray], values: np.ndarray) -> np.ndarray:
+    """Counts of grams; 0 of those that are not frequent."""
+    table, counts = frequent
     if not len(table):
-        return np.zeros(len(values), bool)
-    return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values
+        return np.zeros(len(values), np.int64)
+    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
+    return np.where(table[at] == values, counts[at], 0)
 
 
-def decompose(words: list[str], frequent: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, int]]:
+def decompose(words: list[str], frequent: tuple[np.ndarray, np.ndarray], longest: int) -> Iterator[tuple[np.ndarray, int]]:
     """For each word its grams by position, as numbers, and how many an edit can affect."""
     codes, sizes = _codes(words)
     bounds = np.cumsum(sizes)
@@ -132,7 +140,7 @@ def decompose(words: list[str], frequent: np.ndarray, longest: int) -> Iterator[
     length = np.full(len(starts), SHORTEST)
     open_ = np.arange(len(starts))
     for size in range(SHORTEST + 1, longest + 1):
-        open_ = open_[_contains(frequent, grams[open_]) & (left[starts[open_]] >= size)]
+        open_ = open_[(_counts_of(frequent, grams[open_]) > 0) & (left[starts[open_]] >= size)]
         grams[open_] = _gram_at(codes, starts[open_], size)
         length[open_] = size
     # How many grams cover each letter: one more from a gram's start, one less after its end.
@@ -147,7 +155,7 @@ def decompose(words: list[str], frequent: np.ndarray, longest: int) -> Iterator[
         yield grams[a:b], most
 
 
-def _listed(frequent: np.ndarray, longest: int):
+def _listed(frequent: tuple[np.ndarray, np.ndarray], longest: int):
     """Words with the grams they are listed under, rare ones first, packed as numbers."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -156,9 +164,9 @@ def _listed(frequent: np.ndarray, longest: int):
                 continue
             lists = []
             for grams, most in decompose(frame["word"].tolist(), frequent, longest):
-                # Rare before frequent, otherwise in an order that mixes the letters.
+                # By count, and otherwise in an order that mixes the letters.
                 mixed = grams * np.uint32(0x9E3779B1)
-                order = np.lexsort((mixed, _contains(frequent, grams)))
+                order = np.lexsort((mixed, _counts_of(frequent, grams)))
                 keys = list(dict.fromkeys(grams[order[: most + 1]].tolist()))
                 lists.append(np.array(keys, ">u4").tobytes())
             yield pd.DataFrame({"word": frame["word"], "n": frame["n"], "keys": lists})
@@ -182,41 +190,49 @@ def _one_edit(codes: np.ndarray, sizes: np.ndarray, i: np.ndarray, j: np.ndarray
     return np.where(sizes[i] == sizes[j], replaced, shifted.all(axis=1))
 
 
-def _near_pairs(words: list[str], left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions (shorter or as long, other) of words one edit apart, from two sides of a task."""
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    flat = np.frombuffer("".join(words).encode("latin-1"), np.uint8)
-    owner = np.repeat(np.arange(len(words)), sizes)
-    masks = np.zeros(len(words), np.uint64)
-    np.bitwise_or.at(masks, owner, np.uint64(1) << (flat & 63).astype(np.uint64))
-    within = left is right
-    found: list[tuple[np.ndarray, np.ndarray]] = []
+def _like(masks: np.ndarray, left: np.ndarray, right: np.ndarray, within: bool) -> Iterator[tuple]:
+    """Pairs of rows of two sides whose letters are alike; each once where the sides are one."""
     rows = max(1, _PAIR_CELLS // max(len(right), 1))
     for start in range(0, len(left), rows):
         own = left[start : start + rows]
-        close = np.abs(sizes[own][:, None] - sizes[right][None, :]) <= 1
         # An edit takes away one letter and brings in another at most.
-        close &= np.bitwise_count(masks[own][:, None] ^ masks[right][None, :]) <= 2
+        close = np.bitwise_count(masks[own][:, None] ^ masks[right][None, :]) <= 2
         if within:
             close &= np.arange(start, start + len(own))[:, None] < np.arange(len(right))[None, :]
         i, j = np.nonzero(close)
-        i, j = own[i], right[j]
-        swap = sizes[i] > sizes[j]
-        i, j = np.where(swap, j, i), np.where(swap, i, j)
-        # Words of like length are compared together, as rows of one width.
-        width = sizes[j] + 1
-        order = np.argsort(width, kind="stable")
-        cuts = np.flatnonzero(np.diff(width[order], prepend=-1, append=-1))
-        for a, b in pairwise(cuts.tolist()):
-            w = int(width[order[a]])
-            step = max(1, _PAIR_CELLS // w)
-            for at in range(a, b, step):
-                x, y = i[order[at : min(at + step, b)]], j[order[at : min(at + step, b)]]
-                use, back = np.unique(np.concatenate([x, y]), return_inverse=True)
-                codes = np.zeros((len(use), w), np.uint8)
-                for row, k in enumerate(use.tolist()):
-                    codes[row, : sizes[k]] = np.frombuffer(words[k].encode("latin-1"), np.uint8)
-                near = _one_edit(codes, sizes[use], back[: len(x)], back[len(x) :])
+        yield own[i], right[j]
+
+
+def _near_pairs(
+    words: list[str], side: np.ndarray, shorter: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (shorter or as long, other) of words one edit apart in a task.
+
+    Words have ``shorter`` letters or one more; those that all have one more are compared in
+    another list.
+    """
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    short = sizes == shorter
+    if not short.any():
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    flat = np.frombuffer("".join(words).encode("latin-1"), np.uint8)
+    codes = np.zeros((len(words), shorter + 2), np.uint8)
+    codes[np.arange(shorter + 2)[None, :] < sizes[:, None]] = flat
+    masks = np.zeros(len(words), np.uint32)
+    np.bitwise_or.at(masks, np.repeat(np.arange(len(words)), sizes), np.uint32(1) << (flat & 31))
+    if side.any():
+        one, two = side == 1, side == 2
+        tries = [(short & one, short & two), (short & one, ~short & two), (short & two, ~short & one)]
+    else:
+        tries = [(short, short), (short, ~short)]
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    step = max(1, _PAIR_CELLS // (shorter + 2))
+    for left, right in tries:
+        within = left is right
+        for i, j in _like(masks, np.flatnonzero(left), np.flatnonzero(right), within):
+            for at in range(0, len(i), step):
+                x, y = i[at : at + step], j[at : at + step]
+                near = _one_edit(codes, sizes, x, y)
                 found.append((x[near], y[near]))
     none = np.empty(0, np.int64)
     return np.concatenate([none, *(f[0] for f in found)]), np.concatenate([none, *(f[1] for f in found)])
@@ -227,10 +243,10 @@ def _compare(rows: pd.DataFrame, bounds: list[tuple[int, int]]) -> Iterator[pd.D
     out: list[tuple] = []
     words_of, counts = rows["word"].to_numpy(), rows["n"].to_numpy()
     keys_of, grams, side = rows["keys"].to_numpy(), rows["gram"].to_numpy(), rows["_side"].to_numpy()
+    shorter = rows["shorter"].to_numpy()
     for a, b in bounds:
         words, n = words_of[a:b].tolist(), counts[a:b]
-        left, right = sides(side[a:b])
-        i, j = _near_pairs(words, left, right)
+        i, j = _near_pairs(words, side[a:b], int(shorter[a]))
         if not len(i):
             continue
         # A pair counts in the list of its first common gram.
@@ -283,7 +299,12 @@ def near_words(
     entries = keyed.withColumn(
         "_i", F.explode(F.sequence(F.lit(0), (F.octet_length("keys") / 4 - 1).cast("int")))
     ).select(key.alias("gram"), "word", "n", "keys")
-    tasks = comparison_tasks(entries, ["gram"], "word", block)
+    # A word is in the list of its length and, as one of the longer words, of the length before.
+    letters = F.char_length("word")
+    entries = entries.withColumn("shorter", F.explode(F.array(letters - 1, letters)))
+    # Blocks of long words have fewer rows.
+    weight = F.greatest(F.lit(1.0), letters / 64)
+    tasks = comparison_tasks(entries, ["gram", "shorter"], "word", block, weight)
     found = run_tasks(tasks, _compare, "word string, n_near bigint, near string, near_n bigint")
     best: Column = F.min(F.struct((-F.col("near_n")).alias("n"), F.col("near").alias("near")))
     return (
