@@ -14,7 +14,9 @@ from wxengine.plans.measurements import closed_windows, update_rolling
 from wxengine.operators.rolling import rolling
 from wxengine.sources.landing import MEASUREMENTS, RAIN_STATIONS, WEATHER_STATIONS
 from wxengine.session import shared_dir
-from wxengine.sources.tables import read_table
+from wxengine.sources.files import subfolders
+from wxengine.sources.marks import Mark, last_mark, log_of, write_mark
+from wxengine.sources.tables import high_water_mark, read_table
 
 START = dt.datetime(2024, 7, 31, 22)
 MEASURES = Measures(averaged=("air_temperature",), summed=("precipitation",), maxed=("wind_speed",))
@@ -194,3 +196,144 @@ def test_a_reading_timed_after_its_arrival_is_not_lost(spark, layout):
     jobs.run_measurements(spark, layout, full_refresh=True, only_closed=True)
     assert found == sorted(r.measure_at for r in read_table(spark, layout.rolling).collect())
     assert dt.datetime(2024, 8, 10) in found
+
+
+def frozen(frame):
+    """The rows as they are now."""
+    return frame.sparkSession.createDataFrame(frame.collect(), frame.schema)
+
+
+def same(a, b):
+    b = b.select(*a.columns)
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def stamps(folder):
+    """Names and times of a table's files by partition."""
+    return {
+        d.name: sorted((f.name, f.stat().st_mtime_ns) for f in d.glob("*.parquet"))
+        for d in Path(folder).glob("measure_date=*")
+    }
+
+
+MOMENTS = [  # days after the start and stations of readings, by run; windows reach over months
+    [(d, s) for d in range(0, 40) for s in ("466920", "C0A520")],
+    [(d, s) for d in range(40, 75) for s in ("466920", "C0A520")] + [(3, "72X"), (38, "466921")],
+    [(d, s) for d in range(75, 80) for s in ("466920", "C0A520")] + [(39, "466921"), (3, "466920")],
+]
+
+
+def land_days(layout, moments, run):
+    items = [
+        payloads.station(s, (dt.datetime(2023, 12, 31, 6) + dt.timedelta(days=d)).isoformat(), temperature=str(10 + d % 9))
+        for d, s in moments
+    ]
+    payloads.land(Path(layout.landed(MEASUREMENTS)), f"2024-05-0{run + 1}_00_03", payloads.measurements(*items))
+
+
+@pytest.mark.parametrize("only_closed", [False, True])
+def test_a_repair_ends_like_a_full_refresh(spark, layout, only_closed):
+    for run, moments in enumerate(MOMENTS):
+        land_days(layout, moments, run)
+        jobs.run_ingest(spark, layout, (MEASUREMENTS,))
+        jobs.run_measurements(spark, layout, only_closed=only_closed)
+    before = stamps(layout.rolling)
+    assert read_table(spark, layout.readings).count() == 160
+    jobs.repair(spark, layout, only_closed)
+    after = stamps(layout.rolling)
+    tables = [layout.readings, layout.rolling, *(layout.artifact(g.suffix) for g in jobs.GRAINS)]
+    repaired = {t: frozen(read_table(spark, t)) for t in tables if subfolders(spark, t)}
+    jobs.run_measurements(spark, layout, full_refresh=True, only_closed=only_closed)
+    for table, rows in repaired.items():
+        assert same(read_table(spark, table), rows), table
+    assert repaired[layout.readings].count() == 163
+    # Late on days 3, 38 and 39, in windows from a month before; open windows begin later.
+    untouched = [n for n in before if "measure_date=2024-01-04" <= n <= "measure_date=2024-01-06"]
+    assert len(untouched) == 3 and all(before[n] == after[n] for n in untouched)
+    jobs.repair(spark, layout, only_closed)  # nothing to do
+    assert same(read_table(spark, layout.rolling), repaired[layout.rolling])
+
+
+def test_a_run_that_is_repeated_changes_nothing(spark, layout):
+    for run, moments in enumerate(MOMENTS):
+        land_days(layout, moments, run)
+        jobs.run_ingest(spark, layout, (MEASUREMENTS,))
+        before = last_mark(spark, log_of(layout.readings))
+        jobs.run_measurements(spark, layout)
+        first = frozen(read_table(spark, layout.rolling))
+        archive = spark.read.parquet(f"{layout.archive}/feed={MEASUREMENTS}")
+        own = archive.filter(f"ingest_date = date'2024-05-0{run + 1}'")
+        number = 0 if before is None else before.number + 1
+        assert last_mark(spark, log_of(layout.readings)).number == number
+        jobs.apply_responses(spark, layout, own, number)
+        assert same(first, read_table(spark, layout.rolling))
+
+
+def test_no_run_reads_a_response_twice(spark, layout, monkeypatch):
+    read = []
+    apply = jobs.apply_responses
+
+    def counted(spark, layout, responses, number, only_closed=False):
+        read.extend(r.landed_file for r in responses.select("landed_file").collect())
+        apply(spark, layout, responses, number, only_closed)
+
+    monkeypatch.setattr(jobs, "apply_responses", counted)
+    for run, moments in enumerate(MOMENTS):
+        land_days(layout, moments[:6], run)
+        jobs.run_ingest(spark, layout, (MEASUREMENTS,))
+        jobs.run_measurements(spark, layout)
+        jobs.run_measurements(spark, layout)
+    assert len(read) == len(set(read)) == 3
+
+
+def test_a_failed_append_leaves_no_mark(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "t")
+    update_rolling(spark, frame(spark, range(10)), target, [HOURLY], MEASURES)
+    good = frozen(read_table(spark, target))
+
+    def fails(*args, **kwargs):
+        raise OSError("the run ends here")
+
+    # The rows are written, the mark is not: the next run writes them anew.
+    with monkeypatch.context() as patch:
+        patch.setattr("wxengine.plans.measurements.write_mark", fails)
+        with pytest.raises(OSError, match="ends here"):
+            update_rolling(spark, frame(spark, range(400)), target, [HOURLY], MEASURES)
+    assert high_water_mark(spark, target) == at(399)
+    assert last_mark(spark, log_of(target)).at == at(9)
+    update_rolling(spark, frame(spark, range(20)), target, [HOURLY], MEASURES)
+    found = read_table(spark, target)
+    assert found.count() == 20 and good.exceptAll(found).count() == 0
+
+
+def test_the_log_of_runs(spark, tmp_path):
+    log = log_of(str(tmp_path / "t"))
+    assert last_mark(spark, log) is None
+    for number in range(20):
+        write_mark(spark, log, Mark(number, at(number) if number % 2 else None))
+    assert last_mark(spark, log) == Mark(19, at(19))
+    assert last_mark(spark, log, before=19) == Mark(18, None)
+    assert len(subfolders(spark, log)) == 16
+    write_mark(spark, log, Mark(19, at(50)))
+    assert last_mark(spark, log).at == at(50)
+    # An entry that was not written to its end does not count.
+    (Path(f"{log}/run=19") / "_SUCCESS").unlink()
+    assert last_mark(spark, log) == Mark(18, None)
+
+
+def test_geography_is_taken_apart_once(spark, layout, monkeypatch):
+    counted = []
+    for day in (1, 2):
+        items = [payloads.station(s, f"2024-05-0{day}T00:00:00", coordinates=(("f", str(day), "2"),)) for s in ("a", "b")]
+        payloads.land(Path(layout.landed(MEASUREMENTS)), f"2024-05-0{day}_00_03", payloads.measurements(*items, items[0]))
+        jobs.run_ingest(spark, layout)
+        jobs.run_geography(spark, layout)
+        jobs.run_geography(spark, layout, latest_snapshot=True)
+        counted.append(spark.read.parquet(layout.geo).count())
+    assert counted == [2, 4]
+    jobs.run_geography(spark, layout)
+    assert spark.read.parquet(layout.geo).count() == 4
+    jobs.run_stations(spark, layout, latest_snapshot=True)
+    assert [r.station_latitude_tw97 for r in spark.read.parquet(layout.stations).collect()] == [2.0, 2.0]
+    jobs.run_stations(spark, layout)
+    assert spark.read.parquet(layout.stations).count() == 4

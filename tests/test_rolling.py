@@ -13,8 +13,9 @@ from wxengine.functions.calendar import DAILY, GRAINS, HOURLY, MONTHLY, WEEKLY
 from wxengine.operators.anchored import anchored
 from wxengine.operators.day_states import day_states, units_from_days
 from wxengine.operators.measures import Measures
-from wxengine.operators.mode import rolling_mode
-from wxengine.operators.rolling import rolling
+from wxengine.operators.mode import rolling_mode, swept_mode
+from wxengine.operators.rolling import day_totals, rolling
+from wxengine.operators.rolling_length import rolling_length
 
 MEASURES = Measures(averaged=("v",), summed=("v", "w"), maxed=("w",))
 SCHEMA = "station_id STRING, station_name STRING, measure_at TIMESTAMP_NTZ, v DOUBLE, w DOUBLE"
@@ -44,7 +45,7 @@ SERIES = {
 }
 
 
-def truth(rows, grain):
+def truth(rows, grain, length=None):
     """Exact self-join over ``[t, t + interval]``, keyed by station and time."""
     connection = duckdb.connect()
     connection.execute("CREATE TABLE r (s VARCHAR, n VARCHAR, t TIMESTAMP, v DECIMAL(18,4), w DECIMAL(18,4))")
@@ -52,7 +53,7 @@ def truth(rows, grain):
     found = connection.execute(
         f"""SELECT a.s, a.t, round(sum(b.v)::DOUBLE / nullif(count(b.v), 0), 6),
                    round(sum(b.v), 2), round(sum(b.w), 2), round(max(b.w), 2)
-            FROM r a JOIN r b ON a.s = b.s AND b.t BETWEEN a.t AND a.t + INTERVAL {UNITS[grain]}
+            FROM r a JOIN r b ON a.s = b.s AND b.t BETWEEN a.t AND a.t + INTERVAL {length or UNITS[grain]}
             GROUP BY a.s, a.t"""
     ).fetchall()
     return {(s, t): values for s, t, *values in found}
@@ -233,3 +234,107 @@ def test_nan_is_missing_and_overflow_an_error(spark, ansi):
 def test_a_reading_without_a_time_counts_once(spark):
     row = rolling(one_reading(spark, 5.0, at=None), GRAINS, MEASURES).first()
     assert {row[f"v_{g.suffix}_sum"] for g in GRAINS} == {5.0}
+
+
+def mode_truth(rows, length, together=False):
+    """Mode by self-join: value of most readings in [t, t + length], the smallest on a tie."""
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE r (s VARCHAR, n VARCHAR, t TIMESTAMP, v DOUBLE, w DOUBLE)")
+    connection.executemany("INSERT INTO r VALUES (?, ?, ?, ?, ?)", rows)
+    same = "true" if together else "a.s = b.s"
+    found = connection.execute(
+        f"""WITH c AS (SELECT a.s, a.t, b.w, count(b.w) AS n FROM r a JOIN r b
+              ON {same} AND b.t BETWEEN a.t AND a.t + INTERVAL {length} GROUP BY ALL)
+            SELECT s, t, w FROM c QUALIFY row_number() OVER (PARTITION BY s, t ORDER BY n DESC, w NULLS LAST) = 1"""
+    ).fetchall()
+    return {(s, t): w for s, t, w in found}
+
+
+def modes(frame):
+    rows = frame.collect()
+    found = {(r.station_id, r.measure_at): r.m for r in rows}
+    assert len(found) == len(rows)
+    return found
+
+
+def coarse(rows, per_station=4000):
+    """Few values, so that counts matter and tie."""
+    return [(s, n, t, v, None if w is None else w // 1) for s, n, t, v, w in rows[:per_station]]
+
+
+@pytest.mark.parametrize("name", SERIES)
+@pytest.mark.parametrize("length", ["1 day", "1 week", "1 month", "3 months", "100 minutes"])
+def test_swept_mode_equals_self_join(spark, name, length):
+    rows = coarse(SERIES[name])
+    readings = spark.createDataFrame(rows, SCHEMA)
+    sql = length if length != "1 week" else "7 days"
+    assert modes(swept_mode(readings, "w", length, result="m")) == mode_truth(rows, sql)
+
+
+@pytest.mark.parametrize("length", ["1 hour", "1 month"])
+def test_mode_across_all_stations_equals_self_join(spark, length):
+    rows = coarse(SERIES["leap year"], 1500) + coarse(SERIES["leap year"][-300:])
+    found = swept_mode(spark.createDataFrame(rows, SCHEMA), "w", length, station=None, result="m")
+    assert modes(found) == mode_truth(rows, length, together=True)
+
+
+def test_swept_mode_of_edge_cases(spark):
+    t = dt.datetime(2024, 1, 31, 10)
+    rows = [
+        (None, "x", t, float("nan"), 1.00496), (None, "x", t + dt.timedelta(days=29), 1.0, 1.00496),
+        ("a", "x", None, 1.0, 7.126), ("a", "x", t, 1.0, None), ("b", "x", t, 1.0, -0.0), ("b", "x", t.replace(hour=11), 1.0, 0.0),
+        ("b", "x", t.replace(hour=12), 1.0, -1.0),
+    ]
+    found = modes(swept_mode(spark.createDataFrame(rows, SCHEMA), "w", "1 month", result="m"))
+    assert found == {
+        (None, t): 1.0, (None, t + dt.timedelta(days=29)): 1.0, ("a", None): 7.13, ("a", t): None,
+        ("b", t): 0.0, ("b", t.replace(hour=11)): -1.0, ("b", t.replace(hour=12)): -1.0,
+    }
+    assert swept_mode(spark.createDataFrame([], SCHEMA), "w", "1 month").collect() == []
+
+
+def test_macros_round_once(spark):
+    rows = [("a", "x", dt.datetime(2024, 1, 1, 0, i), v, v) for i, v in enumerate([1.00496, 1.00496, 1.0049996])]
+    found = spark.createDataFrame(rows, SCHEMA).select(
+        ahead.find_mode_in_interval("v", "measure_at", "1 hour").alias("mode"),
+        ahead.find_max_in_interval("v", "measure_at", "1 hour").alias("max"),
+    )
+    assert {tuple(r) for r in found.collect()} == {(1.0, 1.0)}
+
+
+@pytest.mark.parametrize("name", SERIES)
+@pytest.mark.parametrize("length", ["90 minutes", "36 hours", "10 days", "3 months", "7 seconds"])
+def test_rolling_over_any_length_equals_self_join(spark, name, length):
+    rows = SERIES[name]
+    found = rolling_length(spark.createDataFrame(rows, SCHEMA), length, "long", MEASURES).collect()
+    assert len(found) == len(rows)
+    expected = truth(rows, None, length)
+    for r in found:
+        average, sum_v, sum_w, max_w = expected[r.station_id, r.measure_at]
+        assert (r.v_long_sum, r.w_long_sum, r.w_long_max) == tuple(
+            None if x is None else float(x) for x in (sum_v, sum_w, max_w)
+        )
+        assert r.v_long_average == (None if average is None else pytest.approx(average, abs=0.005001))
+
+
+def test_length_of_a_window(spark):
+    for text in ("1 fortnight", "0 days", "-1 hour"):
+        with pytest.raises(ValueError, match="not a length"):
+            rolling_length(spark.createDataFrame([], SCHEMA), text, "x", MEASURES)
+    assert rolling_length(spark.createDataFrame([], SCHEMA), "90 minutes", "x", MEASURES).count() == 0
+    rows = [("a", "x", None, 1.0, 2.0), ("a", "x", dt.datetime(2024, 1, 1), 3.0, 4.0), (None, "x", dt.datetime(2024, 1, 1), 5.0, 6.0)]
+    found = rolling_length(spark.createDataFrame(rows, SCHEMA), "90 minutes", "x", MEASURES).collect()
+    assert sorted((r.v, r.v_x_sum, r.w_x_max) for r in found) == [(1.0, 1.0, 2.0), (3.0, 3.0, 4.0), (5.0, 5.0, 6.0)]
+
+
+def test_rolling_from_stored_days_needs_only_edge_dates(spark):
+    """Windows that start on one date, from the readings of where they start and end."""
+    rows = SERIES["common year"]
+    readings = spark.createDataFrame(rows, SCHEMA)
+    days, start = day_totals(readings, MEASURES), dt.date(2023, 1, 31)
+    edges = [dt.date(2023, 1, 31), dt.date(2023, 2, 1), dt.date(2023, 2, 7), dt.date(2023, 2, 28)]
+    of = F.col("measure_at").cast("date")
+    some = rolling(readings.filter(of.isin(edges)), GRAINS, MEASURES, days=days).filter(of == start)
+    whole = rolling(readings, GRAINS, MEASURES).filter(of == start)
+    assert some.count() > 20
+    assert some.exceptAll(whole).count() == 0 and whole.exceptAll(some).count() == 0

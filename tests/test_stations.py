@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wxengine.operators import stations
+from wxengine.plans import staging
 from wxengine.plans.stations import station_dimension
 
 
@@ -77,9 +78,25 @@ def test_copies_multiply_unless_latest(spark):
     assert latest.filter("station_id = 'C1X'").count() == 1
 
 
-def test_split_join_equals_full_outer(spark):
-    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k INT, x STRING")
-    right = spark.createDataFrame([(1, "e"), (1, "f"), (3, "g"), (None, "h")], "j INT, y STRING")
-    split = stations.full_outer_split(left, right, "k", "j", left.select("k"))
-    native = left.join(right, F.col("k") == F.col("j"), "full_outer")
-    assert split.exceptAll(native).count() == 0 and native.exceptAll(split).count() == 0
+def test_counted_join_equals_full_outer(spark, monkeypatch):
+    """Copies on both sides, keys without a partner and without a value."""
+    monkeypatch.setattr(stations, "COPIES_AT_ONCE", 2)
+    rain = staging.rain_stations(responses(spark, RAIN)).unionByName(
+        staging.rain_stations(responses(spark, RAIN)).limit(1)
+    )
+    weather = staging.weather_stations(responses(spark, WEATHER, WEATHER, WEATHER))
+    left = rain.withColumnsRenamed({c: f"r_{c}" for c in rain.columns})
+    right = weather.withColumnsRenamed({c: f"w_{c}" for c in weather.columns})
+    joined = left.join(right, F.col("r_station_id") == F.col("w_station_id"), "full_outer")
+    native = joined.select(
+        *[F.coalesce(*parts).alias(name) for name, parts in stations.REGISTER_COLUMNS.items()]
+    )
+    counted = stations.rain_with_weather(rain, weather)
+    assert counted.exceptAll(native).count() == 0 and native.exceptAll(counted).count() == 0
+    assert counted.count() == native.count() > 3 * weather.select("station_id").distinct().count()
+
+
+def test_a_row_with_many_copies_is_dealt_in_parts(spark):
+    rows = spark.createDataFrame([("a", 25_001), ("b", 1), ("c", 10_000)], "station_id string, copies bigint")
+    found = stations._copied(rows, "copies").groupBy("station_id").count()
+    assert {tuple(r) for r in found.collect()} == {("a", 25_001), ("b", 1), ("c", 10_000)}

@@ -28,6 +28,7 @@ from wxengine.sources.landing import (
     read_landing,
     stream_landing,
 )
+from wxengine.sources.files import subfolders
 from wxengine.streaming import aggregate, ingest
 
 MEASURES = Measures(averaged=("air_temperature",), summed=("precipitation",), maxed=("air_temperature",))
@@ -202,3 +203,38 @@ def test_arrival_comes_from_the_end_of_the_path(spark):
     paths = ["x/backup-2023-01-01_00_00/weather-2024-08-01_10_03.json", "x/2024-13-45_99_99.json", "x/none.json"]
     got = spark.createDataFrame([(p,) for p in paths], "p string").select(arrived_at("p").alias("a")).collect()
     assert [r.a for r in got] == [dt.datetime(2024, 8, 1, 10, 3), None, None]
+
+
+def test_versions_are_folded(spark, tmp_path):
+    """Many batches leave a bounded number of folders, and the newest version of each row."""
+    target, keys = str(tmp_path / "versions"), ("k",)
+    want = {}
+    for number in range(100):
+        rows = [(k, number) for k in {number % 7, number // 10}]
+        want |= dict(rows)
+        batch = spark.createDataFrame(rows, "k int, v int").coalesce(1)
+        for _ in range(2 if number % 9 == 0 else 1):  # repeated now and then
+            ingest.store_version(spark, batch, number, target, keys, fold_after=8)
+        assert len(subfolders(spark, target)) <= 10
+    found = {r.k: r.v for r in ingest.newest_version(spark, target, keys).collect()}
+    assert found == want
+
+
+def test_a_fold_that_was_interrupted_does_no_harm(spark, tmp_path, monkeypatch):
+    target, keys = str(tmp_path / "versions"), ("k",)
+    for number in range(5):
+        batch = spark.createDataFrame([(1, number), (number + 2, number)], "k int, v int").coalesce(1)
+        ingest.store_version(spark, batch, number, target)
+    want = sorted(map(tuple, ingest.newest_version(spark, target, keys).collect()))
+
+    def fails(*args):
+        raise OSError("ends here")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "delete", fails)
+        with pytest.raises(OSError, match="ends here"):
+            ingest.fold_versions(spark, target, keys, before=4)
+    assert sorted(map(tuple, ingest.newest_version(spark, target, keys).collect())) == want
+    ingest.fold_versions(spark, target, keys)
+    assert subfolders(spark, target) == ["through=4"]
+    assert sorted(map(tuple, ingest.newest_version(spark, target, keys).collect())) == want

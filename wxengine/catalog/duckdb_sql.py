@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from wxengine.catalog.queries import CUT_OFF
+from wxengine.catalog.inputs import CUTS, LATE, LATE_WITHIN, STEPS
+from wxengine.catalog.queries import CUT_OFF, SHORT_DELAY
 from wxengine.operators.measures import WEATHER, Measures
 from wxengine.operators.select_suffix import grain_columns, published_name
 from wxengine.functions.calendar import DAILY, GRAINS, HOURLY, MONTHLY, WEEKLY, Grain
@@ -177,16 +178,13 @@ SELECT {_station_id("o_custkey")} AS station_id,
        o_orderdate, o_orderkey
 FROM orders
 """
-_GEO_OF_STATIONS = f"""
-SELECT DISTINCT station_id, station_latitude, station_longitude, station_altitude, country_name,
-       country_code, 'Town' AS town_name, 'T' AS town_code, coordinate_format
-FROM ({_GEO})
-"""
 _GEO_COLUMNS = (
     "station_id, station_latitude, station_longitude, station_altitude, country_name,"
     " country_code, town_name, town_code, coordinate_format"
 )
 
+_GEO_OF_STATIONS = f"SELECT DISTINCT {_GEO_COLUMNS} FROM ({_GEO})"
+
 _FULL_OUTER = """
 SELECT coalesce(rain.station_id, weather.station_id) AS station_id,
        original_station_id, new_station_id, city_code, town_code, station_status,
@@ -246,13 +244,24 @@ SELECT * FROM again WHERE measure_at > (SELECT max(measure_at) FROM stored)
 
 
 def _artifact_runs(grain: Grain) -> str:
-    """Two runs of the rolling table, and after each an append to the published one."""
+    """Two runs of the rolling table, and after each an append to the published one.
+
+    The second takes nothing where the first has published nothing to compare with.
+    """
     names = [c.rsplit(" AS ", 1)[1] for c in _window_columns(grain, WEATHER)]
     renamed = ", ".join(f"{c} AS {published_name(c, grain)}" for c in grain_columns(names, grain))
     anchors = f"WHERE measure_at = date_trunc('{grain.unit}', measure_at)"
+    first = _unique("first_run", f"measure_at <= TIMESTAMP '{CUT_OFF}'")
     return f"""
-WITH runs AS ({_two_runs(f"measure_at <= TIMESTAMP '{CUT_OFF}'")})
-SELECT station_id, station_name, station_type, measure_at, {renamed} FROM runs {anchors}
+WITH {READINGS}, {first},
+stored AS ({_rolled("first_run", _RUN, WEATHER, _RUN_COLUMNS)}),
+again AS ({_rolled("readings", _RUN, WEATHER, _RUN_COLUMNS)}),
+published AS (SELECT * FROM stored {anchors})
+SELECT station_id, station_name, station_type, measure_at, {renamed} FROM (
+  SELECT * FROM published
+  UNION ALL
+  SELECT * FROM again {anchors} AND measure_at > (SELECT max(measure_at) FROM published)
+    AND measure_at > (SELECT max(measure_at) FROM stored))
 """
 
 
@@ -263,24 +272,130 @@ def _fine_digits() -> str:
     return f"WITH {fine} {_rolled('fine', GRAINS, measures, 'station_id, measure_at')}"
 
 
-_DAY_NUMBER = Measures(summed=("day_number",), maxed=("day_number",), averaged=("day_number",))
-_STREAMED = (
-    RAW
-    + """, readings AS (
-  SELECT DISTINCT station_id, measure_at, 'At ' || station_id AS station_name, station_type,
-         CAST(day(measure_at) * 24 + hour(measure_at) AS DOUBLE) AS day_number
-  FROM raw)"""
+def _arrivals(late_within: str | None = None) -> str:
+    """One reading per station and time, with the step of its first delivery."""
+    cuts = [f"TIMESTAMP '{cut}'" for cut in CUTS]
+    step = " + ".join(f"CAST(measure_at >= {cut} AS INTEGER)" for cut in cuts)
+    near = " OR ".join(
+        f"measure_at < {c} AND measure_at >= {c} - INTERVAL {LATE_WITHIN}" for c in cuts
+    )
+    late = f"{LATE} AND {step} < {len(cuts)}" + (f" AND ({near})" if late_within else "")
+    return f"""
+arrivals AS (
+  SELECT {", ".join(READING_COLUMNS)}, {step} + CAST({late} AS INTEGER) AS step FROM (
+    SELECT event_id, station_id, station_name, station_type, measure_at, {_CLEAN} FROM raw
+    QUALIFY row_number() OVER (PARTITION BY station_id, measure_at ORDER BY event_id) = 1)
 )
+"""
 
 
-def _streamed(grain: Grain, extra: str = "") -> str:
-    rolled = _rolled(
-        "readings", [grain], _DAY_NUMBER, "station_id, station_name, station_type, measure_at"
-    )
-    return (
-        f"WITH {_STREAMED}, rolled AS ({rolled}) SELECT * FROM rolled"
-        f" WHERE measure_at = date_trunc('{grain.unit}', measure_at) {extra}"
-    )
+def _streamed_hours_closed() -> str:
+    """Hours that end before the delay, over what is not later than the delay when it comes."""
+    taken = f"""{RAW}, {_arrivals()}, readings AS (
+  SELECT * EXCLUDE (step) FROM arrivals a
+  WHERE step = 0 OR measure_at >
+    (SELECT max(measure_at) FROM arrivals b WHERE b.step < a.step) - INTERVAL {SHORT_DELAY})"""
+    closed = f"(SELECT max(measure_at) FROM arrivals) - INTERVAL {SHORT_DELAY}"
+    return f"{_artifact(HOURLY, readings=taken)} AND measure_at + INTERVAL 1 HOUR <= {closed}"
+
+
+# What each run of a job takes: readings later than all that came before it.
+_TAKEN = f"{RAW}, {_arrivals()}, " + ", ".join(
+    f"""
+run{k} AS (
+  SELECT * EXCLUDE (step) FROM arrivals
+  WHERE step = {k} AND ({k} = 0 OR measure_at > (SELECT max(measure_at) FROM arrivals WHERE step < {k})))
+"""
+    for k in range(STEPS)
+)
+
+
+def _job_rolled(run: str = "") -> str:
+    """The rolling table after a run for each step, with windows as they were then."""
+    rolled = [
+        f"({_rolled(f'run{k}', _RUN, WEATHER, _RUN_COLUMNS + run.format(k))})" for k in range(STEPS)
+    ]
+    return f"WITH {_TAKEN} " + " UNION ALL ".join(rolled)
+
+
+def _job_artifacts() -> str:
+    """Published rows of all runs, of grains of which the first run has published some."""
+    selects = []
+    for grain in GRAINS:
+        names = [c.rsplit(" AS ", 1)[1] for c in _window_columns(grain, WEATHER)]
+        renamed = ", ".join(f"{c} AS {published_name(c, grain)}" for c in grain_columns(names, grain))
+        selects.append(
+            f"SELECT station_id, station_name, station_type, measure_at, {renamed},"
+            f" '{grain.suffix}' AS grain FROM rolled WHERE measure_at = date_trunc('{grain.unit}', measure_at)"
+            f" AND EXISTS (SELECT 1 FROM rolled WHERE run = 0 AND measure_at = date_trunc('{grain.unit}', measure_at))"
+        )
+    return f"WITH rolled AS ({_job_rolled(', {} AS run')}) " + " UNION ALL ".join(selects)
+
+
+def _job_closed() -> str:
+    runs = " UNION ALL ".join(f"SELECT * FROM run{k}" for k in range(STEPS))
+    return f"""
+WITH {_TAKEN}, readings AS ({runs}), rolled AS ({_rolled("readings", _RUN, WEATHER, _RUN_COLUMNS)})
+SELECT * FROM rolled WHERE measure_at + INTERVAL 1 MONTH <= (SELECT max(measure_at) FROM readings)
+"""
+
+
+def _landed_twice(register: str, again: str) -> str:
+    return f"SELECT * FROM ({register}) UNION ALL SELECT * FROM ({register}) WHERE {again}"
+
+
+# The newest landed row of a station is a copy of the first, so the registers are as they are.
+_SEEN_LAST = (
+    f"SELECT {_GEO_COLUMNS} FROM ({_GEO}) QUALIFY row_number() OVER"
+    " (PARTITION BY station_id ORDER BY o_orderdate DESC, o_orderkey % 1000000 DESC) = 1"
+)
+
+
+def _station_lists() -> str:
+    dimension = _stations(_RAIN_REGISTER, _WEATHER_REGISTER, _SEEN_LAST)
+    return f"""
+WITH listed AS (
+  SELECT *, CASE station_status WHEN '現存測站' THEN 'existing' ELSE 'revoked' END AS list
+  FROM ({dimension}) WHERE station_status IN ('現存測站', '已撤銷'))
+SELECT * FROM listed UNION ALL SELECT * FROM listed
+"""
+
+
+def _swept_mode(length: str, together: bool = False) -> str:
+    """Mode by counting the readings of each window; times count once where stations do not."""
+    if together:
+        return f"""
+WITH {READINGS},
+asked AS (SELECT DISTINCT measure_at FROM readings),
+bag AS (SELECT measure_at, wind_direction AS v, count(*) AS n FROM readings
+        WHERE wind_direction IS NOT NULL GROUP BY ALL),
+counts AS (SELECT a.measure_at, b.v, sum(b.n) AS n FROM asked a JOIN bag b
+           ON b.measure_at BETWEEN a.measure_at AND a.measure_at + INTERVAL {length} GROUP BY ALL),
+best AS (SELECT measure_at, v FROM counts
+         QUALIFY row_number() OVER (PARTITION BY measure_at ORDER BY n DESC, v) = 1)
+SELECT station_id, measure_at, wind_direction, round(v, 2) AS wind_direction_mode
+FROM readings LEFT JOIN best USING (measure_at)
+"""
+    return f"""
+WITH {READINGS},
+counts AS (SELECT a.station_id, a.measure_at, b.wind_direction AS v, count(*) AS n
+           FROM readings a JOIN readings b ON a.station_id = b.station_id
+            AND b.measure_at BETWEEN a.measure_at AND a.measure_at + INTERVAL {length}
+           WHERE b.wind_direction IS NOT NULL GROUP BY ALL),
+best AS (SELECT station_id, measure_at, v FROM counts
+         QUALIFY row_number() OVER (PARTITION BY station_id, measure_at ORDER BY n DESC, v) = 1)
+SELECT station_id, measure_at, wind_direction, round(v, 2) AS wind_direction_mode
+FROM readings LEFT JOIN best USING (station_id, measure_at)
+"""
+
+
+def _rolling_length(length: str, suffix: str) -> str:
+    columns = _window_columns(Grain(suffix, "any"), WEATHER)
+    return f"""
+WITH {READINGS} SELECT station_id, measure_at, {", ".join(columns)} FROM readings
+WINDOW {suffix} AS (PARTITION BY station_id ORDER BY measure_at RANGE BETWEEN CURRENT ROW
+                    AND INTERVAL {length} FOLLOWING)
+"""
 
 
 _CUSTOMER_RECORDS = (
@@ -417,6 +532,9 @@ SELECT DISTINCT {_GEO_COLUMNS}, {_class("station_id")} AS station_type FROM ({_G
 """,
     "incremental_append": _two_runs(f"measure_at <= TIMESTAMP '{CUT_OFF}'"),
     "artifact_append": _artifact_runs(HOURLY),
+    "artifact_append_daily": _artifact_runs(DAILY),
+    "artifact_append_weekly": _artifact_runs(WEEKLY),
+    "artifact_append_monthly": _artifact_runs(MONTHLY),
     "late_data_drop": _two_runs(f"measure_at <= TIMESTAMP '{CUT_OFF}' AND event_id % 10 <> 3"),
     "full_refresh": _rolling(_RUN, WEATHER, _RUN_COLUMNS),
     "closed_windows_only": f"""
@@ -427,12 +545,43 @@ WHERE measure_at + INTERVAL 1 MONTH <= (SELECT max(measure_at) FROM readings)
     "stream_file_ingest": _LANDED.format(
         extra=", CAST(date_trunc('week', measure_at) AS DATE) AS ingest_date"
     ),
-    "stream_dedup": f"WITH {RAW} SELECT DISTINCT station_id, measure_at FROM raw",
-    "stream_agg_hourly": _streamed(HOURLY),
-    "stream_closed_hours": _streamed(
-        HOURLY,
-        "AND measure_at + INTERVAL 1 HOUR <= (SELECT max(measure_at) FROM readings) - INTERVAL 1 HOUR",
+    "stream_dedup": f"WITH {READINGS} SELECT * FROM readings",
+    "stream_agg_hourly": _artifact(HOURLY),
+    "stream_agg_daily": _artifact(DAILY),
+    "stream_closed_hours": _streamed_hours_closed(),
+    "stream_agg_weekly": _artifact(WEEKLY),
+    "stream_days_to_months": _artifact(MONTHLY),
+    "job_measurements": _job_rolled(),
+    "job_artifacts": _job_artifacts(),
+    "job_closed_windows": _job_closed(),
+    "job_repair": _rolling(_RUN, WEATHER, _RUN_COLUMNS),
+    "job_stations": _stations(
+        _landed_twice(_RAIN_REGISTER, "city_code <> '3'"),
+        _landed_twice(_WEATHER_REGISTER, "location <> 'L3'"),
+        _GEO_OF_STATIONS,
     ),
-    "stream_agg_weekly": _streamed(WEEKLY),
-    "stream_days_to_months": _streamed(MONTHLY),
+    "job_stations_latest": _stations(_RAIN_REGISTER, _WEATHER_REGISTER, _SEEN_LAST),
+    "job_station_lists": _station_lists(),
+    "rolling_mode_day": _swept_mode("1 DAY"),
+    "rolling_mode_week": _swept_mode("7 DAY"),
+    "rolling_mode_month": _swept_mode("1 MONTH"),
+    "rolling_mode_all_stations": _swept_mode("1 HOUR", together=True),
+    "rolling_mode_all_stations_week": _swept_mode("7 DAY", together=True),
+    "rolling_90_minutes": _rolling_length("90 MINUTE", "long"),
+    "rolling_36_hours": _rolling_length("36 HOUR", "long"),
+    "rolling_3_months": _rolling_length("3 MONTH", "quarterly"),
+    "window_functions_digits": f"""
+WITH {READINGS},
+fine AS (SELECT station_id, measure_at, (uv_index + 1) / 200::DOUBLE - 0.00004::DOUBLE AS v FROM readings),
+counts AS (
+  SELECT a.station_id, a.measure_at, b.v, count(b.v) AS n
+  FROM fine a JOIN fine b ON a.station_id = b.station_id
+   AND b.measure_at BETWEEN a.measure_at AND a.measure_at + INTERVAL 1 HOUR
+  GROUP BY ALL),
+largest AS (SELECT station_id, measure_at, max(v) AS v FROM counts GROUP BY ALL),
+modes AS (SELECT station_id, measure_at, v FROM counts
+          QUALIFY row_number() OVER (PARTITION BY station_id, measure_at ORDER BY n DESC, v) = 1)
+SELECT station_id, measure_at, {_round("largest.v")} AS largest, {_round("modes.v")} AS mode
+FROM largest JOIN modes USING (station_id, measure_at)
+""",
 }

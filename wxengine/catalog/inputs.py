@@ -13,10 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wxengine.functions.cleaning import station_class
-from wxengine.operators.dedup import dedup_readings
+from wxengine.operators.dedup import READING_KEY, dedup_readings, first_per_key
 from wxengine.operators.stations import EXISTING, REVOKED
 from wxengine.plans.staging import READING_COLUMNS, cleaned
-from wxengine.sources.landing import read_landing
+from wxengine.sources.landing import RAIN_STATIONS, WEATHER_STATIONS, read_landing
 from wxengine.session import shared_dir
 
 STATIONS_PER_RESPONSE = 50
@@ -159,6 +159,43 @@ def landed_measurements(spark: SparkSession, sf_dir: str, label: str) -> str:
     return land(spark, as_responses(items, in_station_record, "arrival"), label)
 
 
+# Landings of a series in steps: those before each of these times, and the rest.
+CUTS = ("2023-12-25 00:00:00", "2024-01-22 00:00:00")
+STEPS = len(CUTS) + 1
+# Every tenth reading of a step comes with the next one: all of them, or those of the step's
+# last hours, which a stream with a longer delay still takes.
+LATE = "event_id % 10 = 3"
+LATE_WITHIN = "1 day"
+
+
+def arrivals(raw: DataFrame, late_within: str | None = None) -> DataFrame:
+    """One raw reading per station and time with the ``step`` that it lands in, and repeats.
+
+    Every fifth reading is delivered again, with the same values, in the same step, and in
+    the next one too if it is of the last hours of its own. ``late_within`` keeps lateness
+    within that length.
+    """
+    cuts = [f"TIMESTAMP_NTZ '{cut}'" for cut in CUTS]
+    step = " + ".join(f"IF(measure_at >= {cut}, 1, 0)" for cut in cuts)
+    near = " OR ".join(f"(measure_at < {c} AND measure_at >= {c} - INTERVAL {LATE_WITHIN})" for c in cuts)
+    late = f"({LATE}) AND step < {len(cuts)}" + (f" AND ({near})" if late_within else "")
+    unique = first_per_key(raw, READING_KEY, ["event_id"]).withColumn("step", F.expr(step))
+    once = unique.withColumn("step", F.expr(f"IF({late}, step + 1, step)"))
+    again = F.expr(
+        f"IF(event_id % 5 <> 0, array(step), IF(step < {len(cuts)} AND ({near}),"
+        " array(step, step, step + 1), array(step, step)))"
+    )
+    return once.withColumn("step", F.explode(again))
+
+
+def land_step(spark: SparkSession, rows: DataFrame, step: int, folder: str) -> None:
+    """Add one step of ``arrivals`` to a landing folder, as files that arrived in that order."""
+    items = measurement_items(rows.filter(F.col("step") == step)).select("item")
+    arrival = F.lit(f"2024-05-{step + 1:02d}_00_03")
+    responses = as_responses(items.withColumn("arrival", arrival), in_station_record, "arrival")
+    responses.hint("rebalance", "arrival").write.mode("append").partitionBy("arrival").text(folder)
+
+
 def landing(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
     return read_landing(spark, landed_measurements(spark, sf_dir, label))
 
@@ -238,6 +275,23 @@ def geo_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The stations of each register that are landed a second time.
+LANDED_AGAIN = {RAIN_STATIONS: "item.CITY_SN <> '3'", WEATHER_STATIONS: "item.Location <> 'L3'"}
+
+
+def seen_item() -> Column:
+    """A station object of ``geo_items`` with the day of its order as observation time."""
+    day = F.col("o_orderdate").cast("date").cast("string")
+    # Orders of one day are told apart by their keys.
+    fraction = F.lpad(F.pmod("o_orderkey", F.lit(10**6)).cast("string"), 6, "0")
+    at = F.concat(day, F.lit("T00:00:00."), fraction)
+    return F.struct(
+        F.col("item.StationId").alias("StationId"),
+        F.col("item.GeoInfo").alias("GeoInfo"),
+        F.struct(at.alias("DateTime")).alias("ObsTime"),
+    )
+
+
 def rain_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rain register as its staging model would show it."""
     item = rain_register_items(spark, sf_dir).select("item.*")

@@ -18,16 +18,19 @@ from wxengine.operators.day_states import day_states, units_from_days
 from wxengine.operators.dedup import latest_per_key
 from wxengine.operators.flatten import flatten
 from wxengine.operators.measures import WEATHER, Measures
-from wxengine.operators.mode import mode_per_unit, rolling_mode
+from wxengine.operators.mode import mode_per_unit, rolling_mode, swept_mode
 from wxengine.operators.rolling import rolling
+from wxengine.operators.rolling_length import rolling_length
 from wxengine.operators.select_suffix import publish
-from wxengine.plans import measurements as models
-from wxengine.plans import staging
+from wxengine.plans import jobs, measurements as models, staging
 from wxengine.session import shared_dir
 from wxengine.sources.landing import (
     MEASUREMENTS,
+    RAIN_STATIONS,
+    WEATHER_STATIONS,
     compact_landing,
     read_archive,
+    stream_archive,
     stream_landing,
 )
 from wxengine.sources.tables import read_table
@@ -35,8 +38,8 @@ from wxengine.streaming import aggregate, ingest
 
 # The first incremental run sees readings up to here, the second one all of them.
 CUT_OFF = "2024-02-10 00:00:00"
-# Longer than the whole series, so that no order of files can make a reading late.
-ANY_ORDER = "200 days"
+# How late a reading may come to a stream, and to the one that loses what is later.
+DELAY, SHORT_DELAY = "2 days", "1 hour"
 FILES_PER_TRIGGER = 64
 LANDED_COLUMNS = ("station_id", *staging.NEVER_NEGATIVE, "station_name", "visibility",
                   "weather_status", "station_type", "measure_at")
@@ -209,6 +212,36 @@ def mode_bucket_global(spark, sf_dir):
     return mode_per_unit(inputs.readings(spark, sf_dir), "wind_direction", HOURLY)
 
 
+def _swept_mode(length, station="station_id"):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        readings = inputs.readings(spark, sf_dir).select("station_id", "measure_at", "wind_direction")
+        return swept_mode(readings, "wind_direction", length, station)
+
+    return query
+
+
+def _rolling_length(length, suffix):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        readings = inputs.readings(spark, sf_dir)
+        readings = readings.select("station_id", "measure_at", *WEATHER.columns)
+        return rolling_length(readings, length, suffix).drop(*WEATHER.columns)
+
+    return query
+
+
+def window_functions_digits(spark, sf_dir):
+    """Maximum and mode of values with many decimals, rounded once."""
+    fine = inputs.readings(spark, sf_dir).select(
+        "station_id", "measure_at", ((F.col("uv_index") + 1) / 200 - 0.00004).alias("v")
+    )
+    return fine.select(
+        "station_id",
+        "measure_at",
+        ahead.find_max_in_interval("v", "measure_at", "1 hour").alias("largest"),
+        ahead.find_mode_in_interval("v", "measure_at", "1 hour").alias("mode"),
+    )
+
+
 def rolling_fine_digits(spark, sf_dir):
     """All windows over values with six decimals."""
     readings = inputs.readings(spark, sf_dir).select(
@@ -266,12 +299,6 @@ def _geo(spark, sf_dir):
     return inputs.geo_rows(spark, sf_dir).select(*inputs.GEO_COLUMNS)
 
 
-def _geo_of_stations(spark, sf_dir):
-    """One geography per station: the part that does not vary with the order."""
-    geo = _geo(spark, sf_dir).drop("town_name", "town_code").distinct()
-    return geo.withColumns({"town_name": F.lit("Town"), "town_code": F.lit("T")})
-
-
 def station_full_outer(spark, sf_dir):
     return stations.rain_with_weather(
         inputs.rain_table(spark, sf_dir), inputs.weather_table(spark, sf_dir), unique_keys=True
@@ -282,8 +309,7 @@ def station_join_3way(spark, sf_dir):
     return stations.all_stations(
         inputs.rain_table(spark, sf_dir),
         inputs.weather_table(spark, sf_dir),
-        _geo_of_stations(spark, sf_dir),
-        unique_keys=True,
+        _geo(spark, sf_dir).distinct(),
     )
 
 
@@ -342,14 +368,20 @@ def incremental_append(spark, sf_dir):
     return read_table(spark, target)
 
 
-def artifact_append(spark, sf_dir):
-    """The published hours, appended to after each of two runs of the rolling table."""
-    rolled, target = shared_dir(spark, "rolled"), shared_dir(spark, "published")
-    raw = inputs.raw_readings(spark, sf_dir)
-    for seen in (_until_cut_off(raw), raw):
-        _run(spark, rolled, seen)
-        models.update_artifact(spark, read_table(spark, rolled), HOURLY, target)
-    return read_table(spark, target)
+def _artifact_append(grain):
+    """A published table, appended to after each of two runs of the rolling table."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rolled, target = shared_dir(spark, "rolled"), shared_dir(spark, "published")
+        raw = inputs.raw_readings(spark, sf_dir)
+        for seen in (_until_cut_off(raw), raw):
+            _run(spark, rolled, seen)
+            models.update_artifact(spark, rolled, grain, target)
+        published = read_table(spark, target)
+        # A table without rows has no schema either.
+        return models.artifact(read_table(spark, rolled), grain).limit(0) if published is None else published
+
+    return query
 
 
 def late_data_drop(spark, sf_dir):
@@ -393,66 +425,178 @@ def stream_file_ingest(spark, sf_dir):
     )
 
 
-def _landed_stream(spark, sf_dir, label, files_per_trigger=FILES_PER_TRIGGER):
-    landing = inputs.landed_measurements(spark, sf_dir, label)
-    responses = stream_landing(spark, landing, files_per_trigger)
-    return staging.cleaned(staging.parsed_measurements(responses))
+def _in_steps(spark, sf_dir, label, start, late_within=inputs.LATE_WITHIN):
+    """Land the series step by step, and run a stream over what has landed after each."""
+    landing, checkpoint = shared_dir(spark, label), shared_dir(spark, "checkpoint")
+    # Written once: every step takes its rows from here.
+    path = shared_dir(spark, "arrivals")
+    inputs.arrivals(inputs.raw_readings(spark, sf_dir), late_within).write.parquet(path)
+    rows = spark.read.parquet(path)
+    for step in range(inputs.STEPS):
+        inputs.land_step(spark, rows, step, landing)
+        responses = stream_landing(spark, landing)
+        _finish(start(staging.cleaned(staging.parsed_measurements(responses)), checkpoint))
 
 
 def stream_dedup(spark, sf_dir):
-    target, checkpoint = shared_dir(spark, "unique"), shared_dir(spark, "checkpoint")
-    arrivals = _landed_stream(spark, sf_dir, "repeats").select("station_id", "measure_at")
-    _finish(ingest.append_rows(aggregate.dedup_stream(arrivals, ANY_ORDER), target, checkpoint))
+    target = shared_dir(spark, "unique")
+
+    def start(readings, checkpoint):
+        unique = aggregate.dedup_stream(readings.select(*staging.READING_COLUMNS), DELAY)
+        return ingest.append_rows(unique, target, checkpoint)
+
+    _in_steps(spark, sf_dir, "repeats", start)
     return spark.read.parquet(target)
 
 
-# Readings delivered twice differ in the driver's data, and a stream keeps whichever comes
-# first. Measures that are equal in all copies of a reading make the result definite.
-_STREAMED = Measures(summed=("day_number",), maxed=("day_number",), averaged=("day_number",))
+def _streamed_units(grain):
+    """The aggregates of a grain as a stream that stores every change of a unit."""
 
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        target, keys = shared_dir(spark, "units"), ("station_id", "measure_at")
 
-def _streamed_readings(spark, sf_dir, label, files_per_trigger=FILES_PER_TRIGGER):
-    arrivals = _landed_stream(spark, sf_dir, label, files_per_trigger)
-    number = F.dayofmonth("measure_at") * 24 + F.hour("measure_at")
-    return arrivals.select(
-        "station_id",
-        "measure_at",
-        F.concat(F.lit("At "), "station_id").alias("station_name"),
-        number.cast("double").alias("day_number"),
-    )
+        def start(readings, checkpoint):
+            units = aggregate.stream_units(readings, grain, DELAY)
+            return ingest.write_versions(units, target, checkpoint, keys, fold_after=2)
 
+        _in_steps(spark, sf_dir, grain.suffix, start)
+        return publish(ingest.newest_version(spark, target, keys), grain)
 
-def stream_agg_hourly(spark, sf_dir):
-    target, checkpoint = shared_dir(spark, "hours"), shared_dir(spark, "checkpoint")
-    readings = _streamed_readings(spark, sf_dir, "hourly")
-    hours = aggregate.stream_units(readings, HOURLY, ANY_ORDER, _STREAMED)
-    _finish(ingest.write_versions(hours, target, checkpoint))
-    return ingest.newest_version(spark, target, ("station_id", "measure_at"))
+    return query
 
 
 def stream_closed_hours(spark, sf_dir):
-    target, checkpoint = shared_dir(spark, "closed"), shared_dir(spark, "checkpoint")
-    readings = _streamed_readings(spark, sf_dir, "closing", files_per_trigger=None)
-    hours = aggregate.stream_units(readings, HOURLY, "1 hour", _STREAMED)
-    _finish(ingest.append_rows(hours, target, checkpoint))
-    return spark.read.parquet(target)
+    """Each hour once, as it closes; readings that come later than the delay are lost."""
+    target = shared_dir(spark, "closed")
 
+    def start(readings, checkpoint):
+        return ingest.append_rows(aggregate.stream_units(readings, HOURLY, SHORT_DELAY), target, checkpoint)
 
-def stream_agg_weekly(spark, sf_dir):
-    target, checkpoint = shared_dir(spark, "weeks"), shared_dir(spark, "checkpoint")
-    readings = _streamed_readings(spark, sf_dir, "weekly")
-    weeks = aggregate.stream_units(readings, WEEKLY, ANY_ORDER, _STREAMED)
-    _finish(ingest.write_versions(weeks, target, checkpoint))
-    return ingest.newest_version(spark, target, ("station_id", "measure_at"))
+    _in_steps(spark, sf_dir, "closing", start, late_within=None)
+    return publish(spark.read.parquet(target), HOURLY)
 
 
 def stream_days_to_months(spark, sf_dir):
-    target, checkpoint = shared_dir(spark, "days"), shared_dir(spark, "checkpoint")
-    readings = _streamed_readings(spark, sf_dir, "daily")
-    days = aggregate.stream_day_states(readings, ANY_ORDER, _STREAMED)
-    _finish(ingest.write_versions(days, target, checkpoint))
-    stored = ingest.newest_version(spark, target, ("station_id", "measure_date"))
-    return units_from_days(stored, MONTHLY, _STREAMED)
+    target, keys = shared_dir(spark, "days"), ("station_id", "measure_date")
+
+    def start(readings, checkpoint):
+        days = aggregate.stream_day_states(readings, DELAY)
+        return ingest.write_versions(days, target, checkpoint, keys, fold_after=2)
+
+    _in_steps(spark, sf_dir, "daily", start)
+    return publish(units_from_days(ingest.newest_version(spark, target, keys), MONTHLY), MONTHLY)
+
+
+# ---------------------------------------------------------------- whole runs
+
+
+def _layout(spark) -> jobs.Layout:
+    return jobs.Layout(shared_dir(spark, "landing"), shared_dir(spark, "warehouse"))
+
+
+def _runs(spark, sf_dir, run) -> jobs.Layout:
+    """A warehouse after a run for each step of a series with late readings and repeats."""
+    layout = _layout(spark)
+    path = shared_dir(spark, "arrivals")
+    inputs.arrivals(inputs.raw_readings(spark, sf_dir)).write.parquet(path)
+    rows = spark.read.parquet(path)
+    for step in range(inputs.STEPS):
+        inputs.land_step(spark, rows, step, layout.landed(MEASUREMENTS))
+        jobs.run_ingest(spark, layout, (MEASUREMENTS,))
+        run(layout)
+    return layout
+
+
+def job_measurements(spark, sf_dir):
+    """Landed files to rolling columns, a run a step; every batch is delivered twice."""
+
+    def run(layout):
+        def twice(responses, number):
+            for _ in range(2):
+                jobs.apply_responses(spark, layout, responses, number)
+
+        responses = stream_archive(spark, layout.archive, MEASUREMENTS)
+        _finish(ingest.apply_batches(responses, twice, layout.checkpoint("measurements")))
+
+    return read_table(spark, _runs(spark, sf_dir, run).rolling)
+
+
+def job_artifacts(spark, sf_dir):
+    """The four published tables after a run for each step."""
+    layout = _runs(spark, sf_dir, lambda layout: jobs.run_measurements(spark, layout))
+    published = [(grain, read_table(spark, layout.artifact(grain.suffix))) for grain in GRAINS]
+    tables = [rows.withColumn("grain", F.lit(grain.suffix)) for grain, rows in published if rows is not None]
+    rows = tables[0]
+    for table in tables[1:]:
+        rows = rows.unionByName(table)
+    return rows
+
+
+def job_closed_windows(spark, sf_dir):
+    """Rows that each left a run when their longest window had closed."""
+
+    def run(layout):
+        jobs.run_measurements(spark, layout, only_closed=True)
+
+    return read_table(spark, _runs(spark, sf_dir, run).rolling)
+
+
+def job_repair(spark, sf_dir):
+    """Runs with late readings, and then a repair of the dates that they concern."""
+    layout = _runs(spark, sf_dir, lambda layout: jobs.run_measurements(spark, layout))
+    jobs.repair(spark, layout)
+    return read_table(spark, layout.rolling)
+
+
+def _landed_stations(spark, sf_dir) -> jobs.Layout:
+    """All three feeds landed, the registers twice, the second time without some stations."""
+    layout = _layout(spark)
+    geo = inputs.geo_items(spark, sf_dir)
+    feeds = {
+        RAIN_STATIONS: (inputs.rain_register_items(spark, sf_dir), inputs.in_data),
+        WEATHER_STATIONS: (inputs.weather_register_items(spark, sf_dir), inputs.in_register),
+    }
+    for feed, (items, wrap) in feeds.items():
+        for day, landed in enumerate((items, items.filter(inputs.LANDED_AGAIN[feed])), start=1):
+            arrival = F.lit(f"2024-05-{day:02d}_12_01")
+            responses = inputs.as_responses(landed.withColumn("arrival", arrival), wrap, "arrival")
+            responses.write.mode("append").partitionBy("arrival").text(layout.landed(feed))
+    for day in (1, 2):
+        # Seen on the day of the order, so that the newest order tells where a station is.
+        part = geo.filter(F.pmod("o_orderkey", F.lit(2)) == day - 1)
+        seen = part.select(inputs.seen_item().alias("item"), F.lit(f"2024-05-{day:02d}_00_03").alias("arrival"))
+        responses = inputs.as_responses(seen, inputs.in_station_record, "arrival")
+        responses.write.mode("append").partitionBy("arrival").text(layout.landed(MEASUREMENTS))
+        jobs.run_ingest(spark, layout)
+        jobs.run_geography(spark, layout)
+        jobs.run_geography(spark, layout, latest_snapshot=True)
+    return layout
+
+
+def job_stations(spark, sf_dir):
+    """The station dimension out of landed files, every landed copy in it."""
+    layout = _landed_stations(spark, sf_dir)
+    jobs.run_stations(spark, layout)
+    return spark.read.parquet(layout.stations)
+
+
+def job_stations_latest(spark, sf_dir):
+    """The station dimension with the newest landed row of each station."""
+    layout = _landed_stations(spark, sf_dir)
+    jobs.run_stations(spark, layout, latest_snapshot=True)
+    return spark.read.parquet(layout.stations)
+
+
+def job_station_lists(spark, sf_dir):
+    """Existing and revoked stations, appended again by a second run."""
+    layout = _landed_stations(spark, sf_dir)
+    for _ in range(2):
+        jobs.run_stations(spark, layout, latest_snapshot=True, append_lists=True)
+    lists = [
+        spark.read.parquet(layout.artifact(f"{name}_stations")).withColumn("list", F.lit(name))
+        for name in ("existing", "revoked")
+    ]
+    return lists[0].unionByName(lists[1])
 
 
 QUERIES = {
@@ -474,7 +618,15 @@ QUERIES = {
     "rolling_sum": _rolling([DAILY], Measures(summed=WEATHER.summed)),
     "rolling_max": _rolling([DAILY], Measures(maxed=WEATHER.maxed)),
     "rolling_mode_station": rolling_mode_station,
+    "rolling_mode_day": _swept_mode("1 day"),
+    "rolling_mode_week": _swept_mode("1 week"),
+    "rolling_mode_month": _swept_mode("1 month"),
+    "rolling_mode_all_stations": _swept_mode("1 hour", station=None),
+    "rolling_mode_all_stations_week": _swept_mode("1 week", station=None),
     "mode_bucket_global": mode_bucket_global,
+    "rolling_90_minutes": _rolling_length("90 minutes", "long"),
+    "rolling_36_hours": _rolling_length("36 hours", "long"),
+    "rolling_3_months": _rolling_length("3 months", "quarterly"),
     "rolling_hour": _rolling([HOURLY]),
     "rolling_day": _rolling([DAILY]),
     "rolling_week": _rolling([WEEKLY]),
@@ -482,6 +634,7 @@ QUERIES = {
     "rolling_all": _rolling(GRAINS, all_columns=True),
     "rolling_fine_digits": rolling_fine_digits,
     "window_functions_hour": window_functions_hour,
+    "window_functions_digits": window_functions_digits,
     "dynamic_select_hourly": _dynamic_select(HOURLY),
     "dynamic_select_daily": _dynamic_select(DAILY),
     "dynamic_select_weekly": _dynamic_select(WEEKLY),
@@ -502,14 +655,25 @@ QUERIES = {
     "revoked_stations": revoked_stations,
     "geo_distinct": geo_distinct,
     "incremental_append": incremental_append,
-    "artifact_append": artifact_append,
+    "artifact_append": _artifact_append(HOURLY),
+    "artifact_append_daily": _artifact_append(DAILY),
+    "artifact_append_weekly": _artifact_append(WEEKLY),
+    "artifact_append_monthly": _artifact_append(MONTHLY),
     "late_data_drop": late_data_drop,
     "full_refresh": full_refresh,
     "closed_windows_only": closed_windows_only,
     "stream_file_ingest": stream_file_ingest,
     "stream_dedup": stream_dedup,
-    "stream_agg_hourly": stream_agg_hourly,
+    "stream_agg_hourly": _streamed_units(HOURLY),
+    "stream_agg_daily": _streamed_units(DAILY),
     "stream_closed_hours": stream_closed_hours,
-    "stream_agg_weekly": stream_agg_weekly,
+    "stream_agg_weekly": _streamed_units(WEEKLY),
     "stream_days_to_months": stream_days_to_months,
+    "job_measurements": job_measurements,
+    "job_artifacts": job_artifacts,
+    "job_closed_windows": job_closed_windows,
+    "job_repair": job_repair,
+    "job_stations": job_stations,
+    "job_stations_latest": job_stations_latest,
+    "job_station_lists": job_station_lists,
 }

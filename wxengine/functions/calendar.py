@@ -13,14 +13,15 @@ from pyspark.sql import Column, functions as F
 
 @dataclass(frozen=True)
 class Grain:
-    """One calendar grain: ``suffix`` names its columns, ``unit`` is its length."""
+    """One calendar grain: ``suffix`` names its columns, ``count`` units are its length."""
 
     suffix: str
     unit: str
+    count: int = 1
 
     @property
     def interval(self) -> str:
-        return f"1 {self.unit}"
+        return f"{self.count} {self.unit}"
 
 
 HOURLY = Grain("hourly", "hour")
@@ -30,6 +31,41 @@ MONTHLY = Grain("monthly", "month")
 GRAINS = (HOURLY, DAILY, WEEKLY, MONTHLY)
 
 
+# Lengths of the units that have one, in seconds.
+_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 7 * 86400}
+_MONTHS = {"month": 1, "quarter": 3, "year": 12}
+
+
+@dataclass(frozen=True)
+class Interval:
+    """A length of time: some months, clamped to a month's last day, or some seconds."""
+
+    months: int = 0
+    seconds: int = 0
+
+    @classmethod
+    def parse(cls, text: str) -> Interval:
+        """From text such as ``90 minutes`` or ``3 months``."""
+        amount, unit = text.split()
+        unit = unit.lower().rstrip("s")
+        if int(amount) <= 0 or unit not in _SECONDS | _MONTHS:
+            raise ValueError(f"not a length of time: {text!r}")
+        if unit in _MONTHS:
+            return cls(months=int(amount) * _MONTHS[unit])
+        return cls(seconds=int(amount) * _SECONDS[unit])
+
+    @property
+    def sql(self) -> str:
+        if self.months:
+            return f"INTERVAL '{self.months}' MONTH"
+        return f"INTERVAL '{self.seconds}' SECOND"
+
+    @property
+    def longest_days(self) -> int:
+        """Days that it never exceeds."""
+        return 31 * self.months if self.months else -(-self.seconds // 86400)
+
+
 def interval(text: str) -> Column:
     """Interval literal from text such as ``1 hour``."""
     amount, unit = text.split()

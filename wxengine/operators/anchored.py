@@ -2,8 +2,9 @@
 
 Only those anchor readings survive, so no window is needed: every reading counts for the
 unit it lies in, one on a boundary also for the unit before (intervals are closed at both
-ends), and one hash aggregation, partial before the shuffle, does the rest. What is taken
-from the anchor readings themselves comes from a join with just those. A station with no
+ends), and one hash aggregation, partial before the shuffle, does the rest. It keeps the
+anchor reading apart from the others, with what is taken from it as a key; the two rows of
+a unit are then added up. The readings are read and deduplicated once. A station with no
 reading exactly on the start of a unit has no row for it.
 """
 
@@ -11,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wxengine.functions.calendar import Grain, interval, is_anchor, trunc_to
+from wxengine.functions.calendar import Grain, interval, trunc_to
 from wxengine.functions.cleaning import station_class
 from wxengine.operators.measures import WEATHER, Measures
 
@@ -46,17 +47,19 @@ def anchored(
 
     ``from_anchor`` names columns taken from the anchor reading itself.
     """
-    states = readings.selectExpr(f"`{station}`", f"`{at}` AS _at", *measures.reading_state())
+    given = [f"`{c}`" for c in from_anchor]
+    states = readings.selectExpr(f"`{station}`", f"`{at}` AS _at", *given, *measures.reading_state())
     states = states.withColumn("_units", units_of(F.col("_at"), grain))
-    states = states.withColumn(at, F.explode("_units"))
-    units = states.groupBy(at, station).agg(
-        *[F.expr(item) for item in measures.merged_state()],
-        F.max(F.col("_at") == F.col(at)).alias("_anchored"),
+    states = states.withColumn(at, F.explode("_units")).withColumn("_anchored", F.col("_at") == F.col(at))
+    # The anchor reading is a group of its own, so that its text is a key and not aggregated.
+    keys = {c: F.when(F.col("_anchored"), F.col(c)) for c in from_anchor}
+    groups = states.withColumns(keys).groupBy(at, station, "_anchored", *from_anchor)
+    parts = groups.agg(*[F.expr(item) for item in measures.merged_state()])
+    whole = f"OVER (PARTITION BY `{at}`, `{station}`)"
+    units = parts.selectExpr(
+        f"`{station}`", f"`{at}`", "_anchored", *given, *measures.merged_state(over=whole)
     )
     anchored_units = units.filter("_anchored").withColumn("station_type", station_class(station))
-    if from_anchor:
-        anchors = readings.filter(is_anchor(F.col(at), grain)).select(at, station, *from_anchor)
-        anchored_units = with_anchor(anchored_units, anchors, station, at)
     return anchored_units.selectExpr(
-        f"`{station}`", *from_anchor, "station_type", f"`{at}`", *measures.values(grain.suffix)
+        f"`{station}`", *given, "station_type", f"`{at}`", *measures.values(grain.suffix)
     )

@@ -32,7 +32,7 @@ from wxengine.operators.measures import WEATHER, Measures
 
 # Roles of a placed row: a reading itself, or a start that completes a grain's intervals.
 _OWN = 0
-_ROLE = {HOURLY: 1, DAILY: 2, WEEKLY: 3, MONTHLY: 4}
+_ROLE = {"hour": 1, "day": 2, "week": 3, "month": 4}
 _RUNNING = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
 
@@ -42,22 +42,28 @@ def rolling(
     measures: Measures = WEATHER,
     station: str = "station_id",
     at: str = "measure_at",
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Add the rolling columns of ``measures`` for each grain.
 
-    The readings must be unique by station and time.
+    The readings must be unique by station and time. Grains are of one hour, day or week, and
+    at most one of any number of months.
+
+    ``days`` are the readings' station days (``day_totals``) where they are stored already;
+    the readings then need only be those of days on which wanted windows start or end.
     """
     if not grains:
         return readings
     hourly = HOURLY in grains
     by_day = any(grain != HOURLY for grain in grains)
-    long_grains = [grain for grain in grains if grain in (WEEKLY, MONTHLY)]
+    long_grains = [grain for grain in grains if grain.unit in ("week", "month")]
 
     blocks = _with_blocks(readings, measures, station, at, hourly, by_day)
     rows = _placed(blocks, readings.columns, grains, station)
     if long_grains:
-        days = _days_between(readings, long_grains, measures, station, at)
-        rows = rows.unionByName(days, allowMissingColumns=True)
+        days = day_totals(readings, measures, station, at) if days is None else days
+        between = _days_between(days, long_grains, measures, station)
+        rows = rows.unionByName(between, allowMissingColumns=True)
 
     # The day leads every sort, as it is cheaper to compare than the station.
     # Starts sort before own readings of the same time, as intervals are closed; the row of
@@ -67,7 +73,7 @@ def rolling(
     day_window = f"OVER (PARTITION BY _day, `{station}` ORDER BY {hour}{order})"
     hour_window = f"OVER (PARTITION BY _day, `{station}`, _hour ORDER BY {order})"
     found = [
-        f"last(IF(_role = {_ROLE[g]}, _start, NULL), true) {day_window} AS _start_{g.suffix}"
+        f"last(IF(_role = {_ROLE[g.unit]}, _start, NULL), true) {day_window} AS _start_{g.suffix}"
         for g in grains
         if g != HOURLY
     ] + [f"first(_{g.suffix}, true) {day_window} AS _between_{g.suffix}" for g in long_grains]
@@ -76,7 +82,7 @@ def rolling(
     if found:
         rows = rows.selectExpr("*", *found)
     if hourly:
-        start = f"last(IF(_role = {_ROLE[HOURLY]}, _start, NULL), true) {hour_window}"
+        start = f"last(IF(_role = {_ROLE['hour']}, _start, NULL), true) {hour_window}"
         rows = rows.selectExpr("*", f"{start} AS _start_hourly")
 
     totals, values = [], []
@@ -94,6 +100,12 @@ def _quoted(columns: Sequence[str]) -> list[str]:
     return [f"`{c}`" for c in columns]
 
 
+def _months(grains: Sequence[Grain]) -> int:
+    """Length of the one grain of months, 0 without one."""
+    (months,) = [g.count for g in grains if g.unit == "month"] or [0]
+    return months
+
+
 def _with_blocks(readings, measures, station, at, hourly, by_day) -> DataFrame:
     """Readings with the start and the rest of their day, and of their hour if needed."""
     day, tod = f"CAST(`{at}` AS DATE)", f"`{at}` - CAST(CAST(`{at}` AS DATE) AS TIMESTAMP_NTZ)"
@@ -141,21 +153,21 @@ def _placed(blocks: DataFrame, columns, grains, station) -> DataFrame:
     if HOURLY in grains:
         earlier = "_at - INTERVAL '1' HOUR"
         midnight = f"CAST(CAST({earlier} AS DATE) AS TIMESTAMP_NTZ)"
-        places.append(place(f"CAST({earlier} AS DATE)", f"{earlier} - {midnight}", _ROLE[HOURLY]))
+        places.append(place(f"CAST({earlier} AS DATE)", f"{earlier} - {midnight}", _ROLE['hour']))
     if DAILY in grains:
-        places.append(place("date_sub(_day, 1)", "_tod", _ROLE[DAILY]))
+        places.append(place("date_sub(_day, 1)", "_tod", _ROLE['day']))
     if WEEKLY in grains:
-        places.append(place("date_sub(_day, 7)", "_tod", _ROLE[WEEKLY]))
+        places.append(place("date_sub(_day, 7)", "_tod", _ROLE['week']))
     all_places = f"array({', '.join(places)})"
-    if MONTHLY in grains:
+    if months := _months(grains):
         # The last of a month is reached from up to four days (Feb 28 from Jan 28 to 31),
         # other days from one, and some from none (Mar 30 of a common year): NULL places.
-        before = [f"date_add(add_months(_day, -1), {later})" for later in range(4)]
-        months = [
-            f"IF(add_months({day}, 1) = _day, {place(day, '_tod', _ROLE[MONTHLY])}, NULL)"
+        before = [f"date_add(add_months(_day, -{months}), {later})" for later in range(4)]
+        ending = [
+            f"IF(add_months({day}, {months}) = _day, {place(day, '_tod', _ROLE['month'])}, NULL)"
             for day in before
         ]
-        usual, at_end = ", ".join([*places, months[0]]), ", ".join([*places, *months])
+        usual, at_end = ", ".join([*places, ending[0]]), ", ".join([*places, *ending])
         all_places = f"IF(_day = last_day(_day), array({at_end}), array({usual}))"
 
     # A reading without a time ends no interval but its own.
@@ -165,7 +177,7 @@ def _placed(blocks: DataFrame, columns, grains, station) -> DataFrame:
     by_hour, by_day = "_start_hour" in blocks.columns, "_start_day" in blocks.columns
     start = "_start_day" if by_day else "_start_hour"
     if by_hour and by_day:
-        start = f"IF(_place._role = {_ROLE[HOURLY]}, _start_hour, _start_day)"
+        start = f"IF(_place._role = {_ROLE['hour']}, _start_hour, _start_day)"
     own = f"_place._role = {_OWN}"
     kept = [c for c in columns if c != station]
     # As a column of its own the array is generated code also where explode is not.
@@ -181,24 +193,30 @@ def _placed(blocks: DataFrame, columns, grains, station) -> DataFrame:
     )
 
 
-def _days_between(readings, grains, measures, station, at) -> DataFrame:
-    """For each station and day, the state of the whole days inside its intervals."""
+def day_totals(
+    readings: DataFrame,
+    measures: Measures = WEATHER,
+    station: str = "station_id",
+    at: str = "measure_at",
+) -> DataFrame:
+    """State of each station day, with its date as ``_of``."""
     states = readings.selectExpr(
         f"`{station}`", f"CAST(`{at}` AS DATE) AS _of", *measures.reading_state()
     )
-    days = states.groupBy(station, "_of").agg(*[F.expr(e) for e in measures.merged_state()])
+    return states.groupBy(station, "_of").agg(*[F.expr(e) for e in measures.merged_state()])
+
+
+def _days_between(days, grains, measures, station) -> DataFrame:
+    """For each station and day, the state of the whole days inside its intervals."""
     # A month from day d spans a later day whole if it ends after it; a week if within six.
-    start = F.explode(F.expr("sequence(date_sub(_of, 31), date_sub(_of, 1))"))
-    spanned = {
-        WEEKLY: "_day >= date_sub(_of, 6)",
-        MONTHLY: "add_months(_day, 1) > _of",
-    }
-    if MONTHLY not in grains:
-        start = F.explode(F.expr("sequence(date_sub(_of, 6), date_sub(_of, 1))"))
+    months = _months(grains)
+    earliest = 31 * months if months else 6
+    start = F.explode(F.expr(f"sequence(date_sub(_of, {earliest}), date_sub(_of, 1))"))
+    spanned = {"week": "_day >= date_sub(_of, 6)", "month": f"add_months(_day, {months}) > _of"}
     merged = [
         F.expr(e)
         for grain in grains
-        for e in measures.merged_state(f"{grain.suffix}_", where=spanned[grain])
+        for e in measures.merged_state(f"{grain.suffix}_", where=spanned[grain.unit])
     ]
     between = days.withColumn("_day", start).groupBy(station, "_day").agg(*merged)
     return between.selectExpr(

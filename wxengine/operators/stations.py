@@ -57,20 +57,6 @@ STATION_COLUMNS = {
 }
 
 
-def full_outer_split(
-    left: DataFrame, right: DataFrame, key: str, right_key: str, known: DataFrame
-) -> DataFrame:
-    """Full outer join as a left outer join plus the right rows without a partner.
-
-    Both halves are joins that adaptive execution can split on a skewed key, which it does
-    not do for a full outer join. ``known`` holds the keys of the left side, in one column.
-    """
-    matched = left.join(right, F.col(key) == F.col(right_key), "left_outer")
-    known = known.toDF("_known").distinct()
-    alone = right.join(known, F.col(right_key) == F.col("_known"), "left_anti")
-    return matched.unionByName(alone, allowMissingColumns=True)
-
-
 def _prefixed(rows: DataFrame, prefix: str) -> DataFrame:
     return rows.withColumnsRenamed({c: prefix + c for c in rows.columns})
 
@@ -79,19 +65,48 @@ def _from_inputs(joined: DataFrame, columns: dict[str, tuple[str, ...]]) -> Data
     return joined.select(*[F.coalesce(*inputs).alias(name) for name, inputs in columns.items()])
 
 
+# So many copies of a row are written by one task at a time.
+COPIES_AT_ONCE = 10_000
+
+
+def _counted(rows: DataFrame, prefix: str, unique_keys: bool) -> DataFrame:
+    """Distinct rows under prefixed names, with the number of their copies."""
+    named = _prefixed(rows, prefix)
+    if unique_keys:
+        return named.withColumn(f"{prefix}copies", F.lit(1).cast("bigint"))
+    return named.groupBy(*named.columns).agg(F.count("*").alias(f"{prefix}copies"))
+
+
+def _copied(rows: DataFrame, copies: str) -> DataFrame:
+    """Each row as often as ``copies`` says.
+
+    A row with many copies is dealt into parts of bounded size, which are then spread over
+    tasks, so that a key with a third of all copies is written by as many tasks.
+    """
+    parts = F.expr(f"sequence(0L, (`{copies}` - 1) DIV {COPIES_AT_ONCE})")
+    dealt = rows.withColumn("_part", F.explode(parts)).hint("rebalance")
+    size = f"least({COPIES_AT_ONCE}L, `{copies}` - _part * {COPIES_AT_ONCE})"
+    again = dealt.withColumn("_copy", F.explode(F.expr(f"array_repeat(0, CAST({size} AS INT))")))
+    return again.drop("_part", "_copy", copies)
+
+
+def _registers(rain: DataFrame, weather: DataFrame, unique_keys: bool) -> DataFrame:
+    """Full outer join of distinct rows of the two registers, with their number of copies."""
+    left, right = _counted(rain, "r_", unique_keys), _counted(weather, "w_", unique_keys)
+    joined = left.join(right, F.col("r_station_id") == F.col("w_station_id"), "full_outer")
+    copies = F.coalesce("r_copies", F.lit(1)) * F.coalesce("w_copies", F.lit(1))
+    return _from_inputs(joined.withColumn("copies", copies), REGISTER_COLUMNS | {"copies": ("copies",)})
+
+
 def rain_with_weather(rain: DataFrame, weather: DataFrame, unique_keys: bool = False) -> DataFrame:
     """Full outer join of the two registers.
 
-    Registers that were landed k and m times give k*m rows per station; ``unique_keys``
-    promises one row per station on either side.
+    Registers that were landed k and m times give k*m rows per station. Copies are counted
+    before the join, which then sees each distinct row once, and written out after it.
+    ``unique_keys`` promises one row per station on either side.
     """
-    left, right = _prefixed(rain, "r_"), _prefixed(weather, "w_")
-    if unique_keys:
-        joined = left.join(right, F.col("r_station_id") == F.col("w_station_id"), "full_outer")
-    else:
-        known = rain.select("station_id")
-        joined = full_outer_split(left, right, "r_station_id", "w_station_id", known)
-    return _from_inputs(joined, REGISTER_COLUMNS)
+    joined = _registers(rain, weather, unique_keys)
+    return joined.drop("copies") if unique_keys else _copied(joined, "copies")
 
 
 def all_stations(
@@ -102,18 +117,14 @@ def all_stations(
     The class of a station known only from measurements is that of a missing id, whatever
     its prefix, and it has neither name nor altitude.
     """
-    registers = _prefixed(rain_with_weather(rain, weather, unique_keys), "s_")
-    seen = _prefixed(geo, "g_")
-    if unique_keys:
-        joined = registers.join(
-            seen, F.col("s_station_id") == F.col("g_station_id"), "full_outer"
-        )
-    else:
-        # The joined registers know exactly the ids of either register.
-        known = rain.select("station_id").unionAll(weather.select("station_id"))
-        joined = full_outer_split(registers, seen, "s_station_id", "g_station_id", known)
+    registers = _prefixed(_registers(rain, weather, unique_keys), "s_")
+    seen = _counted(geo, "g_", unique_keys)
+    joined = registers.join(seen, F.col("s_station_id") == F.col("g_station_id"), "full_outer")
     joined = joined.withColumn("s_station_type", station_class("s_station_id"))
-    return _from_inputs(joined, STATION_COLUMNS)
+    copies = F.coalesce("s_copies", F.lit(1)) * F.coalesce("g_copies", F.lit(1))
+    joined = joined.withColumn("copies", copies)
+    stations = _from_inputs(joined, STATION_COLUMNS | {"copies": ("copies",)})
+    return stations.drop("copies") if unique_keys else _copied(stations, "copies")
 
 
 def existing_stations(stations: DataFrame) -> DataFrame:

@@ -24,15 +24,29 @@ def station_dimension(
     geography of the newest response first. Values that do not fit their types are errors,
     or NULL when ``lenient``.
     """
+    if latest_snapshot:
+        geo = newest_geo(geo_seen(measurement_responses, lenient))
+    else:
+        geo = staging.station_geo(measurement_responses, lenient)
+    return dimension(rain_responses, weather_responses, geo, latest_snapshot, lenient)
+
+
+def dimension(
+    rain_responses: DataFrame,
+    weather_responses: DataFrame,
+    geo: DataFrame,
+    latest_snapshot: bool = False,
+    lenient: bool = False,
+) -> DataFrame:
+    """The same with the geography of the measuring stations given, for example stored."""
     if not latest_snapshot:
         return all_stations(
             staging.rain_stations(rain_responses, lenient),
             staging.weather_stations(weather_responses, lenient),
-            staging.station_geo(measurement_responses, lenient),
+            geo,
         )
     rain = _latest(staging.rain_stations(rain_responses, lenient, keep_file=True))
     weather = _latest(staging.weather_stations(weather_responses, lenient, keep_file=True))
-    geo = _latest_geo(measurement_responses, lenient)
     return all_stations(rain, weather, geo, unique_keys=True)
 
 
@@ -43,10 +57,19 @@ def _latest(register: DataFrame) -> DataFrame:
     return latest_per_key(register, ("station_id",), order).drop("_arrived", "landed_file")
 
 
-def _latest_geo(responses: DataFrame, lenient: bool = False) -> DataFrame:
+# Which of a station's descriptions is the newest.
+GEO_ORDER = ("_seen", "landed_file", *(c for c, _, _ in staging.GEO_FIELDS if c != "station_id"))
+
+
+def geo_seen(responses: DataFrame, lenient: bool = False) -> DataFrame:
+    """Geography of every reading, with its time as ``_seen`` and its file."""
     items = staging.stations_in_records(responses)
     fields = [staging.field("item", path, to, lenient).alias(c) for c, path, to in staging.GEO_FIELDS]
-    seen = items.select(*fields, "landed_file", staging.observed_at("item", lenient=lenient).alias("_seen"))
-    payload = [c for c, _, _ in staging.GEO_FIELDS if c != "station_id"]
-    order = ("_seen", "landed_file", *payload)
-    return latest_per_key(seen, ("station_id",), order).drop("_seen", "landed_file")
+    return items.select(
+        *fields, "landed_file", staging.observed_at("item", lenient=lenient).alias("_seen")
+    )
+
+
+def newest_geo(seen: DataFrame) -> DataFrame:
+    """The newest description of each station."""
+    return latest_per_key(seen, ("station_id",), GEO_ORDER).drop("_seen", "landed_file")

@@ -15,6 +15,7 @@ MEASUREMENTS = "weather_record"
 WEATHER_STATIONS = "weather_station_info"
 RAIN_STATIONS = "rain_fall_station"
 ARCHIVED = ("value", "landed_file", "arrived_at")
+_ARCHIVE_SCHEMA = "value variant, landed_file string, arrived_at timestamp_ntz"
 ARRIVAL_IN_NAME = r"(\d{4}-\d{2}-\d{2})_(\d{2})_(\d{2})"
 
 
@@ -54,6 +55,17 @@ def arrived_at(landed_file: Column | str) -> Column:
     )
 
 
+def stream_archive(
+    spark: SparkSession, archive: str, feed: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """Responses of a feed as a stream of what ``streaming.ingest`` newly archives."""
+    schema = f"{_ARCHIVE_SCHEMA}, ingest_date date"
+    reader = spark.readStream.schema(schema).format("parquet")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(archive_path(archive, feed))
+
+
 def with_arrival(responses: DataFrame) -> DataFrame:
     """Add arrival minute and arrival date, the partition of the archive."""
     arrived = responses.withColumn("arrived_at", arrived_at("landed_file"))
@@ -117,8 +129,7 @@ def read_archive(
     streamed = _stored(spark, archive_path(archive, feed))
     compacted = _stored(spark, compacted_path(archive, feed))
     if streamed is None and compacted is None:
-        schema = "value variant, landed_file string, arrived_at timestamp_ntz, ingest_date date"
-        responses = spark.createDataFrame([], schema)
+        responses = spark.createDataFrame([], f"{_ARCHIVE_SCHEMA}, ingest_date date")
     elif compacted is None:
         responses = streamed
     elif streamed is None:
