@@ -8,11 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
+
 PIECE_BYTES = 1 << 22
 _SEGMENT = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -141,6 +144,16 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix(total)
 
 
+def slices(batch: pa.RecordBatch, text: str, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in order, in parts of about ``most`` bytes of text, one row at least."""
+    sizes = pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes, dtype=np.int64) // most
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+    for a, b in pairwise(cuts):
+        if a < b:
+            yield batch.slice(a, b - a)
+
+
 def map_batches(
     frame: DataFrame,
     schema: str,

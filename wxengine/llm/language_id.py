@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wxengine.llm.arrow_text import map_batches
+from wxengine.llm.arrow_text import map_batches, slices
 
 UNKNOWN = "und"
 ROWS_PER_LANGUAGE = 4_000
@@ -38,7 +38,8 @@ GRAMS_PER_LANGUAGE = 20_000
 LANGUAGES = 256
 LONGEST = 4
 _BACKOFF = float(np.log(0.4))
-_MEMO = 300_000
+_MEMO = 100_000
+_COUNTED_BYTES = 2 << 20
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -132,7 +133,12 @@ def _sample(rows: DataFrame, per_language: int) -> DataFrame:
 
 
 def _counted(batch: pa.RecordBatch) -> Iterator[dict]:
-    """(size, term, language, count) over a batch; size 0 is a whole word."""
+    """(size, term, language, count), size 0 being a whole word, over parts of a batch."""
+    for part in slices(batch, "text", _COUNTED_BYTES):
+        yield _counts(part)
+
+
+def _counts(batch: pa.RecordBatch) -> dict:
     counts: dict[tuple[int, str], Counter[str]] = {}
     langs = batch.column("lang").to_pylist()
     for text, lang in zip(batch.column("text").to_pylist(), langs, strict=True):
@@ -148,7 +154,7 @@ def _counted(batch: pa.RecordBatch) -> Iterator[dict]:
             counts[(size, lang)] = table
     flat = [(s, t, lang, n) for (s, lang), table in counts.items() for t, n in table.items()]
     columns = list(zip(*flat, strict=True)) or [(), (), (), ()]
-    yield dict(zip(("size", "term", "lang", "n"), map(list, columns), strict=True))
+    return dict(zip(("size", "term", "lang", "n"), map(list, columns), strict=True))
 
 
 def fit(
@@ -202,7 +208,8 @@ def predicted(text: Column, model: Broadcast) -> Column:
     @F.arrow_udf("struct<lang_pred:string,score:double>")
     def predict(texts: pa.Array) -> pa.Array:
         scored = (model.value.predict(value.as_py()) for value in texts)
-        return pa.array([{"lang_pred": lang, "score": s} for lang, s in scored], type=kind)
+        found = pa.array([{"lang_pred": lang, "score": s} for lang, s in scored], type=kind)
+        return found
 
     return predict(text)
 

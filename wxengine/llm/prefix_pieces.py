@@ -38,16 +38,16 @@ from itertools import chain, compress, pairwise
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from wxengine.llm.arrow_text import slices
+
 MARK = "▁"
 # Fixed values of the model's file format: field numbers, kinds of pieces, kind of model.
 _PIECES, _TRAINER, _NORMALIZER = 1, 2, 3
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
 _BPE = 2
 _REMEMBERED_UNITS, _LONGEST_REMEMBERED, _REMEMBERED_PAIRS = 150_000, 64, 400_000
-_SLICE_BYTES = 4 << 20
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -210,16 +210,6 @@ def read_model(path: str) -> bytes:
         return file.read()
 
 
-def slices(batch: pa.RecordBatch, text: str, most: int = _SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows of a batch in order, in parts of about ``most`` bytes of text, one row at least."""
-    sizes = pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(sizes, dtype=np.int64) // most
-    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
-    for a, b in pairwise(cuts):
-        if a < b:
-            yield batch.slice(a, b - a)
-
-
 def id_lists(ids: list[np.ndarray]) -> pa.Array:
     """Arrays of 32-bit numbers as one column of lists."""
     offsets = np.zeros(len(ids) + 1, np.int32)

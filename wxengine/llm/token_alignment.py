@@ -40,9 +40,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from sentencepiece import SentencePieceProcessor
 
+from wxengine.llm.arrow_text import slices
 from wxengine.llm.bpe import Codec, Numbers
 from wxengine.llm.chunks import ragged_take
-from wxengine.llm.prefix_pieces import MARK, pieces_of, slices
+from wxengine.llm.prefix_pieces import MARK, pieces_of
 from wxengine.session import shared_dir
 
 CHUNK_BYTES = 4 << 20
