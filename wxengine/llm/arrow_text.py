@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
+from wxengine.llm.memory import give_back
 
 PIECE_BYTES = 1 << 22
 _SEGMENT = 1 << 20
@@ -173,6 +174,7 @@ def map_batches(
                     ],
                     schema=arrow,
                 )
+        give_back()
 
     return frame.mapInArrow(run, schema)
 

@@ -38,6 +38,7 @@ from wxengine.llm.chunks import (
     unpacked_chunk,
     with_chunks,
 )
+from wxengine.llm.memory import give_back
 
 # Fixed value: the pattern of byte-level pre-tokenization.
 PATTERN = (
@@ -152,7 +153,9 @@ def _distinct(codec: Codec, buckets: int):
         for word in found:
             lists.setdefault(bucket_of(word, buckets), []).append(word)
         compress = zstandard.ZstdCompressor().compress
-        blobs = (compress(json.dumps(sorted(own), ensure_ascii=False).encode()) for own in lists.values())
+        blobs = [compress(json.dumps(sorted(own), ensure_ascii=False).encode()) for own in lists.values()]
+        found.clear()
+        give_back()
         return pa.table(
             {
                 "_chunk": pa.array([key[0].as_py()] * len(lists), pa.int32()),
@@ -230,6 +233,7 @@ def _assembler(codec: Codec, keep: tuple[str, ...], buckets: int):
             all_ids.append(taken.tobytes())
             all_texts.append(codec.decode_ids(taken))
         columns = pa.concat_tables(kept).columns
+        give_back()
         return pa.table(
             [*columns, pa.array(all_ids, pa.binary()), pa.array(all_texts, pa.string())],
             names=[*keep, "ids", "decoded"],

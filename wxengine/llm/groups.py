@@ -14,6 +14,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from wxengine.llm.memory import give_back
+
 
 def comparison_tasks(
     rows: DataFrame, group: list[str], id_col: str, limit: int, weight: Column | None = None
@@ -74,6 +76,7 @@ def run_tasks(
                 yield from whole(head)
         if waiting:
             yield from whole(pd.concat(waiting, ignore_index=True))
+        give_back()
 
     dealt = tasks.repartition("_task").sortWithinPartitions("_task")
     return dealt.mapInPandas(run, schema)

@@ -30,6 +30,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wxengine.llm.arrow_text import map_batches, slices
+from wxengine.llm.memory import give_back
 
 UNKNOWN = "und"
 ROWS_PER_LANGUAGE = 4_000
@@ -209,6 +210,7 @@ def predicted(text: Column, model: Broadcast) -> Column:
     def predict(texts: pa.Array) -> pa.Array:
         scored = (model.value.predict(value.as_py()) for value in texts)
         found = pa.array([{"lang_pred": lang, "score": s} for lang, s in scored], type=kind)
+        give_back()
         return found
 
     return predict(text)
