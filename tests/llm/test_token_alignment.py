@@ -96,6 +96,8 @@ ROWS = [
     (None, "an id of null"),
     (8, "tttttttttt" * 200 + " word" * 300),
     (9, " "),
+    # Blanks of many kinds where texts begin and end.
+    *((10 + k, text) for k, text in enumerate(["abc\n", "\nfoo", "x \t", "\t y", "\u3000z", " \xa0 w", "v\xa0", "\r\n", "abc\n\n", "\n \nfoo bar  ", "  two"])),
 ]
 
 

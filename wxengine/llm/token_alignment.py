@@ -269,10 +269,11 @@ class Aligner:
 
     def _learn(self, new: list[str]) -> None:
         """Align new stretches, many of them joined to one text."""
-        # A mark is a blank to the second tokenizer, and the bytes differ. What ends with a
-        # blank has no border behind it, and what is a blank alone no token for the second.
-        alone = [s for s in new if MARK not in s and len(s) > 1 and s[-1] == " "]
-        joined = [s for s in new if MARK not in s and s[-1] != " "]
+        # A mark is a blank to the second tokenizer, and the bytes differ. A text's first stretch
+        # may begin without a border, and its last end with a blank, which borders nothing.
+        usable = [s for s in new if MARK not in s and len(s) > 1]
+        alone = [s for s in usable if s[-1] == " " or not _BORDERS.match(s)]
+        joined = [s for s in usable if s[-1] != " " and _BORDERS.match(s)]
         texts = [[s] for s in alone] + [joined[i : i + _JOINED] for i in range(0, len(joined), _JOINED)]
         found, a_ends, b_ends, sound = self._encoder.align(["".join(own) for own in texts])
         if not sound.all():
