@@ -110,6 +110,15 @@ def test_edges_against_brute_force(spark, make_docs, libraries, contents):
         assert got == {pair: (n, n == highest[pair[1]]) for pair, n in counts.items()}
 
 
+def test_one_blank_at_the_end(spark, make_docs, libraries, contents):
+    texts = ["abc ", "two words ", "line\n ", "\t ", "1 ", "é\u00a0 ", "日本 ", "<s> ", "abc", "two words"]
+    rows = list(enumerate(texts))
+    want, *_ = brute(libraries, rows)
+    docs, _ = token_alignment.align_documents(make_docs(rows), *contents)
+    assert found(docs) == want
+    assert all(n_a > 0 for _, n_a, *_ in want)
+
+
 def test_empty_table(spark, make_docs, contents):
     docs, pairs = token_alignment.align_documents(make_docs([]), *contents)
     assert docs.collect() == [] and pairs.collect() == []

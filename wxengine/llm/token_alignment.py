@@ -184,16 +184,6 @@ class _Side:
         return ids, total[ends] - total[ends - sizes], bad[ends] == bad[ends - sizes]
 
 
-# Neither tokenizer has a token across a single blank before a character that is none: the
-# blank begins one of both. Characters beyond these could be blanks to one of them.
-_BORDERS = re.compile("(?<! )(?= [!-~\u00A1-\u024F])")
-
-
-def stretches(text: str | None) -> list[str]:
-    """A blank and the text, cut where both tokenizers do; nothing of a null or empty text."""
-    return [part for part in _BORDERS.split(" " + text) if part] if text else []
-
-
 class Encoder:
     """Encodes texts with both tokenizers and aligns the tokens."""
 
@@ -203,9 +193,13 @@ class Encoder:
         pieces = pieces_of(b_model)
         library = SentencePieceProcessor(model_proto=b_model)
 
+        lone = [library.piece_to_id(MARK)]
+
         def unmarked(units: list[str]) -> list[list[int]]:
-            # The library puts the first mark in front itself.
-            return library.encode([u[1:].replace(MARK, " ") for u in units], num_threads=1)
+            # The library puts the first mark in front itself, but not before an empty text: the
+            # blank that a text ends with is a unit of one mark.
+            coded = library.encode([u[1:].replace(MARK, " ") for u in units], num_threads=1)
+            return [lone if u == MARK else ids for u, ids in zip(units, coded, strict=True)]
 
         a_pieces = [codec.pieces.get(i, b"") for i in range(max(codec.pieces) + 1)]
         self._a = _Side(codec.split, codec.encode_words, str.encode, a_pieces)
