@@ -6,7 +6,7 @@ from pathlib import Path
 import payloads
 import pytest
 
-from wxengine.functions.calendar import DAILY, HOURLY
+from wxengine.functions.calendar import DAILY, GRAINS, HOURLY
 from wxengine.operators.measures import Measures
 from wxengine.operators.select_suffix import publish
 from wxengine.plans import jobs
@@ -132,6 +132,21 @@ def test_high_water_mark_is_over_all_stations(spark, tmp_path):
     assert found == {("466920", at(5)), ("466920", at(6)), ("C0A520", at(7))}
 
 
+def test_a_run_computes_its_readings_once(spark, tmp_path):
+    seen, target = spark.sparkContext.accumulator(0), str(tmp_path / "t")
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    for until in (10, 20):
+        readings = frame(spark, range(until)).coalesce(1).mapInArrow(counted, READINGS)
+        update_rolling(spark, readings, target, GRAINS, MEASURES)
+    assert seen.value == 10 + 20
+    assert read_table(spark, target).count() == 20
+
+
 def test_only_closed_runs_end_like_one_run(spark, tmp_path):
     once, twice = str(tmp_path / "once"), str(tmp_path / "twice")
     update_rolling(spark, frame(spark, range(40)), once, [HOURLY], MEASURES, only_closed=True)
