@@ -1,4 +1,5 @@
 import hashlib
+import os
 import struct
 
 import public_tokenizers
@@ -101,3 +102,9 @@ def test_texts_are_decoded_from_the_ids_of_each_document(codec, library):
     emitted = struct.unpack("<3I", got["ids"])
     assert emitted == (ids[2][0], ids[1][0], ids[0][0])
     assert got["decoded"] == library.decode(list(emitted)) == "odd ten six"
+
+
+def test_tasks_encode_without_threads(monkeypatch):
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    bpe.read_codec(PATH).encode_words(["a", "b"])
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"

@@ -146,3 +146,14 @@ def test_groups_and_links():
     names = token_alignment.group_names(found, token_alignment.Names(4, "|"), token_alignment.Names(10, ";"))
     assert "".join(names) == "1,2|7,8;3|9;"
     assert list(zip(*found.links, strict=True)) == [(1, 7), (2, 7), (2, 8), (3, 9)]
+
+
+def test_a_side_finds_each_unsound_part():
+    pieces = [b"a", b"b", b"ab"]
+    ids = {"ab": [2], "a": [0, 1], "b": [], "x": [1]}
+    for parts in (["ab"], ["ab", "a", "b"], ["x", "ab"]):
+        side = token_alignment._Side(list, lambda new: [ids[p] for p in new], str.encode, pieces)
+        side._learn(parts)
+        # "a" and "b" give the bytes "ab" together, but neither gives its own.
+        assert side._sound.tolist() == [p == "ab" for p in parts]
+        assert side._counts.tolist() == [len(ids[p]) for p in parts]

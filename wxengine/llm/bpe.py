@@ -19,6 +19,7 @@ those that go along.
 from __future__ import annotations
 
 import json
+import os
 import re
 from functools import cached_property, lru_cache
 
@@ -77,6 +78,8 @@ class Codec:
 
     @cached_property
     def _tokenizer(self) -> Tokenizer:
+        # A task has one core; the library's threads would only wait for each other beside it.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         tokenizer = Tokenizer.from_str(self.content)
         tokenizer.no_truncation()
         tokenizer.no_padding()

@@ -78,15 +78,15 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
 
 
 class Memo(dict):
-    """Remembers answers for keys as they are asked."""
+    """Remembers answers for keys up to a length as they are asked."""
 
-    def __init__(self, answer, worth=None) -> None:
+    def __init__(self, answer, longest: int) -> None:
         super().__init__()
-        self._answer, self._worth = answer, worth
+        self._answer, self._longest = answer, longest
 
     def __missing__(self, key):
         value = self._answer(key)
-        if self._worth is None or self._worth(key):
+        if len(key) <= self._longest:
             self[key] = value
         return value
 
@@ -130,8 +130,8 @@ class Pieces:
             if k == _NORMAL:
                 self._automaton.add_word(p, i)
         self._automaton.make_automaton()
-        self._fits = Memo(self._is_pair)
-        self._known = Memo(self._encode_unit, lambda unit: len(unit) <= _LONGEST_REMEMBERED)
+        self._fits = Memo(self._is_pair, 2)
+        self._known = Memo(self._encode_unit, _LONGEST_REMEMBERED)
 
     @staticmethod
     def _decoded(piece: str, score: float, kind: int) -> bytes:
@@ -163,21 +163,23 @@ class Pieces:
 
     def _encode_unit(self, unit: str) -> tuple[int, ...]:
         sizes, fits = self._sizes, self._fits
-        # The last token of each prefix; none at the front and after a character without a piece.
+        # The last token of each prefix, by the place of its last character; none at the front,
+        # which is at -1, and after a character without a piece.
         last: list[int | None] = [None] * (len(unit) + 1)
         for end, token in self._automaton.iter(unit):
-            if last[end + 1] is None and fits[last[end + 1 - sizes[token]], token]:
-                last[end + 1] = token
-        ids, end = [], len(unit)
-        while end:
+            if last[end] is None and fits[last[end - sizes[token]], token]:
+                last[end] = token
+        ids, end = [], len(unit) - 1
+        while end >= 0:
             token = last[end]
             if token is None:
-                ids += [self._byte_ids[b] for b in reversed(unit[end - 1].encode())]
+                ids += [self._byte_ids[b] for b in reversed(unit[end].encode())]
                 end -= 1
             else:
                 ids.append(token)
                 end -= sizes[token]
-        return tuple(reversed(ids))
+        ids.reverse()
+        return tuple(ids)
 
     def units(self, text: str | None) -> list[str]:
         """The escaped text in parts that no piece crosses."""
@@ -236,9 +238,12 @@ def encode_decode(
         pieces = pieces_of(model)
         for batch in batches:
             for part in slices(batch, "_text"):
-                ids = [np.array(pieces.encode(t.as_py()), np.int32) for t in part.column("_text")]
-                decoded = pa.array([pieces.decode(own.tolist()) for own in ids], pa.string())
-                columns = [*part.columns[:-1], id_lists(ids), decoded]
+                ids, texts = [], []
+                for text in part.column("_text"):
+                    own = pieces.encode(text.as_py())
+                    ids.append(np.array(own, np.int32))
+                    texts.append(pieces.decode(own))
+                columns = [*part.columns[:-1], id_lists(ids), pa.array(texts, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*inner, "ids", "decoded"])
 
     kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in inner)
