@@ -142,3 +142,42 @@ def test_every_pair_of_a_group_meets_in_one_task(spark):
                 if a["id"] < b["id"] and (a["_side"] == 0 or a["_side"] != b["_side"]):
                     met[(a["g"], a["id"], b["id"])] = met.get((a["g"], a["id"], b["id"]), 0) + 1
     assert met == {(1, i, j): 1 for i in range(50) for j in range(i + 1, 50)} | {(3, 1, 2): 1}
+
+
+def test_bitmaps_of_unrelated_sets_leave_no_room_for_a_link():
+    """At four fifths too, and for sets just under a power of two."""
+    draw = np.random.default_rng(4)
+    for percent in (80, 90):
+        for n in (250, 490, 1000):
+            one, two = (np.unique(draw.integers(0, 1 << 63, n, np.uint64)) for _ in range(2))
+            bits = [np.frombuffer(ngram_join._bitmap(s, percent), np.uint64) for s in (one, two)]
+            tree = ngram_join.Tree(np.arange(2), np.stack(bits), np.array([len(one), len(two)]))
+            leaves, i, j = tree.levels[0], np.array([0]), np.array([1])
+            assert not ngram_join._possible(leaves, leaves, i, j, percent).any()
+
+
+def test_groups_of_one_value_make_no_tasks(spark):
+    rows = spark.createDataFrame([(1, 1, 5), (1, 2, 5), (2, 3, 5), (2, 4, 6), (3, 5, 6)], "g int, id int, f int")
+    tasks = comparison_tasks(rows, ["g"], "id", 7, mixed="f").collect()
+    assert sorted(r["id"] for r in tasks) == [3, 4]
+
+
+@pytest.mark.parametrize("limit", [None, 5])
+def test_document_links_at_four_fifths(make_docs, monkeypatch, limit):
+    """The pipeline's rule, with sets of all sizes in one task."""
+    if limit:
+        monkeypatch.setattr(ngram_join, "_SIGNATURES", limit)
+        monkeypatch.setattr(ngram_join, "_SHINGLES", 3000)
+    rows = near_copies(7)
+    # Shared ends bring texts of many lengths together in one task.
+    tail = " ".join(f"tail{k}" for k in range(12))
+    rows += [(1000 + k, " ".join(f"w{k}x{i}" for i in range(4 * k)) + " " + tail) for k in range(1, 30)]
+    sets = {i: shingles(t) for i, t in rows}
+    links = [
+        (i, j)
+        for i in sets
+        for j in sets
+        if i < j and sets[i] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])
+    ]
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.link_documents(make_docs(rows), percent=80).collect()}
+    assert got == reach(sets, links)

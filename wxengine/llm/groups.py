@@ -18,15 +18,26 @@ from wxengine.llm.memory import give_back
 
 
 def comparison_tasks(
-    rows: DataFrame, group: list[str], id_col: str, limit: int, weight: Column | None = None
+    rows: DataFrame,
+    group: list[str],
+    id_col: str,
+    limit: int,
+    weight: Column | None = None,
+    mixed: str | None = None,
 ) -> DataFrame:
     """Rows of groups with at least two, with the columns ``_task`` and ``_side``.
 
     A task on a single block has side 0; in one on two blocks each row has its block's side,
-    1 or 2. ``weight`` lets heavy rows make for more blocks.
+    1 or 2. ``weight`` lets heavy rows make for more blocks. With ``mixed`` groups that have
+    only one value in that column are left out.
     """
     measure = F.sum(weight) if weight is not None else F.count("*")
-    sizes = rows.groupBy(*group).agg(F.count("*").alias("_n"), measure.alias("_weight"))
+    measures = [F.count("*").alias("_n"), measure.alias("_weight")]
+    if mixed is not None:
+        measures.append((F.min(mixed) < F.max(mixed)).alias("_mixed"))
+    sizes = rows.groupBy(*group).agg(*measures)
+    if mixed is not None:
+        sizes = sizes.where("_mixed")
     blocks = F.greatest(F.lit(1), F.ceil(F.col("_weight") / F.lit(float(limit)))).cast("int")
     sizes = sizes.where("_n > 1").select(*group, blocks.alias("_blocks"))
     own = F.pmod(F.xxhash64(F.lit("block"), F.col(id_col)), F.col("_blocks")).cast("int")

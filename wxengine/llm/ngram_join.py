@@ -35,8 +35,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wxengine.llm.arrow_text import NOT_SPACE, map_batches, pieces, utf8, windows, words
 from wxengine.llm.components import components
@@ -87,9 +88,19 @@ def _sketch(rows: DataFrame, size: int) -> np.ndarray:
     return sketch
 
 
-def _bitmap(shingles: np.ndarray) -> bytes:
-    """The set in as many bits as it has shingles, or half; a power of two, so it can fold."""
-    width = 1 << max(6, (len(shingles) - 1).bit_length() - 1)
+def _width(n: int, percent: int) -> int:
+    """Bits for the bitmap of a set: a power of two, so it can fold, of half its size or more.
+
+    Sets of two shingles a bit leave room for 0.94 of their size in common even where they have
+    nothing to do with each other, those of one a bit for 0.77.
+    """
+    halved = 200 * percent > 94 * (100 + percent)
+    return 1 << max(6, (n - 1).bit_length() - halved)
+
+
+def _bitmap(shingles: np.ndarray, percent: int) -> bytes:
+    """The set in bits by its shingles' lowest bits."""
+    width = _width(len(shingles), percent)
     bits = np.zeros(width, dtype=bool)
     bits[shingles & np.uint64(width - 1)] = True
     return np.packbits(bits, bitorder="little").tobytes()
@@ -113,7 +124,7 @@ def _signatures(rows: DataFrame, sketch: Broadcast, size: int, percent: int) ->
             rare = np.lexsort((own, level[own >> np.uint64(64 - _SKETCH_BITS)]))
             prefix = np.sort(own[rare[: n - -(-percent * n // 100) + 1]])
             out["keys"].append(prefix.view(np.int64))
-            out["bits"].append(_bitmap(own))
+            out["bits"].append(_bitmap(own, percent))
         yield {"_id": batch.column("_id"), **out}
 
     kind = rows.schema["_id"].dataType.simpleString()
@@ -268,11 +279,26 @@ def sizes_fit(sizes: np.ndarray, percent: int) -> bool:
     return bool((100 * ascending[:-1] >= percent * ascending[1:]).any())
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """The rows' ids and their texts compressed, as a text goes through two shuffles."""
+
+    def pack(batch: pa.RecordBatch) -> Iterator[dict]:
+        compress = zstandard.ZstdCompressor(level=1).compress
+        texts = (text.as_buffer() for text in batch.column("_text"))
+        yield {"_id": batch.column("_id"), "_packed": [compress(text) for text in texts]}
+
+    kind = rows.schema["_id"].dataType.simpleString()
+    return map_batches(rows, f"_id {kind}, _packed binary", pack)
+
+
 def _linked(percent: int, size: int):
     """Join the documents of a task whose shingle sets link."""
 
     def join(rows: pa.Table) -> pa.Table:
-        sets = list(shingle_sets(rows.column("_text").combine_chunks(), size))
+        expand = zstandard.ZstdDecompressor().decompress
+        texts = [expand(text.as_buffer()) for text in rows.column("_packed")]
+        sets = list(shingle_sets(pa.array(texts, pa.large_binary()), size))
+        del texts
         links = Links(rows.column("rep").to_pylist())
         sizes = np.array([len(own) for own in sets], dtype=np.int64)
         distinct, place, count = np.unique(
@@ -315,11 +341,13 @@ def _stored(frame: DataFrame, label: str) -> DataFrame:
 
 def _round(classes: DataFrame, keys: Column, percent: int) -> DataFrame:
     """Edges between classes of different families that share a key and may link."""
-    rows = classes.select("rep", "family", F.explode(keys).alias("key"))
-    mixed = rows.groupBy("key").agg(F.min("family").alias("low"), F.max("family").alias("high"))
-    mixed = mixed.where("low < high").select("key")
-    rows = rows.join(mixed, "key", "left_semi")
-    tasks = comparison_tasks(rows, ["key"], "rep", _SIGNATURES)
+    rows = classes.select("rep", "family", "size", F.explode(keys).alias("key"))
+    tasks = comparison_tasks(rows, ["key"], "rep", _SIGNATURES, mixed="family")
+    # Bitmaps only go where the next smaller or larger set of the task allows a link.
+    by_size = Window.partitionBy("_task").orderBy("size")
+    smaller, larger = F.lag("size").over(by_size), F.lead("size").over(by_size)
+    fits = (100 * smaller >= percent * F.col("size")) | (100 * F.col("size") >= percent * larger)
+    tasks = tasks.withColumn("_fits", fits).where("_fits")
     tasks = tasks.select("rep", "family", "_task", "_side").join(
         classes.select("rep", "size", "bits"), "rep"
     )
@@ -342,9 +370,11 @@ def link_documents(
     signed = _stored(_signatures(rows, sketch, size, percent), "shingles")
     known = signed.where("_id is not null and size > 0")
     reps = known.groupBy("digest").agg(F.min("_id").alias("rep"))
+    # Joined by id alone, so that the grouping by id needs no shuffle of its own.
     classes = (
-        known.join(reps.select(F.col("rep").alias("_id"), "digest"), ["_id", "digest"])
-        .where(F.size("keys") > 0)
+        known.where(F.size("keys") > 0)
+        .join(reps.select(F.col("rep").alias("_id"), F.col("digest").alias("_digest")), "_id")
+        .where("digest = _digest")
         .groupBy(F.col("_id").alias("rep"))
         .agg(*(F.first(c).alias(c) for c in ("size", "keys", "bits")))
     )
@@ -365,7 +395,7 @@ def link_documents(
     tasks = comparison_tasks(members, ["family"], "rep", _SHINGLES, weight)
     compared = (
         tasks.select("rep", "_task", "_side")
-        .join(rows, F.col("rep") == F.col("_id"))
+        .join(_packed(rows), F.col("rep") == F.col("_id"))
         .groupBy("_task")
         .applyInArrow(_linked(percent, size), "a bigint, b bigint")
     )
