@@ -1,10 +1,12 @@
 import hashlib
 import os
+import random
 import struct
 
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 import zstandard
 from tokenizers import Tokenizer
 
@@ -108,3 +110,13 @@ def test_tasks_encode_without_threads(monkeypatch):
     monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
     bpe.read_codec(PATH).encode_words(["a", "b"])
     assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+
+
+def test_settled_texts_split_by_the_pattern():
+    """The standard library's sets split settled texts as the pattern does, in every order."""
+    draw = random.Random(9)
+    pool = "  \n\t'stmdrevla1\u00e9\u00bd\u00b2\u00df_.-\x1c\x1f\x85\xa0\u4e00\uac00\u3070"
+    for _ in range(20_000):
+        text = "".join(draw.choice(pool) for _ in range(draw.randint(0, 12)))
+        assert not bpe._SETTLED.search(text)
+        assert bpe._settled_pattern().findall(text) == regex.findall(bpe.PATTERN, text)

@@ -38,10 +38,14 @@ def with_chunks(
 
 
 def ragged_take(
-    flat: np.ndarray, sizes: np.ndarray, index: np.ndarray
+    flat: np.ndarray, sizes: np.ndarray, index: np.ndarray, starts: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Of runs that lie end to end, those at ``index``, end to end, and their sizes."""
-    starts = np.cumsum(sizes) - sizes
+    """Of runs that lie end to end, those at ``index``, end to end, and their sizes.
+
+    ``starts`` are where the runs start, for callers that take from the same runs again.
+    """
+    if starts is None:
+        starts = np.cumsum(sizes) - sizes
     taken = sizes[index]
     first = np.repeat(starts[index] - (np.cumsum(taken) - taken), taken)
     return flat[first + np.arange(taken.sum())], taken
