@@ -4,7 +4,9 @@ import datetime as dt
 from pathlib import Path
 
 import payloads
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from wxengine.functions.calendar import DAILY, GRAINS, HOURLY
 from wxengine.operators.measures import Measures
@@ -12,7 +14,16 @@ from wxengine.operators.select_suffix import publish
 from wxengine.plans import jobs
 from wxengine.plans.measurements import closed_windows, update_rolling
 from wxengine.operators.rolling import rolling
-from wxengine.sources.landing import MEASUREMENTS, RAIN_STATIONS, WEATHER_STATIONS
+from wxengine.sources.landing import (
+    MEASUREMENTS,
+    RAIN_STATIONS,
+    WEATHER_STATIONS,
+    archive_path,
+    compact_archive,
+    compacted_path,
+    read_archive,
+    read_landing,
+)
 from wxengine.session import shared_dir
 from wxengine.sources.files import subfolders
 from wxengine.sources.marks import Mark, last_mark, log_of, write_mark
@@ -352,3 +363,23 @@ def test_geography_is_taken_apart_once(spark, layout, monkeypatch):
     assert [r.station_latitude_tw97 for r in spark.read.parquet(layout.stations).collect()] == [2.0, 2.0]
     jobs.run_stations(spark, layout)
     assert spark.read.parquet(layout.stations).count() == 4
+
+
+def _values(responses):
+    return sorted(row[0] for row in responses.select(F.to_json("value")).collect())
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_archived_responses_are_stored_whole(spark, layout, compacted):
+    """Not as a column per field, from which every reader would put them together again."""
+    land_readings(layout, range(3))
+    jobs.run_ingest(spark, layout)
+    path = archive_path(layout.archive, MEASUREMENTS)
+    landed = _values(read_landing(spark, layout.landed(MEASUREMENTS)))
+    if compacted:
+        compact_archive(spark, layout.archive, MEASUREMENTS)
+        path = compacted_path(layout.archive, MEASUREMENTS)
+    files = list(Path(path).rglob("*.parquet"))
+    columns = {column.path for file in files for column in pq.ParquetFile(file).schema}
+    assert columns == {"value.value", "value.metadata", "landed_file", "arrived_at"}
+    assert len(landed) == 3 and _values(read_archive(spark, layout.archive, MEASUREMENTS)) == landed

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wxengine.operators.dedup import latest_per_key
 from wxengine.sources.files import delete, exists, subfolders
-from wxengine.sources.landing import archive_path, stream_landing, with_arrival
+from wxengine.sources.landing import WHOLE_VARIANTS, archive_path, stream_landing, with_arrival
 
 
 def ingest(
@@ -25,6 +25,7 @@ def ingest(
     return (
         with_arrival(responses)
         .writeStream.format("parquet")
+        .options(**WHOLE_VARIANTS)
         .option("checkpointLocation", checkpoint)
         .partitionBy("ingest_date")
         .trigger(availableNow=True)
