@@ -157,3 +157,27 @@ def test_a_side_finds_each_unsound_part():
         # "a" and "b" give the bytes "ab" together, but neither gives its own.
         assert side._sound.tolist() == [p == "ab" for p in parts]
         assert side._counts.tolist() == [len(ids[p]) for p in parts]
+
+
+def test_stretches_stay_remembered(contents, monkeypatch):
+    """Words of a large vocabulary are aligned once, not anew in every chunk."""
+    aligner = token_alignment.Aligner(*contents)
+    texts = [" ".join(f"w{i:x}" for i in range(start, start + 10_000)) for start in range(0, 130_000, 10_000)]
+    first = aligner.align(texts)
+    aligner.begin()
+    asked = []
+    monkeypatch.setattr(aligner, "_learn", asked.append)
+    again = aligner.align(texts)
+    assert not asked and again[1] == first[1] and np.array_equal(again[0], first[0])
+
+
+def test_remembered_names_are_bounded(contents, monkeypatch):
+    """Long stretches are forgotten by what they hold, with the same results after."""
+    monkeypatch.setattr(token_alignment, "_REMEMBERED_CHARS", 1_000)
+    aligner = token_alignment.Aligner(*contents)
+    texts = ["語" * 2_000 + " end", "word " * 3]
+    first = aligner.align(texts)
+    aligner.begin()
+    assert not aligner.pairs
+    again = aligner.align(texts)
+    assert again[1] == first[1] and np.array_equal(again[0], first[0])

@@ -47,8 +47,10 @@ from wxengine.llm.prefix_pieces import MARK, pieces_of
 from wxengine.session import shared_dir
 
 CHUNK_BYTES = 4 << 20
-# Texts are gone through in parts of so many bytes; stretches and parts remembered in a process.
-_AT_ONCE, _REMEMBERED = 1 << 20, 100_000
+# Texts are gone through in parts of so many bytes; so many stretches, with names of so many
+# characters, and parts of each side are remembered in a process. Stretches that were forgotten are
+# aligned again, which is most of the work.
+_AT_ONCE, _REMEMBERED, _REMEMBERED_CHARS, _REMEMBERED_PARTS = 1 << 20, 600_000, 32 << 20, 200_000
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
 
@@ -177,7 +179,7 @@ class _Side:
 
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All texts' ids end to end, how many each has, and whether its bytes come back."""
-        if len(self._place) > _REMEMBERED:
+        if len(self._place) > _REMEMBERED_PARTS:
             self._forget()
         done = len(self._place)
         lists = [self._split(text) for text in texts]
@@ -263,20 +265,21 @@ class Aligner:
         self._place, self.pairs = Numbers(), Numbers()
         # Of each stretch: whether it is sound, tokens of both sides, groups, links.
         self._counts = np.empty((5, 0), np.int64)
-        self._links, self._names = np.empty(0, np.int32), []
+        self._links, self._names, self._chars = np.empty(0, np.int32), [], 0
 
     def begin(self) -> None:
         """Forget what was seen if that is much; numbers of pairs hold until the next call."""
-        if len(self._place) > _REMEMBERED:
+        if len(self._place) > _REMEMBERED or self._chars > _REMEMBERED_CHARS:
             self._forget()
 
     def _learn(self, new: list[str]) -> None:
         """Align new stretches, many of them joined to one text."""
         # A mark is a blank to the second tokenizer, and the bytes differ. A text's first stretch
         # may begin without a border, and its last end with a blank, which borders nothing.
-        usable = [s for s in new if MARK not in s and len(s) > 1]
-        alone = [s for s in usable if s[-1] == " " or not _BORDERS.match(s)]
-        joined = [s for s in usable if s[-1] != " " and _BORDERS.match(s)]
+        alone, joined = [], []
+        for s in new:
+            if MARK not in s and len(s) > 1:
+                (joined if s[-1] != " " and _BORDERS.match(s) else alone).append(s)
         texts = [[s] for s in alone] + [joined[i : i + _JOINED] for i in range(0, len(joined), _JOINED)]
         found, a_ends, b_ends, sound = self._encoder.align(["".join(own) for own in texts])
         if not sound.all():
@@ -306,6 +309,7 @@ class Aligner:
         for k, text in zip(place.tolist(), texts_of, strict=True):
             all_names[k] = text
         self._names += all_names
+        self._chars += sum(map(len, texts_of))
         self._counts = np.concatenate([self._counts, all_counts], axis=1)
         self._links = np.concatenate([self._links, own])
 
