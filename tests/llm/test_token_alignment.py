@@ -181,3 +181,18 @@ def test_remembered_names_are_bounded(contents, monkeypatch):
     assert not aligner.pairs
     again = aligner.align(texts)
     assert again[1] == first[1] and np.array_equal(again[0], first[0])
+
+
+def test_new_stretches_are_aligned_in_bounded_parts(contents, monkeypatch):
+    """Many new stretches at once take bounded memory, and parts of the sides do not pile up."""
+    texts = [" ".join(f"v{i:x}" for i in range(start, start + 10_000)) for start in range(0, 130_000, 10_000)]
+    want = token_alignment.Aligner(*contents).align(["a lone  text ", None, *texts[:1]])
+    aligner, learned = token_alignment.Aligner(*contents), []
+    learn = aligner._learn
+    monkeypatch.setattr(aligner, "_learn", lambda new: (learned.append(len(new)), learn(new)))
+    aligner.align(texts)
+    assert sum(learned) == 130_000 and max(learned) <= 20_000
+    assert max(len(aligner._encoder._a._place), len(aligner._encoder._b._place)) <= 100_000
+    monkeypatch.setattr(token_alignment, "_LEARNED_AT_ONCE", 3)
+    again = token_alignment.Aligner(*contents).align(["a lone  text ", None, *texts[:1]])
+    assert again[1] == want[1] and np.array_equal(again[0], want[0])

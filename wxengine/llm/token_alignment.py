@@ -43,14 +43,16 @@ from sentencepiece import SentencePieceProcessor
 from wxengine.llm.arrow_text import slices
 from wxengine.llm.bpe import Codec, Numbers
 from wxengine.llm.chunks import ragged_take
+from wxengine.llm.memory import give_back
 from wxengine.llm.prefix_pieces import MARK, pieces_of
 from wxengine.session import shared_dir
 
 CHUNK_BYTES = 4 << 20
 # Texts are gone through in parts of so many bytes; so many stretches, with names of so many
 # characters, and parts of each side are remembered in a process. Stretches that were forgotten are
-# aligned again, which is most of the work.
-_AT_ONCE, _REMEMBERED, _REMEMBERED_CHARS, _REMEMBERED_PARTS = 1 << 20, 600_000, 32 << 20, 200_000
+# aligned again, which is most of the work; parts come again within new stretches alone, so few are
+# worth their memory.
+_AT_ONCE, _REMEMBERED, _REMEMBERED_CHARS, _REMEMBERED_PARTS = 1 << 20, 400_000, 32 << 20, 60_000
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
 
@@ -238,6 +240,8 @@ class Encoder:
 # blank begins one of both. Characters beyond these could be blanks to one of them.
 _BORDERS = re.compile("(?<! )(?= [!-~\u00A1-\u024F])")
 _JOINED = 200
+# Aligning stretches takes far more memory than what is kept of them, so so many are done at once.
+_LEARNED_AT_ONCE = 20_000
 
 
 def stretches(text: str | None) -> list[str]:
@@ -264,7 +268,7 @@ class Aligner:
     def _forget(self) -> None:
         self._place, self.pairs = Numbers(), Numbers()
         # Of each stretch: whether it is sound, tokens of both sides, groups, links.
-        self._counts = np.empty((5, 0), np.int64)
+        self._counts = np.empty((5, 0), np.int32)
         self._links, self._names, self._chars = np.empty(0, np.int32), [], 0
 
     def begin(self) -> None:
@@ -295,7 +299,7 @@ class Aligner:
         counts = [np.diff(x, prepend=0) for x in (n_a, n_b, groups, links)]
         names = group_names(found, self._encoder.a_names, self._encoder.b_names).tolist()
         stops = (n_a + n_b).tolist()
-        texts_of = ["".join(names[a:b]) for a, b in pairwise([0, *stops])]
+        texts_of = ["".join(names[a:b]).encode() for a, b in pairwise([0, *stops])]
         keys = (found.links[0] << 32) + found.links[1]
         own = np.fromiter(map(self.pairs.__getitem__, keys.tolist()), np.int32, len(keys))
         # Stretches are known in the order in which they came; unsound ones have no tokens.
@@ -305,12 +309,12 @@ class Aligner:
         all_counts[:, place] = [np.ones(len(kept), np.int64), *counts]
         starts[place] = links - counts[3]
         own, _ = _runs(own, starts, all_counts[4])
-        all_names = [""] * len(new)
+        all_names = [b""] * len(new)
         for k, text in zip(place.tolist(), texts_of, strict=True):
             all_names[k] = text
         self._names += all_names
         self._chars += sum(map(len, texts_of))
-        self._counts = np.concatenate([self._counts, all_counts], axis=1)
+        self._counts = np.concatenate([self._counts, all_counts.astype(np.int32)], axis=1)
         self._links = np.concatenate([self._links, own])
 
     def align(self, texts: list[str | None]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
@@ -322,10 +326,11 @@ class Aligner:
         index = np.fromiter(
             map(self._place.__getitem__, chain.from_iterable(lists)), np.int64, int(sizes.sum())
         )
-        if new := list(islice(self._place, done, None)):
-            self._learn(new)
+        new = list(islice(self._place, done, None))
+        for start in range(0, len(new), _LEARNED_AT_ONCE):
+            self._learn(new[start : start + _LEARNED_AT_ONCE])
         ends = np.cumsum(sizes)
-        added = np.cumsum(self._counts[:, index], axis=1)
+        added = np.cumsum(self._counts[:, index], axis=1, dtype=np.int64)
         added = np.concatenate([np.zeros((5, 1), np.int64), added], axis=1)
         per_text = added[:, ends] - added[:, ends - sizes]
         # A text counts with all of its stretches or not at all.
@@ -333,8 +338,8 @@ class Aligner:
         per_text *= whole
         digests = []
         for end, size, good in zip(ends.tolist(), sizes.tolist(), whole.tolist(), strict=True):
-            own = "".join(map(self._names.__getitem__, index[end - size : end].tolist()))[:-1] if good else ""
-            digests.append(hashlib.sha256(own.encode()).hexdigest() if good else "")
+            own = b"".join(map(self._names.__getitem__, index[end - size : end].tolist()))[:-1] if good else b""
+            digests.append(hashlib.sha256(own).hexdigest() if good else "")
         links, _ = ragged_take(self._links, self._counts[4], index[np.repeat(whole, sizes)])
         return per_text[1:], digests, links, per_text[4]
 
@@ -392,8 +397,11 @@ def _aligner(a_content: str, b_model: bytes, chunk_bytes: int):
                 if size >= chunk_bytes:
                     yield packed(number, aligner, docs)
                     number, docs, size = number + 1, [], 0
+                    give_back()
         if docs:
             yield packed(number, aligner, docs)
+            docs = []
+        give_back()
 
     return run
 
