@@ -2,6 +2,8 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,3 +103,49 @@ def test_probabilities_of_all_symbols_sum_to_one(make_docs):
     trie = Trie([base])
     assert sum(10 ** (trie.symbol(b"abcab", s) / math.log(10)) for s in range(256)) == pytest.approx(1)
     assert got[10] == pytest.approx(trie.log10("abcab\n"))
+
+
+def test_a_chunk_looks_each_word_up_once(monkeypatch):
+    """However many pieces a chunk's texts are held in, a word finds its bucket once."""
+    monkeypatch.setattr(lm_scoring, "_PIECE", 50)
+    texts = [f"some words come again {i % 3}" for i in range(30)]
+    rows = pa.table({"_id": pa.array(range(30)), "_text": pa.array([t.encode() for t in texts])})
+    rows = rows.append_column("_training", pa.array([i % 2 == 0 for i in range(30)]))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as stream:
+        stream.write_table(rows)
+    chunk = pa.table({"_chunk": pa.array([0], pa.int32()), "rows": pa.array([sink.getvalue().to_pybytes()])})
+    terms = lm_scoring._terms(1)((pa.scalar(0),), chunk)
+    words, others = (terms.filter(pa.compute.is_valid(terms.column(c))) for c in ("words", "grams"))
+    assert sorted(lm_scoring._grams_of(others)[1].tolist()) == sorted(
+        {int.from_bytes((b"\xff" * 5 + t.encode() + b"\xff")[i : i + 6]) for t in texts for i in range(len(t) + 1)}
+    )
+    counted = lm_scoring._word_counts(words).select(["_chunk", "bucket", "counts"])
+    logs = lm_scoring._grams_of(others)[2].astype(float)
+    answers = pa.concat_tables(
+        [
+            counted.append_column("logs", pa.nulls(1, pa.binary())),
+            counted.select(["_chunk", "bucket"])
+            .append_column("counts", pa.nulls(1, pa.binary()))
+            .append_column("logs", pa.array([lm_scoring._blob(logs)], pa.binary())),
+        ]
+    )
+    asked = []
+    monkeypatch.setattr(lm_scoring, "zlib", type("Z", (), {"crc32": lambda w: asked.append(w) or 0}))
+    scored = lm_scoring._scores(1)(chunk, answers)
+    assert scored.column("n_tokens").to_pylist() == [6] * 30
+    assert scored.column("n_known").to_pylist() == [6] * 30
+    distinct = {b" ", *(w.encode() for t in texts for w in t.split())}
+    assert set(asked) == distinct and len(asked) <= len(distinct) + 1
+
+
+def test_grams_are_counted_and_numbered_as_by_brute_force():
+    rng = np.random.default_rng(3)
+    keys = rng.integers(0, 1 << 48, 5_000)[rng.integers(0, 5_000, 150_000)]
+    keys[:3] = (1 << 48) - 1
+    training = rng.integers(0, 2, len(keys)).astype(bool)
+    distinct, place = lm_scoring._coded(keys)
+    assert np.array_equal(distinct[place], keys) and len(distinct) <= 3 * 5_001
+    want, at = np.unique(keys, return_inverse=True)
+    for got, n in (lm_scoring._counted(keys, training), lm_scoring._summed([(keys, training.astype(np.int64))])):
+        assert np.array_equal(got, want) and np.array_equal(n, np.bincount(at, training))

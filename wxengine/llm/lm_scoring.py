@@ -25,13 +25,11 @@ empty result. Columns other than the id and the text are not looked at.
 
 from __future__ import annotations
 
-import json
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from itertools import pairwise
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import Broadcast
@@ -78,10 +76,53 @@ def grams(piece: Pieces) -> tuple[np.ndarray, np.ndarray]:
     return keys[whole[: len(keys)]], begins
 
 
+def _firsts(ordered: np.ndarray) -> np.ndarray:
+    """Where each distinct value of an ascending array begins."""
+    new = np.ones(len(ordered), dtype=bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
 def _summed(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in ascending order with their counts added up."""
-    distinct, place = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
-    return distinct, np.bincount(place, np.concatenate([n for _, n in found])).astype(np.int64)
+    keys, counts = (np.concatenate(parts) for parts in zip(*found, strict=True))
+    order = np.argsort(keys)
+    keys = keys[order]
+    firsts = _firsts(keys)
+    return keys[firsts], np.add.reduceat(counts[order], firsts)
+
+
+def _counted(keys: np.ndarray, training: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct 6-grams in ascending order, and how many of each are of training texts.
+
+    Sorting whole numbers is much faster than hashing them, so the flag goes along as a bit.
+    """
+    tagged = (keys << 1) | training
+    tagged.sort()
+    ordered = tagged >> 1
+    firsts = _firsts(ordered)
+    return ordered[firsts], np.add.reduceat(tagged & 1, firsts)
+
+
+def _coded(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """6-grams that are distinct within each run of 65,536 keys, and each key's place in them.
+
+    A 6-gram has 48 bits, so its number within the run fits beside it and sorts along.
+    """
+    distinct, place, done = [], np.empty(len(keys), dtype=np.int32), 0
+    numbers = np.arange(1 << 16, dtype=np.uint64)
+    for start in range(0, len(keys), 1 << 16):
+        own = keys[start : start + (1 << 16)].view(np.uint64) << np.uint64(16)
+        own |= numbers[: len(own)]
+        own.sort()
+        ordered = (own >> np.uint64(16)).view(np.int64)
+        firsts = _firsts(ordered)
+        codes = np.arange(done, done + len(firsts), dtype=np.int32)
+        at = (own & np.uint64(0xFFFF)).view(np.int64)
+        place[start : start + len(own)][at] = np.repeat(codes, np.diff(firsts, append=len(own)))
+        distinct.append(ordered[firsts])
+        done += len(firsts)
+    return np.concatenate(distinct), place
 
 
 def _blob(values: np.ndarray | bytes) -> bytes:
@@ -104,7 +145,7 @@ def _gram_buckets(grams: np.ndarray, buckets: int) -> np.ndarray:
     return (mix(context.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
 
 
-# A chunk's terms of one bucket: words as a JSON list, or ascending 6-grams as differences;
+# A chunk's terms of one bucket: words between tabs, or ascending 6-grams as differences;
 # and their counts in the chunk's training texts.
 _TERMS = "_chunk int, bucket int, words binary, grams binary, counts binary"
 
@@ -124,10 +165,7 @@ def _terms(buckets: int):
                     (words if trains else others).update(lowered[a:b].split())
                 words[END] += int(own.sum())
                 keys, _ = grams(piece)
-                codes, distinct = pd.factorize(keys)
-                weights = np.repeat(own, piece.ends - piece.starts + 1)
-                counts = np.bincount(codes, weights, len(distinct)).astype(np.int64)
-                found.append((distinct, counts))
+                found.append(_counted(keys, np.repeat(own, piece.ends - piece.starts + 1)))
                 if len(found) == 8:
                     found = [_summed(found)]
         lists: dict[int, list[bytes]] = {}
@@ -136,9 +174,8 @@ def _terms(buckets: int):
         rows_: list[tuple] = []
         for bucket, own in lists.items():
             own.sort()
-            names = json.dumps([w.decode("utf-8", "surrogateescape") for w in own])
             counts = np.fromiter(map(words.__getitem__, own), np.int64, len(own))
-            rows_.append((bucket, _blob(names.encode()), None, _blob(counts)))
+            rows_.append((bucket, _blob(b"\t".join(own)), None, _blob(counts)))
         distinct, counts = _summed(found)
         bucket_of = _gram_buckets(distinct, buckets)
         order = np.argsort(bucket_of, kind="stable")
@@ -222,8 +259,8 @@ def log_probabilities(
 
 def _word_counts(table: pa.Table) -> pa.Table:
     """Counts over all chunks for each chunk's words of a bucket, and the bucket's totals."""
-    lists = [json.loads(_expanded(blob)) for blob in table.column("words")]
-    totals: dict[str, int] = {}
+    lists = [_expanded(blob).split(b"\t") for blob in table.column("words")]
+    totals: dict[bytes, int] = {}
     for own, blob in zip(lists, table.column("counts"), strict=True):
         for word, n in zip(own, _integers(blob).tolist(), strict=True):
             totals[word] = totals.get(word, 0) + n
@@ -296,22 +333,30 @@ def _scores(buckets: int):
             else:
                 log_of[bucket.as_py()] = np.frombuffer(_expanded(logs), dtype=np.float64)
         batches = list(unpacked_chunk(table))
-        # The chunk's terms again, in the order of the lists that it handed in.
-        lists: dict[int, set[bytes]] = {zlib.crc32(END) % buckets: {END}}
-        parts: list[tuple[bytes, Pieces, np.ndarray, np.ndarray, np.ndarray]] = []
+        # The chunk's terms again, in the order of the lists that it handed in. Words are
+        # numbered as they come, so that each text is split, and each word looked up, once.
+        place: defaultdict[bytes, int] = defaultdict()
+        place.default_factory = place.__len__
+        end = place[END]
+        parts: list[tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]] = []
         for rows in batches:
             for _, piece in pieces(rows.column("_text"), _PIECE):
                 lowered = LOWER[piece.data].tobytes()
-                bounds = zip(piece.starts, piece.ends, strict=True)
-                for word in {w for a, b in bounds for w in lowered[a:b].split()}:
-                    lists.setdefault(zlib.crc32(word) % buckets, set()).add(word)
+                tokens = []
+                for a, b in zip(piece.starts, piece.ends, strict=True):
+                    own = lowered[a:b].split()
+                    tokens.append(np.fromiter(map(place.__getitem__, own), np.int32, len(own)))
                 keys, begins = grams(piece)
-                codes, distinct = pd.factorize(keys)
-                parts.append((lowered, piece, codes.astype(np.int32), distinct, begins))
-        words: dict[bytes, int] = {}
+                parts.append((tokens, *_coded(keys), begins))
+        lists: dict[int, list[bytes]] = {}
+        for word in place:
+            lists.setdefault(zlib.crc32(word) % buckets, []).append(word)
+        counts = np.empty(len(place), dtype=np.int64)
         for bucket, own in lists.items():
-            words.update(zip(sorted(own), count_of.pop(bucket).tolist(), strict=True))
-        known = np.unique(np.concatenate([distinct for _, _, _, distinct, _ in parts]))
+            own.sort()
+            counts[np.fromiter(map(place.__getitem__, own), np.int64, len(own))] = count_of.pop(bucket)
+        known = np.sort(np.concatenate([distinct for _, distinct, _, _ in parts]))
+        known = known[_firsts(known)]
         logp = np.empty(len(known))
         bucket_of = _gram_buckets(known, buckets)
         order = np.argsort(bucket_of, kind="stable")
@@ -319,13 +364,13 @@ def _scores(buckets: int):
         for a, b in pairwise(cuts.tolist()):
             logp[order[a:b]] = log_of.pop(int(bucket_of[order[a]]))
         out: dict[str, list] = {c: [] for c in ("n_tokens", "n_known", "log_counts", "score")}
-        for lowered, piece, codes, distinct, begins in parts:
-            for a, b in zip(piece.starts, piece.ends, strict=True):
-                own = [*lowered[a:b].split(), END]
-                counts = np.fromiter(map(words.__getitem__, own), np.int64, len(own))
+        log_counts = np.log10(counts + 1.0)
+        for tokens, distinct, codes, begins in parts:
+            for own in tokens:
+                own = np.append(own, np.int32(end))
                 out["n_tokens"].append(len(own))
-                out["n_known"].append(int(np.count_nonzero(counts)))
-                out["log_counts"].append(float(np.log10(counts + 1.0).sum()))
+                out["n_known"].append(int(np.count_nonzero(counts[own])))
+                out["log_counts"].append(float(log_counts[own].sum()))
             values = logp[np.searchsorted(known, distinct)]
             out["score"] += (np.add.reduceat(values[codes], begins) / np.log(10)).tolist()
         kept = pa.concat_tables([rows.select(["_id", "_training"]) for rows in batches])
