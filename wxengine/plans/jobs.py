@@ -24,6 +24,7 @@ from wxengine.plans.measurements import (
     window_end,
 )
 from wxengine.plans.stations import GEO_ORDER, dimension, geo_seen
+from wxengine.session import dropped_shuffles
 from wxengine.sources.files import delete, exists
 from wxengine.sources.landing import (
     MEASUREMENTS,
@@ -165,7 +166,8 @@ def run_measurements(
     if full_refresh:
         last = last_mark(spark, log_of(layout.readings))
         readings = staging.measurements(read_archive(spark, layout.archive, MEASUREMENTS))
-        _rebuild(spark, layout, readings, -1 if last is None else last.number, only_closed)
+        with dropped_shuffles(spark):
+            _rebuild(spark, layout, readings, -1 if last is None else last.number, only_closed)
         return
     if not exists(spark, archive_path(layout.archive, MEASUREMENTS)):
         return
@@ -187,6 +189,13 @@ def apply_responses(
     needed. Readings at or before it are late, or repeats, and set aside for ``repair``. A run
     that is applied again under its number replaces what it wrote, with the same rows.
     """
+    with dropped_shuffles(spark, responses.sparkSession):
+        _apply(spark, layout, responses, number, only_closed)
+
+
+def _apply(
+    spark: SparkSession, layout: Layout, responses: DataFrame, number: int, only_closed: bool
+) -> None:
     log = log_of(layout.readings)
     last = last_mark(spark, log, before=number)
     # JSON is taken apart once; everything below reads the typed readings.
@@ -255,6 +264,11 @@ def repair(spark: SparkSession, layout: Layout, only_closed: bool = False) -> No
 
     The readings are written last, so a repair that failed starts over and finds the same.
     """
+    with dropped_shuffles(spark):
+        _repair(spark, layout, only_closed)
+
+
+def _repair(spark: SparkSession, layout: Layout, only_closed: bool) -> None:
     last, complete = last_mark(spark, log_of(layout.readings)), last_mark(spark, log_of(layout.rolling))
     if last is None or last.at is None:
         return
